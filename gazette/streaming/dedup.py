@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from gazette.functions.text import min_words
 from gazette.schemas import MIN_WORDS, SEEN_TTL_HOURS
 
+# The process that sets up the state schema does not get the files a session
+# ships to its workers, so the processor travels as code instead of by name.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class FirstSeen(StatefulProcessor):
     """Emits the first row of a key and remembers the key until the TTL ends.
