@@ -1,6 +1,6 @@
 """The operators applied to the test tables, each query beside its SQL equivalent."""
 
-from gazette.workload import articles, feeds
+from gazette.workload import articles, enrichment, feeds, gate
 from gazette.workload.base import ORACLES, QUERIES
 
 __all__ = [
