@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazette.schemas import KEYWORD_DEFAULT, SECTION_KEYWORDS
@@ -40,7 +40,7 @@ def strip(c: Column | str) -> Column:
 
 def is_blank(c: Column | str) -> Column:
     """True for NULL, empty and white-space-only text."""
-    return F.coalesce(strip(c), F.lit("")) == ""
+    return ~F.coalesce(as_col(c).rlike(NOT_SPACE), F.lit(False))
 
 
 def is_falsy(c: Column | str) -> Column:
@@ -55,8 +55,10 @@ def truthy(c: Column | str) -> Column:
 
 def word_count(c: Column | str) -> Column:
     """Number of white-space separated words; NULL counts as no words."""
-    trimmed = F.coalesce(strip(c), F.lit(""))
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, SPACE + "+")))
+    text = F.coalesce(as_col(c), F.lit(""))
+    # White space at either end makes one empty piece there.
+    edges = text.rlike("^" + SPACE).cast("int") + F.substring(text, -1, 1).rlike(SPACE).cast("int")
+    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, SPACE + "+")) - edges)
 
 
 def min_words(c: Column | str, n: int) -> Column:
@@ -130,6 +132,18 @@ def is_http_url(c: Column | str) -> Column:
     )
 
 
+def computed_once(df: DataFrame, columns: list[Column], *keep: str, where=None) -> DataFrame:
+    """``df.select(*keep, *columns)`` whose columns are worked out once per row.
+
+    Spark moves a filter below a projection by writing the projected expressions
+    out again inside the filter, so a parsed record would be parsed once more
+    for every field the filter looks at. A generator is not rewritten that way.
+    ``where`` gets the columns as one struct and says which rows to keep.
+    """
+    row = F.array(F.struct(*columns))
+    return df.select(*keep, F.inline(row if where is None else F.filter(row, where)))
+
+
 def lookup(mapping: dict[str, str], key: Column | str, default: str | None = None) -> Column:
     """A constant mapping as an expression; it is part of the plan, not a join."""
     pairs = [F.lit(x) for item in mapping.items() for x in item]

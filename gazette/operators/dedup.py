@@ -40,7 +40,9 @@ def _relative_to_winner(
     if seen is None:
         winners = winners.withColumn("_seen", F.lit(False))
     else:
-        known = seen.select(key).where(F.col(key).isNotNull()).distinct()
+        # Only the ids at hand matter: a large table of seen ids is cut down to
+        # them, which Spark does map-side where they are few enough to broadcast.
+        known = seen.select(key).join(winners.select(key), key, "left_semi").distinct()
         winners = winners.join(known.withColumn("_seen", F.lit(True)), key, "left")
     return lookup_left(marked, winners, key, F.col(order), rows_per_slice)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazette.functions.text import SPACE, as_col, ellipsize, strip
+from gazette.functions.text import SPACE, as_col, computed_once, ellipsize, strip
 from gazette.operators.validate import (
     as_of_literal,
     enriched_failures,
@@ -129,10 +129,6 @@ def unfence(text: Column) -> Column:
     return F.regexp_replace(opened, rf"{SPACE}*```\z", "")
 
 
-def _field(variant: Column, name: str) -> Column:
-    return F.try_variant_get(variant, f"$.{name}", "variant")
-
-
 def _plain_text(value: Column) -> Column:
     """A JSON value as text the way Python's str() shows it.
 
@@ -190,6 +186,9 @@ def coerce_tag(tag: Column) -> Column:
     return F.when(value.isin(*DOMAIN_TAGS), value).otherwise("Other")
 
 
+ENRICHMENT_FIELDS = ("summary", "entities", "sentiment", "sentiment_reason", "domain_tag")
+
+
 def _answer(summary: Column, entities: Column, sentiment: Column, reason: Column, tag: Column):
     return F.struct(
         coerce_summary(summary).alias("summary"),
@@ -204,46 +203,62 @@ def _or_default(value: Column, default: str) -> Column:
     return F.when(value.isNull(), F.lit(default)).otherwise(_plain_text(value))
 
 
-def parse_unified(reply: Column) -> Column:
-    """The unified reply as a struct of coerced fields.
+def parse_unified(df: DataFrame, reply: Column, into: str) -> DataFrame:
+    """Add the unified reply as a struct of coerced fields.
 
     NULL unless the reply is a JSON object with the keys ``summary`` and
-    ``sentiment``; a key that holds JSON null counts as there.
+    ``sentiment``; a key that holds JSON null counts as there. The steps are
+    columns of their own so that a reply is parsed once.
     """
-    text = unfence(reply)
-    data = F.try_parse_json(text)
-    summary, sentiment = _field(data, "summary"), _field(data, "sentiment")
-    return F.when(
-        text.startswith("{") & summary.isNotNull() & sentiment.isNotNull(),
+    read = df.withColumn("_text", unfence(reply)).withColumn(
+        "_fields",
+        F.when(
+            F.col("_text").startswith("{"),
+            F.try_variant_get(F.try_parse_json("_text"), "$", "map<string, variant>"),
+        ),
+    )
+
+    def at(name: str) -> Column:
+        return F.try_element_at("_fields", F.lit(name))
+
+    answer = F.when(
+        at("summary").isNotNull() & at("sentiment").isNotNull(),
         _answer(
-            _plain_text(summary),
-            _field(data, "entities"),
-            _plain_text(sentiment),
-            _or_default(_field(data, "sentiment_reason"), ""),
-            _or_default(_field(data, "domain_tag"), "Other"),
+            _plain_text(at("summary")),
+            at("entities"),
+            _plain_text(at("sentiment")),
+            _or_default(at("sentiment_reason"), ""),
+            _or_default(at("domain_tag"), "Other"),
         ),
     )
+    return computed_once(read, [answer.alias(into)], *df.columns)
 
 
-def parse_separate(summary: Column, entities: Column, sentiment: Column, tag: Column) -> Column:
-    """Four separate replies as the same struct; NULL if a JSON reply is unreadable.
+def parse_separate(
+    df: DataFrame, summary: Column, entities: Column, sentiment: Column, tag: Column, into: str
+) -> DataFrame:
+    """Add four separate replies as the same struct; NULL if one is unreadable.
 
     A sentiment reply that is not an object is ``Neutral`` without a reason.
     """
-    listed, judged = F.try_parse_json(unfence(entities)), F.try_parse_json(unfence(sentiment))
-    return F.when(
-        summary.isNotNull() & tag.isNotNull() & listed.isNotNull() & judged.isNotNull(),
+    read = df.withColumns(
+        {
+            "_listed": F.try_parse_json(unfence(entities)),
+            "_judged": F.try_parse_json(unfence(sentiment)),
+        }
+    )
+    judged = F.col("_judged")
+    answer = F.when(
+        summary.isNotNull() & tag.isNotNull() & F.col("_listed").isNotNull() & judged.isNotNull(),
         _answer(
             summary,
-            listed,
-            _or_default(_field(judged, "sentiment"), "Neutral"),
-            _or_default(_field(judged, "reason"), ""),
+            F.col("_listed"),
+            _or_default(F.try_variant_get(judged, "$.sentiment", "variant"), "Neutral"),
+            _or_default(F.try_variant_get(judged, "$.reason", "variant"), ""),
             tag,
         ),
     )
-
-
-ENRICHMENT_FIELDS = ("summary", "entities", "sentiment", "sentiment_reason", "domain_tag")
+    return computed_once(read, [answer.alias(into)], *df.columns)
 
 
 def enrich(df: DataFrame, factory: ModelFactory, as_of) -> DataFrame:
@@ -260,7 +275,7 @@ def enrich(df: DataFrame, factory: ModelFactory, as_of) -> DataFrame:
             F.when(F.col("_missing").isNull(), F.array(render_prompt("unified", context))), factory
         ),
     )
-    read = asked.withColumn("_parsed", parse_unified(F.get("_unified", 0)["text"]))
+    read = parse_unified(asked, F.get("_unified", 0)["text"], "_parsed")
     again = F.col("_missing").isNull() & F.col("_parsed").isNull()
     retried = read.withColumn(
         "_separate",
@@ -269,7 +284,9 @@ def enrich(df: DataFrame, factory: ModelFactory, as_of) -> DataFrame:
         ),
     )
     texts = [F.get("_separate", i)["text"] for i in range(len(FALLBACK_KINDS))]
-    answered = retried.withColumn("_answer", F.coalesce("_parsed", parse_separate(*texts)))
+    answered = parse_separate(retried, *texts, into="_second").withColumn(
+        "_answer", F.coalesce("_parsed", "_second")
+    )
     merged = answered.withColumns(
         {name: F.col(f"_answer.{name}") for name in ENRICHMENT_FIELDS}
         | {"enriched_at": F.when(F.col("_answer").isNotNull(), as_of_literal(as_of))}
@@ -289,4 +306,4 @@ def enrich(df: DataFrame, factory: ModelFactory, as_of) -> DataFrame:
             model_error,
             F.when(F.size(failures) > 0, F.concat_ws("; ", failures)),
         ),
-    ).drop("_missing", "_unified", "_parsed", "_separate", "_answer")
+    ).drop("_missing", "_unified", "_parsed", "_separate", "_second", "_answer")

@@ -38,9 +38,10 @@ def prune(
     Rows exactly at the cutoff and rows without a time are kept. With ``cap``,
     one run deletes at most that many rows, oldest first.
     """
-    old = F.coalesce(F.col(column) < days_before(as_of, days), F.lit(False))
+    cutoff = days_before(as_of, days)
+    old = F.col(column) < cutoff
     if cap is None:
-        return store.where(~old), store.where(old)
+        return store.where((F.col(column) >= cutoff) | F.col(column).isNull()), store.where(old)
     deleted = store.where(old).orderBy(column, key).limit(cap)
     gone = deleted.select(key)
     kept = store.join(F.broadcast(gone) if cap <= BROADCAST_CAP else gone, key, "left_anti")
@@ -131,10 +132,11 @@ def expire(
 ) -> DataFrame:
     """Messages still within their topic's retention; other topics keep all."""
     retention = RETENTION_DAYS if retention is None else retention
-    expired = F.lit(False)
-    for topic, days in retention.items():
-        expired = expired | ((F.col("topic") == topic) & (F.col(column) < days_before(as_of, days)))
-    return log.where(~F.coalesce(expired, F.lit(False)))
+    topic, logged = F.col("topic"), F.col(column)
+    keep = topic.isNull() | logged.isNull() | ~topic.isin(*retention)
+    for name, days in retention.items():
+        keep = keep | ((topic == name) & (logged >= days_before(as_of, days)))
+    return log.where(keep)
 
 
 __all__ = [

@@ -31,10 +31,12 @@ def published_before(df: DataFrame, moment: Column, column: str = "published_at"
 def existing(wanted: DataFrame, store: DataFrame, key: str = "article_id") -> DataFrame:
     """The wanted ids with a flag: is the id stored?
 
-    Both sides are reduced to distinct ids first, so no id is heavy in the join.
+    The store is cut down to the distinct wanted ids before anything is joined
+    to it, so no id is heavy in a join.
     """
     ids = wanted.select(key).distinct()
-    known = store.select(key).distinct().withColumn("stored", F.lit(True))
+    known = store.select(key).join(ids, key, "left_semi").distinct()
+    known = known.withColumn("stored", F.lit(True))
     return ids.join(known, key, "left").withColumn(
         "stored", F.coalesce("stored", F.lit(False))
     )

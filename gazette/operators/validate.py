@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,89 +24,104 @@ from gazette.schemas import (
 
 FAILURES = "_failures"
 
+# Looks a field up by name: in the row, or in a struct.
+Field = Callable[[str], Column]
+# Whether a field is bad (never NULL), and what to say about it.
+Check = tuple[Column, Column]
 
-def collect_failures(*checks: Column) -> Column:
+
+def collect_failures(checks: list[Check]) -> Column:
     """All messages of the checks that failed, in order; empty if none did."""
-    return F.array_compact(F.array(*checks))
+    return F.array_compact(F.array(*[F.when(bad, message) for bad, message in checks]))
 
 
-def _one_of(name: str, allowed: tuple[str, ...]) -> Column:
-    return F.when(
-        ~F.coalesce(F.col(name).isin(*allowed), F.lit(False)),
-        F.lit(f"{name}: must be one of {', '.join(allowed)}"),
-    )
+def passes(checks: list[Check]) -> Column:
+    """True if no check failed; stops at the first one that does."""
+    return ~reduce(lambda a, b: a | b, [bad for bad, _ in checks])
 
 
-def _present(name: str) -> Column:
-    return F.when(F.col(name).isNull(), F.lit(f"{name}: missing or unreadable"))
+def _one_of(at: Field, name: str, allowed: tuple[str, ...]) -> Check:
+    known = F.coalesce(at(name).isin(*allowed), F.lit(False))
+    return ~known, F.lit(f"{name}: must be one of {', '.join(allowed)}")
 
 
-def _not_blank(name: str) -> Column:
-    return F.when(is_blank(name), F.lit(f"{name}: must not be empty or blank"))
+def _present(at: Field, name: str) -> Check:
+    return at(name).isNull(), F.lit(f"{name}: missing or unreadable")
 
 
-def _article_checks(blank_checks: bool = True) -> list[Column]:
-    text = _not_blank if blank_checks else _present
-    return [
-        text("article_id"),
-        text("headline"),
-        _present("body"),
-        _one_of("section", SECTIONS),
-        _present("published_at"),
-        F.when(~is_http_url("source_url"), F.lit("source_url: must be an http(s) URL")),
-    ]
+def _not_blank(at: Field, name: str) -> Check:
+    return is_blank(at(name)), F.lit(f"{name}: must not be empty or blank")
 
 
-def article_failures() -> Column:
+def article_checks(at: Field = F.col, blank_checks: bool = True) -> list[Check]:
     """Contract of a raw article."""
-    return collect_failures(*_article_checks())
+    text = _not_blank if blank_checks else _present
+    return [
+        text(at, "article_id"),
+        text(at, "headline"),
+        _present(at, "body"),
+        _one_of(at, "section", SECTIONS),
+        _present(at, "published_at"),
+        (~is_http_url(at("source_url")), F.lit("source_url: must be an http(s) URL")),
+    ]
 
 
-def enriched_failures() -> Column:
+def enriched_checks(at: Field = F.col) -> list[Check]:
     """Contract of an enriched article."""
-    length = F.length(strip("summary"))
-    return collect_failures(
-        *_article_checks(),
-        _present("summary"),
-        F.when(
-            length < SUMMARY_MIN,
+    length = F.coalesce(F.length(strip(at("summary"))), F.lit(-1))
+    blank_entity = F.coalesce(F.exists(at("entities"), is_blank), F.lit(False))
+    return [
+        *article_checks(at),
+        _present(at, "summary"),
+        (
+            length.between(0, SUMMARY_MIN - 1),
             F.format_string(f"summary: must be at least {SUMMARY_MIN} characters, got %d", length),
         ),
-        F.when(
+        (
             length > SUMMARY_MAX,
             F.format_string(f"summary: must be at most {SUMMARY_MAX} characters, got %d", length),
         ),
-        _present("entities"),
-        F.when(
-            F.size("entities") > MAX_ENTITIES,
+        _present(at, "entities"),
+        (
+            F.coalesce(F.size(at("entities")), F.lit(0)) > MAX_ENTITIES,
             F.lit(f"entities: must have at most {MAX_ENTITIES} items"),
         ),
-        F.when(
-            F.exists("entities", is_blank), F.lit("entities: each must be a non-empty string")
-        ),
-        _one_of("sentiment", SENTIMENTS),
-        _not_blank("sentiment_reason"),
-        _one_of("domain_tag", DOMAIN_TAGS),
-        _present("enriched_at"),
-    )
+        (blank_entity, F.lit("entities: each must be a non-empty string")),
+        _one_of(at, "sentiment", SENTIMENTS),
+        _not_blank(at, "sentiment_reason"),
+        _one_of(at, "domain_tag", DOMAIN_TAGS),
+        _present(at, "enriched_at"),
+    ]
 
 
-def validated_failures(dim: int = EMBEDDING_DIM) -> Column:
+def validated_checks(dim: int = EMBEDDING_DIM, at: Field = F.col) -> list[Check]:
     """Contract of a validated article; text lengths were checked earlier."""
-    return collect_failures(
-        *_article_checks(blank_checks=False),
-        _present("summary"),
-        _present("entities"),
-        _one_of("sentiment", SENTIMENTS),
-        _present("sentiment_reason"),
-        _one_of("domain_tag", DOMAIN_TAGS),
-        _present("enriched_at"),
-        check_dim("embedding", dim),
-        F.when(
-            F.exists("embedding", lambda x: x.isNull()), F.lit("embedding: must not hold nulls")
-        ),
-        _present("validated_at"),
-    )
+    problem = check_dim(at("embedding"), dim)
+    null_element = F.coalesce(F.exists(at("embedding"), lambda x: x.isNull()), F.lit(False))
+    return [
+        *article_checks(at, blank_checks=False),
+        _present(at, "summary"),
+        _present(at, "entities"),
+        _one_of(at, "sentiment", SENTIMENTS),
+        _present(at, "sentiment_reason"),
+        _one_of(at, "domain_tag", DOMAIN_TAGS),
+        _present(at, "enriched_at"),
+        (problem.isNotNull(), problem),
+        (null_element, F.lit("embedding: must not hold nulls")),
+        _present(at, "validated_at"),
+    ]
+
+
+def article_failures() -> Column:
+    return collect_failures(article_checks())
+
+
+def enriched_failures() -> Column:
+    return collect_failures(enriched_checks())
+
+
+def validated_failures(dim: int = EMBEDDING_DIM) -> Column:
+    return collect_failures(validated_checks(dim))
 
 
 def first_missing(*fields: str) -> Column:
@@ -146,26 +163,28 @@ def expectation_failures(
     allowed = "{" + ", ".join(f"'{s}'" for s in SENTIMENTS) + "}"
     shown_time = iso_time("published_at", "+00:00")
     return collect_failures(
-        F.when(
-            ~length.between(min_length, max_length),
-            F.concat(
-                F.lit("summary_length: "),
-                length.cast("string"),
-                F.lit(f" not in [{min_length}, {max_length}]"),
+        [
+            (
+                ~length.between(min_length, max_length),
+                F.concat(
+                    F.lit("summary_length: "),
+                    length.cast("string"),
+                    F.lit(f" not in [{min_length}, {max_length}]"),
+                ),
             ),
-        ),
-        F.when(
-            ~sentiment.isin(*SENTIMENTS),
-            F.concat(F.lit("sentiment: '"), sentiment, F.lit(f"' not in {allowed}")),
-        ),
-        F.when(
-            too_old(as_of, recency_days),
-            F.concat(
-                F.lit("recency: published_at "),
-                shown_time,
-                F.lit(f" older than {recency_days} days"),
+            (
+                ~sentiment.isin(*SENTIMENTS),
+                F.concat(F.lit("sentiment: '"), sentiment, F.lit(f"' not in {allowed}")),
             ),
-        ),
+            (
+                too_old(as_of, recency_days),
+                F.concat(
+                    F.lit("recency: published_at "),
+                    shown_time,
+                    F.lit(f" older than {recency_days} days"),
+                ),
+            ),
+        ]
     )
 
 

@@ -13,12 +13,13 @@ from gazette.functions.text import (
     as_col,
     at_uri_to_url,
     classify_section,
+    computed_once,
     hash16,
     lookup,
     parse_time,
     truthy,
 )
-from gazette.operators.validate import article_failures, as_of_literal
+from gazette.operators.validate import article_checks, as_of_literal, passes
 from gazette.schemas import ACCOUNT_SECTIONS, ARTICLE, FEED_SECTIONS
 
 HN_ITEM_URL = "https://news.ycombinator.com/item?id="
@@ -32,11 +33,10 @@ def section_of(mapping: dict[str, str], key: Column | str) -> Column:
 
 
 def _articles(raw: DataFrame, columns: dict[str, Column], keep: list[str]) -> DataFrame:
-    mapped = raw.select(
-        *[columns[name].alias(name) for name in ARTICLE.fieldNames()],
-        *[F.col(name) for name in keep],
+    mapped = [columns[name].alias(name) for name in ARTICLE.fieldNames()]
+    return computed_once(
+        raw, mapped, *keep, where=lambda row: passes(article_checks(lambda name: row[name]))
     )
-    return mapped.where(F.size(article_failures()) == 0)
 
 
 def _or(value: Column, default: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazette.functions.text import is_falsy, parse_time
+from gazette.functions.text import computed_once, is_falsy, parse_time
 from gazette.schemas import LOG, TIMESTAMP_COLUMNS, TOPIC_CORRUPT, json_form
 
 
@@ -56,16 +56,17 @@ def parse_records(log: DataFrame, schema: T.StructType) -> DataFrame:
     ``_corrupt`` says that the value is no JSON object. A field with a wrong
     type is NULL, and so is a time that cannot be read.
     """
-    carried = [c for c in log.columns if c != "key"]
-    parsed = log.withColumn("_r", F.from_json("value", json_form(schema), {"mode": "PERMISSIVE"}))
-    is_object = F.col("value").rlike(r"^\s*\{") & F.try_parse_json("value").isNotNull()
+    shape = T.StructType(json_form(schema).fields + [T.StructField("_bad", T.StringType())])
+    read = log.withColumn(
+        "_r", F.from_json("value", shape, {"columnNameOfCorruptRecord": "_bad"})
+    )
+    unreadable = F.col("_r._bad").isNotNull() | ~F.col("value").rlike(r"^\s*\{")
     columns = [
         (parse_time(f"_r.{name}") if name in TIMESTAMP_COLUMNS else F.col(f"_r.{name}")).alias(name)
         for name in schema.fieldNames()
     ]
-    return parsed.select(
-        *columns, *carried, (~F.coalesce(is_object, F.lit(False))).alias("_corrupt")
-    )
+    columns.append(F.coalesce(unreadable, F.lit(True)).alias("_corrupt"))
+    return computed_once(read, columns, *[c for c in log.columns if c != "key"])
 
 
 def raise_if_corrupt(records: DataFrame) -> DataFrame:

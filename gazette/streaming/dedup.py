@@ -5,9 +5,9 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from gazette.functions.text import min_words
@@ -23,8 +23,7 @@ class FirstSeen(StatefulProcessor):
 
     The TTL runs from the first sight in processing time; later copies do not
     prolong it. Of the rows that reach a key in one micro-batch the one with
-    the smallest order value is the first. Rows are looked at batch by batch
-    and only the best one so far is held.
+    the smallest order value is the first; only the best one so far is held.
     """
 
     def __init__(self, order: str, ttl_hours: float):
@@ -34,26 +33,25 @@ class FirstSeen(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._seen = handle.getValueState("seen", "seen boolean", self._ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self._seen.exists():
-            return
-        best = None
-        for batch in rows:
-            head = batch.loc[[batch[self._order].idxmin()]]
-            if best is None or head[self._order].iloc[0] < best[self._order].iloc[0]:
-                best = head
-        if best is not None:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if not self._seen.exists():
             self._seen.update((True,))
-            yield best
+            yield min(rows, key=lambda row: row[self._order])
 
     def close(self) -> None:
         pass
 
 
 def _first_per_batch(key: str, order: str):
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.sort_values(order, kind="stable").drop_duplicates(key)
+            keys = batch.column(key).to_pylist()
+            orders = batch.column(order).to_pylist()
+            first: dict = {}
+            for i, (k, at) in enumerate(zip(keys, orders)):
+                if k not in first or at < orders[first[k]]:
+                    first[k] = i
+            yield batch.take(pa.array(first.values(), pa.int64())) if len(first) < len(keys) else batch
 
     return combine
 
@@ -74,8 +72,8 @@ def first_seen_ttl(
     """
     rows = stream.where(stream[key].isNotNull())
     if combine:
-        rows = rows.mapInPandas(_first_per_batch(key, order), rows.schema)
-    first = rows.groupBy(key).transformWithStateInPandas(
+        rows = rows.mapInArrow(_first_per_batch(key, order), rows.schema)
+    first = rows.groupBy(key).transformWithState(
         statefulProcessor=FirstSeen(order, ttl_hours),
         outputStructType=rows.schema,
         outputMode="Append",

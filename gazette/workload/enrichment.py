@@ -138,7 +138,7 @@ PARSED_CTES = {
     )
 )
 def parse_replies(spark, sf_dir):
-    parsed = replies(spark, sf_dir).withColumn("p", parse_unified(F.col("reply")))
+    parsed = parse_unified(replies(spark, sf_dir), F.col("reply"), into="p")
     return parsed.select(
         "seq",
         F.col("p").isNotNull().alias("readable"),
