@@ -132,7 +132,8 @@ def extract_text(page: str | None) -> str | None:
     if not page:
         return None
     state = _Page()
-    cleaned = RAW_TEXT.sub("", page)
+    # An empty comment in its place keeps the text before and after it apart.
+    cleaned = RAW_TEXT.sub("<!---->", page)
     at = 0
     for token in TOKEN.finditer(cleaned):
         if token.start() > at:
