@@ -132,6 +132,24 @@ def is_http_url(c: Column | str) -> Column:
     )
 
 
+def canonical_url(c: Column | str) -> Column:
+    """An http(s) address with its scheme and host in lower case, without the
+    scheme's own port, and with at least a slash as path; other text unchanged.
+
+    Other normalisation (percent or punycode encoding) is left to the source.
+    """
+    text = as_col(c)
+    parts = r"^((?i)https?)://([^/?#]*)(.*)$"
+    scheme = F.lower(F.regexp_extract(text, parts, 1))
+    host = F.lower(F.regexp_extract(text, parts, 2))
+    rest = F.regexp_extract(text, parts, 3)
+    port = F.when(scheme == "http", r":80$").otherwise(r":443$")
+    path = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
+    return F.when(
+        is_http_url(text), F.concat(scheme, F.lit("://"), F.regexp_replace(host, port, ""), path)
+    ).otherwise(text)
+
+
 def computed_once(df: DataFrame, columns: list[Column], *keep: str, where=None) -> DataFrame:
     """``df.select(*keep, *columns)`` whose columns are worked out once per row.
 

@@ -129,30 +129,34 @@ def unfence(text: Column) -> Column:
     return F.regexp_replace(opened, rf"{SPACE}*```\z", "")
 
 
-def _plain_text(value: Column) -> Column:
+def _described(value: Column) -> Column:
+    """A JSON value's type and text, worked out once for what looks at both."""
+    return F.struct(
+        F.schema_of_variant(value).alias("kind"), value.cast("string").alias("text")
+    )
+
+
+def _plain_text(described: Column) -> Column:
     """A JSON value as text the way Python's str() shows it.
 
     Nested values differ: they come out as JSON instead of a Python literal.
     """
-    kind = F.schema_of_variant(value)
-    text = value.cast("string")
+    kind, text = described["kind"], described["text"]
     return (
-        F.when(F.is_variant_null(value), F.lit("None"))
+        F.when(kind == "VOID", F.lit("None"))
         .when(kind == "BOOLEAN", F.initcap(text))
         .otherwise(text)
     )
 
 
-def _is_truthy(value: Column) -> Column:
-    kind = F.schema_of_variant(value)
-    text = value.cast("string")
-    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-    return ~(
-        F.is_variant_null(value)
-        | ((kind == "STRING") & (text == ""))
-        | ((kind == "BOOLEAN") & (text == "false"))
-        | (number & (F.coalesce(F.try_variant_get(value, "$", "double"), F.lit(1.0)) == 0))
-        | ((kind != "STRING") & text.isin("[]", "{}"))
+def _is_truthy(described: Column) -> Column:
+    kind, text = described["kind"], described["text"]
+    return (
+        F.when(kind == "STRING", text != "")
+        .when(kind == "VOID", F.lit(False))
+        .when(kind == "BOOLEAN", text == "true")
+        .when(text.isin("[]", "{}"), F.lit(False))
+        .otherwise(F.coalesce(text.try_cast("double") != 0, F.lit(True)))
     )
 
 
@@ -170,8 +174,8 @@ def coerce_entities(value: Column) -> Column:
     items = F.coalesce(
         F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>")
     )
-    texts = F.transform(F.filter(items, _is_truthy), lambda e: strip(_plain_text(e)))
-    return F.slice(texts, 1, MAX_ENTITIES)
+    found = F.slice(F.filter(F.transform(items, _described), _is_truthy), 1, MAX_ENTITIES)
+    return F.transform(found, lambda e: strip(_plain_text(e)))
 
 
 def coerce_sentiment(sentiment: Column) -> Column:
@@ -200,7 +204,7 @@ def _answer(summary: Column, entities: Column, sentiment: Column, reason: Column
 
 
 def _or_default(value: Column, default: str) -> Column:
-    return F.when(value.isNull(), F.lit(default)).otherwise(_plain_text(value))
+    return F.when(value.isNull(), F.lit(default)).otherwise(_plain_text(_described(value)))
 
 
 def parse_unified(df: DataFrame, reply: Column, into: str) -> DataFrame:
@@ -224,9 +228,9 @@ def parse_unified(df: DataFrame, reply: Column, into: str) -> DataFrame:
     answer = F.when(
         at("summary").isNotNull() & at("sentiment").isNotNull(),
         _answer(
-            _plain_text(at("summary")),
+            _plain_text(_described(at("summary"))),
             at("entities"),
-            _plain_text(at("sentiment")),
+            _plain_text(_described(at("sentiment"))),
             _or_default(at("sentiment_reason"), ""),
             _or_default(at("domain_tag"), "Other"),
         ),

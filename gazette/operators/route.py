@@ -40,3 +40,23 @@ def keyed_messages(df: DataFrame, topic: Column, columns: list[str] | None = Non
     return df.select(
         F.col("article_id").alias("key"), as_json(df, columns).alias("value"), topic.alias("topic")
     )
+
+
+def _variants(fields: dict[str, Column]) -> Column:
+    """Columns as a map of JSON values."""
+    values = [F.parse_json(F.to_json(F.struct(c.alias("v")))) for c in fields.values()]
+    wrapped = F.map_from_arrays(F.array(*[F.lit(n) for n in fields]), F.array(*values))
+    return F.transform_values(wrapped, lambda _, v: F.try_variant_get(v, "$.v", "variant"))
+
+
+def dead_value(added: dict[str, Column], original: Column | str = "value") -> Column:
+    """The original JSON object with further fields, whatever else it holds.
+
+    A NULL field is left out: the stage had not got to it. An original that is
+    no JSON object is kept as text under ``_raw``.
+    """
+    members = F.try_variant_get(F.try_parse_json(as_col(original)), "$", "map<string, variant>")
+    base = F.coalesce(members, _variants({"_raw": as_col(original)}))
+    new = F.map_filter(_variants(added), lambda _, v: v.isNotNull())
+    kept = F.map_filter(base, lambda k, _: ~F.map_contains_key(new, k))
+    return F.to_json(F.map_concat(kept, new))

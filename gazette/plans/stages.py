@@ -15,7 +15,7 @@ from gazette.functions.vectors import EmbedderFactory
 from gazette.operators.dedup import first_seen_long
 from gazette.operators.enrich import ModelFactory, enrich
 from gazette.operators.gate import quality_gate
-from gazette.operators.route import as_json, route_section
+from gazette.operators.route import as_json, dead_value, route_section
 from gazette.operators.validate import as_of_literal
 from gazette.schemas import (
     ARTICLE,
@@ -64,23 +64,6 @@ def route_stage(log: DataFrame, n: int = MIN_WORDS, first_long=first_seen_long)
     )
 
 
-def _dead_value(extra: dict[str, Column]) -> Column:
-    """The original object with further fields, whatever else it holds."""
-    members = F.try_variant_get(F.try_parse_json("value"), "$", "map<string, variant>")
-    added = F.map_from_arrays(
-        F.array(*[F.lit(name) for name in extra]),
-        F.array(*[F.parse_json(F.to_json(F.struct(c.alias("v")))) for c in extra.values()]),
-    )
-    added = F.transform_values(added, lambda _, v: F.try_variant_get(v, "$.v", "variant"))
-    # A field that the stage has not reached is left out instead of added empty.
-    added = F.map_filter(added, lambda _, v: v.isNotNull())
-    unread = F.create_map(F.lit("_raw"), F.parse_json(F.to_json(F.struct(F.col("value").alias("v")))))
-    unread = F.transform_values(unread, lambda _, v: F.try_variant_get(v, "$.v", "variant"))
-    base = F.coalesce(members, unread)
-    kept = F.map_filter(base, lambda k, _: ~F.map_contains_key(added, k))
-    return F.to_json(F.map_concat(kept, added))
-
-
 def _stage_messages(
     checked: DataFrame,
     columns: list[str],
@@ -96,7 +79,7 @@ def _stage_messages(
         extra["_failed_stage"] = F.lit(stage)
     return checked.select(
         F.col("article_id").alias("key"),
-        F.when(failed, _dead_value(extra)).otherwise(as_json(checked, columns)).alias("value"),
+        F.when(failed, dead_value(extra)).otherwise(as_json(checked, columns)).alias("value"),
         "offset",
         as_of_literal(failed_at).alias("timestamp"),
         F.when(failed, TOPIC_FAILED).otherwise(topic).alias("topic"),

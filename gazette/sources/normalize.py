@@ -6,12 +6,17 @@ rows that break the article contract, as a feed reader would skip them.
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazette.functions.text import (
     as_col,
     at_uri_to_url,
+    canonical_url,
     classify_section,
     computed_once,
     hash16,
@@ -22,6 +27,8 @@ from gazette.functions.text import (
 from gazette.operators.validate import article_checks, as_of_literal, passes
 from gazette.schemas import ACCOUNT_SECTIONS, ARTICLE, FEED_SECTIONS
 
+logger = logging.getLogger(__name__)
+
 HN_ITEM_URL = "https://news.ycombinator.com/item?id="
 BACKFILL_SOURCE = "guardian-backfill"
 HEADLINE_CHARS = 120
@@ -33,6 +40,7 @@ def section_of(mapping: dict[str, str], key: Column | str) -> Column:
 
 
 def _articles(raw: DataFrame, columns: dict[str, Column], keep: list[str]) -> DataFrame:
+    columns["source_url"] = canonical_url(columns["source_url"])
     mapped = [columns[name].alias(name) for name in ARTICLE.fieldNames()]
     return computed_once(
         raw, mapped, *keep, where=lambda row: passes(article_checks(lambda name: row[name]))
@@ -181,6 +189,17 @@ NORMALIZERS = {
 }
 
 
+def available_sources(loaders: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Load each source; one that cannot be read is logged and left out."""
+    found = {}
+    for name, load in loaders.items():
+        try:
+            found[name] = load()
+        except AnalysisException:
+            logger.exception("source %s cannot be read, going on without it", name)
+    return found
+
+
 def union_sources(sources: dict[str, DataFrame]) -> DataFrame:
     """All sources in the given order, which decides whose copy comes first.
 

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gazette.functions.text import iso_time
 from gazette.operators.dedup import DEAD, INSERTED, label_inserts
 from gazette.operators.maintenance import prune
-from gazette.operators.route import as_json
+from gazette.operators.route import dead_value
 from gazette.schemas import PRUNE_DAYS, STAGE_INGEST, STORE, STORED_FIELDS, TOPIC_FAILED
 
 PARTITIONED = T.StructType(STORE.fields + [T.StructField("dt", T.DateType())])
@@ -61,6 +62,7 @@ def ingest_batch(
 ) -> None:
     """Insert the new articles of one batch and log its dead letters.
 
+    ``batch`` holds validated records beside their original ``value``.
     May be run again for the same batch after any failure. Labels depend on what
     the store held before the batch, so they are written once per batch, and a
     repeated run reads them back instead of labelling against a store that
@@ -80,21 +82,19 @@ def ingest_batch(
     append(new.join(present, "article_id", "left_anti"), store_path)
 
     no_id = F.coalesce(F.col("article_id"), F.lit("")) == ""
-    dead = labelled.where(F.col("label") == DEAD).withColumns(
-        {
-            "_error": F.when(no_id, "missing required field: article_id").otherwise(
-                "missing or invalid embedding"
-            ),
-            "_failed_at": F.lit(failed_at).cast("timestamp"),
-            "_failed_stage": F.lit(STAGE_INGEST),
-        }
-    )
-    kept = [c for c in dead.columns if c not in ("value", "label", "topic", "timestamp")]
+    added = {
+        "_error": F.when(no_id, "missing required field: article_id").otherwise(
+            "missing or invalid embedding"
+        ),
+        "_failed_at": iso_time(F.lit(failed_at).cast("timestamp")),
+        "_failed_stage": F.lit(STAGE_INGEST),
+    }
+    dead = labelled.where(F.col("label") == DEAD)
     dead.select(
         F.col("article_id").alias("key"),
-        as_json(dead, [c for c in kept if c != order]).alias("value"),
+        dead_value(added).alias("value"),
         F.col(order).alias("offset"),
-        F.col("_failed_at").alias("timestamp"),
+        F.lit(failed_at).cast("timestamp").alias("timestamp"),
     ).write.mode("overwrite").parquet(f"{failed_path}/topic={TOPIC_FAILED}/batch_id={batch_id}")
 
 

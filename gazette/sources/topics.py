@@ -72,12 +72,9 @@ def parse_records(log: DataFrame, schema: T.StructType) -> DataFrame:
 def raise_if_corrupt(records: DataFrame) -> DataFrame:
     """Fail the job at the first record that is no JSON object or has no id."""
     bad = F.col("_corrupt") | is_falsy("article_id")
-    return records.withColumn(
-        "_corrupt",
-        F.when(bad, F.raise_error(F.concat(F.lit("unreadable record: "), "value"))).otherwise(
-            F.lit(False)
-        ),
-    )
+    fail = F.raise_error(F.concat(F.lit("unreadable record: "), "value")).cast("boolean")
+    # As a filter, because a column nobody reads would never be worked out.
+    return records.where(F.when(bad, fail).otherwise(F.lit(True)))
 
 
 def corrupt_records(records: DataFrame) -> DataFrame:

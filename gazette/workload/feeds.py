@@ -363,7 +363,8 @@ def posts(spark, sf_dir):
                  WHEN txt <> '' THEN txt ELSE headline END AS body,
             CASE account """
         + " ".join(f"WHEN '{a}' THEN '{s}'" for a, s in ACCOUNT_SECTIONS.items())
-        + """ END AS section, published_at, coalesce(card_uri, post_url) AS source_url FROM h""",
+        + """ END AS section, published_at, coalesce(card_uri, CASE post_url WHEN 'https://bsky.app' THEN 'https://bsky.app/'
+                 ELSE post_url END) AS source_url FROM h""",
     )
 )
 def normalize_social_posts(spark, sf_dir):

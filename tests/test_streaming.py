@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from builders import AS_OF, LONG, SHORT, enriched, log, raw
@@ -166,3 +167,14 @@ def test_time_to_live_forgets_ids(spark, tmp_path):
             query.awaitTermination()
         offsets = sorted(r.offset for r in spark.read.parquet(out).select(F.col("offset")).collect())
         assert offsets == ([0, 2] if step == "short" else [0])
+
+
+def test_fail_fast_on_unreadable_records(spark):
+    from gazette.schemas import ARTICLE
+    from gazette.sources.topics import parse_records, raise_if_corrupt
+
+    good = raise_if_corrupt(parse_records(log(spark, RAW[:3]), ARTICLE))
+    assert good.count() == 3
+    bad = raise_if_corrupt(parse_records(log(spark, [raw("a/1"), "not json"]), ARTICLE))
+    with pytest.raises(Exception, match="unreadable record: not json"):
+        bad.count()

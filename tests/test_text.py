@@ -129,3 +129,17 @@ def test_percent(spark):
     )
     for r in frame.select("p", "n", percent(F.col("p"), F.col("n")).alias("y")).collect():
         assert r.y == (round(r.p / r.n * 100, 1) if r.n else 0.0)
+
+
+def test_canonical_addresses(spark):
+    rows = {
+        "HTTPS://EXAMPLE.com": "https://example.com/",
+        "http://A.b:80/Path?Q=1": "http://a.b/Path?Q=1",
+        "https://a.b:443": "https://a.b/",
+        "https://a.b:80/x": "https://a.b:80/x",
+        "https://a.b?x=Y": "https://a.b/?x=Y",
+        "https://a.b/C#D": "https://a.b/C#D",
+        "ftp://A": "ftp://A",
+        "": "",
+    }
+    assert values(spark, list(rows), t.canonical_url("x")) == list(rows.values())

@@ -1,6 +1,7 @@
 """Feed and metric queries, retention, gaps, health checks, the store and buffers."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,7 +171,8 @@ def validated(spark, records):
     rows = [
         {"embedding": [0.5] * 4, "validated_at": "2024-01-19T00:00:00Z", **r} for r in records
     ]
-    return frame(spark, VALIDATED, rows).withColumn("offset", F.monotonically_increasing_id())
+    df = frame(spark, VALIDATED, rows).withColumn("value", F.to_json(F.struct("*")))
+    return df.withColumn("offset", F.monotonically_increasing_id())
 
 
 def ingest(batch, batch_id, root):
@@ -193,7 +195,12 @@ def test_ingest_is_idempotent_and_first_wins(spark, tmp_path):
     rows, dead = state()
     assert [(r.article_id, r.headline) for r in rows] == [("a/1", "first"), ("a/2", "Headline of a/2")]
     assert "body" not in rows[0].asDict() and str(rows[0].dt) == "2024-01-18"
-    assert len(dead) == 2 and all('"_failed_stage":"weaviate-ingestion"' in d.value for d in dead)
+    letters = [json.loads(d.value) for d in dead]
+    assert {x["_error"] for x in letters} == {
+        "missing required field: article_id", "missing or invalid embedding",
+    }
+    assert {x["_failed_stage"] for x in letters} == {"weaviate-ingestion"}
+    assert all(x["body"] and x["_failed_at"] == "2024-01-20T12:00:00Z" for x in letters)
 
     # The same batch again, as after a failure between its writes.
     ingest(batch, 0, root)
