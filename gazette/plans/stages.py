@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazette.functions.text import is_falsy, iso_time
+from gazette.functions.text import is_falsy, iso_time, min_words
 from gazette.functions.vectors import EmbedderFactory
-from gazette.operators.dedup import first_seen_long
+from gazette.operators.dedup import first_seen
 from gazette.operators.enrich import ModelFactory, enrich
 from gazette.operators.gate import quality_gate
 from gazette.operators.route import as_json, dead_value, route_section
@@ -41,27 +41,24 @@ def readable_articles(log: DataFrame) -> DataFrame:
     return records.withColumn("_corrupt", F.col("_corrupt") | unusable)
 
 
-def routed_messages(articles: DataFrame) -> DataFrame:
-    """Articles as messages of their section's topic, with the original value."""
-    return articles.select(
-        F.col("article_id").alias("key"),
-        "value",
-        "offset",
-        "timestamp",
-        route_section("section").alias("topic"),
-    )
-
-
-def route_stage(log: DataFrame, n: int = MIN_WORDS, first_long=first_seen_long) -> DataFrame:
+def route_stage(log: DataFrame, n: int = MIN_WORDS, first_of=first_seen) -> DataFrame:
     """Raw messages to section topics: first copies with enough words.
 
-    ``first_long`` is the batch or the streaming form of the deduplication.
+    ``first_of`` is the batch or the streaming form of the deduplication. What
+    it decides on is worked out before it, so that it moves no parsed fields,
+    and of rows that are too short not even the message.
     """
     records = readable_articles(log)
-    good = records.where(~F.col("_corrupt")).drop("_corrupt", "topic")
-    return routed_messages(first_long(good, n, order="offset")).unionByName(
-        corrupt_records(records)
+    long_enough = min_words("body", n)
+    good = records.where(~F.col("_corrupt")).select(
+        F.col("article_id").alias("key"),
+        F.when(long_enough, F.col("value")).alias("value"),
+        "offset",
+        "timestamp",
+        route_section("section").alias("topic"),
     )
+    routed = first_of(good, key="key", order="offset", then=F.col("value").isNotNull())
+    return routed.select(*LOG_COLUMNS).unionByName(corrupt_records(records))
 
 
 def _stage_messages(

@@ -10,8 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from gazette.functions.text import min_words
-from gazette.schemas import MIN_WORDS, SEEN_TTL_HOURS
+from gazette.schemas import SEEN_TTL_HOURS
 
 # The process that sets up the state schema does not get the files a session
 # ships to its workers, so the processor travels as code instead of by name.
@@ -66,7 +65,8 @@ def first_seen_ttl(
 ) -> DataFrame:
     """Streaming twin of ``operators.dedup.first_seen``.
 
-    With ``combine``, copies are dropped within each Arrow batch before the
+    All columns pass through the state operator, so select what is needed
+    beforehand. With ``combine``, copies are dropped within each Arrow batch before the
     shuffle, so a key that makes up much of the input sends one row per batch
     to its task instead of all of them.
     """
@@ -80,8 +80,3 @@ def first_seen_ttl(
         timeMode="ProcessingTime",
     )
     return first if then is None else first.where(then)
-
-
-def first_seen_long_ttl(stream: DataFrame, n: int = MIN_WORDS, **options) -> DataFrame:
-    """First copies whose body has at least ``n`` words; short ones claim their id."""
-    return first_seen_ttl(stream, then=min_words("body", n), **options)

@@ -17,6 +17,7 @@ from gazette.operators.enrich import ModelFactory
 from gazette.plans.stages import enrich_stage, gate_stage, route_stage, validated_records
 from gazette.schemas import (
     EMBEDDING_DIM,
+    MIN_WORDS,
     TOPIC_ENRICHED,
     TOPIC_FINANCE,
     TOPIC_RAW,
@@ -26,17 +27,22 @@ from gazette.schemas import (
 )
 from gazette.sources.store import ingest_batch
 from gazette.sources.topics import read_topics, stream_topics
-from gazette.streaming.dedup import first_seen_long_ttl
+from gazette.streaming.dedup import first_seen_ttl
 
 EVERY_MINUTE = {"processingTime": "60 seconds"}
 
 
 def start_router(
-    spark: SparkSession, raw: str, routed: str, checkpoint: str, trigger=EVERY_MINUTE, n: int = 200
+    spark: SparkSession,
+    raw: str,
+    routed: str,
+    checkpoint: str,
+    trigger=EVERY_MINUTE,
+    n: int = MIN_WORDS,
 ) -> StreamingQuery:
     log = read_topics(spark, raw, [TOPIC_RAW], streaming=True)
     return stream_topics(
-        route_stage(log, n, first_long=first_seen_long_ttl), checkpoint, routed, trigger
+        route_stage(log, n, first_of=first_seen_ttl), checkpoint, routed, trigger
     )
 
 

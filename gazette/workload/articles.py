@@ -17,9 +17,10 @@ from gazette.operators.dedup import (
 from gazette.operators.reports import existing, publish_counts, tick_stats
 from gazette.operators.route import fan_out, keyed_messages, route_section
 from gazette.plans.tick import seen_after, tick
+from gazette.schemas import MIN_WORDS
 from gazette.session import checkpoint_root
 from gazette.sources.normalize import union_sources
-from gazette.streaming.dedup import first_seen_long_ttl
+from gazette.streaming.dedup import first_seen_ttl
 from gazette.workload.base import ALL_SECTIONS, SQL_TOPIC, articles, pick, query, sql, sql_words, table
 
 FIRSTS = """SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY seq) AS rn
@@ -327,12 +328,11 @@ def dedup_ttl_stream(spark, sf_dir):
     )
     rows = stream.select(
         F.concat(F.lit("doc/"), hash16("text")).alias("article_id"),
-        F.col("text").alias("body"),
-        (F.col("doc_id") % 6).alias("section_no"),
+        route_section(pick(ALL_SECTIONS, F.col("doc_id") % 6)).alias("topic"),
+        min_words("text", MIN_WORDS).alias("long_enough"),
         F.col("doc_id").alias("offset"),
     )
-    section = pick(ALL_SECTIONS, F.col("section_no"))
-    routed = first_seen_long_ttl(rows).select(route_section(section).alias("topic"), "offset")
+    routed = first_seen_ttl(rows, then=F.col("long_enough")).select("topic", "offset")
     running = (
         routed.writeStream.format("parquet")
         .option("checkpointLocation", f"{root}/checkpoint")
