@@ -40,9 +40,9 @@ def _relative_to_winner(
     if seen is None:
         winners = winners.withColumn("_seen", F.lit(False))
     else:
-        # Only the ids at hand matter: a large table of seen ids is cut down to
-        # them, which Spark does map-side where they are few enough to broadcast.
-        known = seen.select(key).join(winners.select(key), key, "left_semi").distinct()
+        # Distinct ids leave the aggregation partitioned like the winners, so
+        # this join moves nothing.
+        known = seen.select(key).where(F.col(key).isNotNull()).distinct()
         winners = winners.join(known.withColumn("_seen", F.lit(True)), key, "left")
     return lookup_left(marked, winners, key, F.col(order), rows_per_slice)
 
@@ -77,19 +77,21 @@ def label_inserts(
     stored: DataFrame | None = None,
     key: str = "article_id",
     order: str = "seq",
-    vector: str = "embedding",
+    usable: Column | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Label every row ``dead-letter``, ``skipped`` or ``inserted``.
 
     A row without an id is a dead letter. A row whose id is stored, or was
     inserted by an earlier row, is skipped even if its vector is unusable.
-    Otherwise an empty vector makes it a dead letter, else it is inserted.
+    Otherwise an unusable vector makes it a dead letter, else it is inserted. A
+    vector is usable if it is not empty, unless ``usable`` says otherwise.
     """
     keyed = df.withColumn("_has_id", ~is_falsy(key)).withColumn(
         "_key", F.when(F.col("_has_id"), F.col(key))
     )
-    usable = F.coalesce(F.size(F.col(vector)) > 0, F.lit(False))
+    if usable is None:
+        usable = F.coalesce(F.size("embedding") > 0, F.lit(False))
     known = None if stored is None else stored.select(F.col(key).alias("_key"))
     placed = _relative_to_winner(keyed, "_key", order, usable, known, rows_per_slice)
     earlier = F.coalesce(F.col(order) > F.col("_winner"), F.lit(False))

@@ -5,27 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are ever broadcast, whatever the data holds. A key that
-# is not among the most frequent MAX_HEAVY has less than 1/MAX_HEAVY of the rows.
-MAX_HEAVY = 1000
+# What is broadcast is at most this many pairs of a 64-bit hash and a number,
+# whatever the data holds: a few megabytes. A key that is not among the most
+# frequent MAX_HEAVY has less than 1/MAX_HEAVY of the rows.
+MAX_HEAVY = 100_000
 # Rows of one key that a single task may be given before the key is split.
-ROWS_PER_SLICE = 200_000
+ROWS_PER_SLICE = 100_000
 # Rows without a key match nothing; they only need to be spread out.
-NULL_SLICES = 512
+NULL_SLICES = 4096
 
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = MAX_HEAVY) -> DataFrame:
-    """The most frequent keys with at least ``min_rows`` rows: ``(key, rows)``.
+def heavy_keys(
+    df: DataFrame, key: str, min_rows: int = ROWS_PER_SLICE, max_keys: int = MAX_HEAVY
+) -> DataFrame:
+    """Hashes of the most frequent keys with at least ``min_rows`` rows: ``(_hash, _rows)``.
 
-    The count is partially aggregated before its shuffle, and the result is a
-    top-k, so its size is bounded by ``max_keys``.
+    Exact, so a recomputed task finds the same keys. The count is partially
+    aggregated before its shuffle, and the result is a top-k. Keys that share a
+    hash are counted, and later split, together.
     """
     return (
         df.where(F.col(key).isNotNull())
-        .groupBy(key)
+        .groupBy(F.xxhash64(key).alias("_hash"))
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"), key)
+        .orderBy(F.desc("_rows"), "_hash")
         .limit(max_keys)
     )
 
@@ -46,19 +50,30 @@ def lookup_left(
     """
     slices = F.broadcast(
         heavy_keys(rows, key, rows_per_slice).select(
-            key, F.ceil(F.col("_rows") / F.lit(rows_per_slice)).cast("int").alias("_slices")
+            "_hash", F.ceil(F.col("_rows") / F.lit(rows_per_slice)).cast("int").alias("_slices")
         )
     )
-    dealt = rows.join(slices, key, "left").withColumn(
-        "_slice",
-        F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread), F.lit(NULL_SLICES)))
-        .when(F.col("_slices").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_slices")))
-        .otherwise(F.lit(0))
-        .cast("int"),
+    hashed = F.xxhash64(key)
+    dealt = (
+        rows.withColumn("_hash", hashed)
+        .join(slices, "_hash", "left")
+        .withColumn(
+            "_slice",
+            F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread), F.lit(NULL_SLICES)))
+            .when(F.col("_slices").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_slices")))
+            .otherwise(F.lit(0))
+            .cast("int"),
+        )
     )
-    repeated = attributes.join(slices, key, "left").withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1))
+    repeated = (
+        attributes.withColumn("_hash", hashed)
+        .join(slices, "_hash", "left")
+        .withColumn(
+            "_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1))
+        )
     )
-    return dealt.drop("_slices").join(repeated.drop("_slices"), [key, "_slice"], "left").drop(
-        "_slice"
+    return (
+        dealt.drop("_hash", "_slices")
+        .join(repeated.drop("_hash", "_slices"), [key, "_slice"], "left")
+        .drop("_slice")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,26 @@ def append(articles: DataFrame, path: str) -> None:
     )
 
 
+def _written_once(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a table at ``path``, written unless an earlier run finished it."""
+    spark = df.sparkSession
+    fs, done = _path(spark, f"{path}/_SUCCESS")
+    if not fs.exists(done):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _run_token(spark: SparkSession, work_path: str) -> str:
+    """A name drawn when work starts in an empty folder; batch numbers repeat, it does not."""
+    drawn = spark.createDataFrame([(uuid.uuid4().hex,)], "token string")
+    return _written_once(drawn, f"{work_path}/run").first()["token"]
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, target = _path(spark, path)
+    fs.delete(target, True)
+
+
 def ingest_batch(
     batch: DataFrame,
     batch_id: int,
@@ -63,23 +84,40 @@ def ingest_batch(
     """Insert the new articles of one batch and log its dead letters.
 
     ``batch`` holds validated records beside their original ``value``.
+
     May be run again for the same batch after any failure. Labels depend on what
-    the store held before the batch, so they are written once per batch, and a
-    repeated run reads them back instead of labelling against a store that
-    already holds some of its rows.
+    the store held before the batch, so records and labels are written to shared
+    storage once per batch, and a repeated run reads them back instead of
+    labelling against a store that already holds some of its rows. They are
+    removed when a later batch shows that this one is done. ``work_path`` must
+    belong to the stream's checkpoint: batch numbers start anew without it.
     """
     spark = batch.sparkSession
-    labels_path = f"{work_path}/batch_id={batch_id}"
-    fs, done = _path(spark, f"{labels_path}/_SUCCESS")
     ensure_store(spark, store_path)
-    if not fs.exists(done):
-        stored = read_store(spark, store_path)
-        label_inserts(batch, stored, order=order).write.mode("overwrite").parquet(labels_path)
-    labelled = spark.read.parquet(labels_path)
+    records = _written_once(
+        batch.withColumn("_row", F.monotonically_increasing_id()),
+        f"{work_path}/records/batch_id={batch_id}",
+    )
+    # The store is usually much larger than a batch. Against a written batch
+    # Spark knows the size of its ids and can cut the store down map-side.
+    ids = records.select("article_id").distinct()
+    stored = read_store(spark, store_path).select("article_id").join(ids, "article_id", "left_semi")
+    usable = F.coalesce(F.size("embedding") > 0, F.lit(False)).alias("_usable")
+    labels = _written_once(
+        label_inserts(
+            records.select("_row", "article_id", order, usable),
+            stored,
+            order=order,
+            usable=F.col("_usable"),
+        ).select("_row", "label"),
+        f"{work_path}/labels/batch_id={batch_id}",
+    )
+
+    def labelled(label: str) -> DataFrame:
+        return records.join(labels.where(F.col("label") == label), "_row", "left_semi")
 
-    new = labelled.where(F.col("label") == INSERTED)
-    present = read_store(spark, store_path).select("article_id")
-    append(new.join(present, "article_id", "left_anti"), store_path)
+    present = read_store(spark, store_path).select("article_id").join(ids, "article_id", "left_semi")
+    append(labelled(INSERTED).join(present, "article_id", "left_anti"), store_path)
 
     no_id = F.coalesce(F.col("article_id"), F.lit("")) == ""
     added = {
@@ -89,13 +127,16 @@ def ingest_batch(
         "_failed_at": iso_time(F.lit(failed_at).cast("timestamp")),
         "_failed_stage": F.lit(STAGE_INGEST),
     }
-    dead = labelled.where(F.col("label") == DEAD)
-    dead.select(
+    labelled(DEAD).select(
         F.col("article_id").alias("key"),
         dead_value(added).alias("value"),
         F.col(order).alias("offset"),
         F.lit(failed_at).cast("timestamp").alias("timestamp"),
-    ).write.mode("overwrite").parquet(f"{failed_path}/topic={TOPIC_FAILED}/batch_id={batch_id}")
+    ).write.mode("overwrite").parquet(
+        f"{failed_path}/topic={TOPIC_FAILED}/run={_run_token(spark, work_path)}/batch_id={batch_id}"
+    )
+    for kind in ("records", "labels"):
+        _drop(spark, f"{work_path}/{kind}/batch_id={batch_id - 1}")
 
 
 def prune_store(spark: SparkSession, path: str, as_of: dt.datetime, days: int = PRUNE_DAYS) -> dict:
@@ -118,6 +159,5 @@ def prune_store(spark: SparkSession, path: str, as_of: dt.datetime, days: int =
         ).parquet(path)
     for date in old:
         if not (rewrite and date == last):
-            fs, target = _path(spark, f"{path}/dt={date.isoformat()}")
-            fs.delete(target, True)
+            _drop(spark, f"{path}/dt={date.isoformat()}")
     return {"deleted_count": sum(old.values()), "cutoff": cutoff.isoformat()}

@@ -80,16 +80,15 @@ def start_ingester(
     validated: str,
     store: str,
     failed: str,
-    work: str,
     checkpoint: str,
     trigger=EVERY_MINUTE,
 ) -> StreamingQuery:
-    """``work`` keeps each batch's labels; like ``checkpoint`` it must be shared storage."""
+    """What a batch decides is kept with the checkpoint, and goes when that goes."""
     log = read_topics(spark, validated, [TOPIC_VALIDATED], streaming=True)
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         failed_at = dt.datetime.now(dt.timezone.utc)
-        ingest_batch(batch, batch_id, store, failed, work, failed_at)
+        ingest_batch(batch, batch_id, store, failed, f"{checkpoint}/work", failed_at)
 
     writer = validated_records(log).writeStream.foreachBatch(ingest)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

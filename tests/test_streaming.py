@@ -71,7 +71,7 @@ def test_route_stage_keeps_fields_and_splits(spark):
 
 def test_all_stages_as_streams_with_restart(spark, tmp_path):
     at = {name: str(tmp_path / name) for name in ("raw", "routed", "enriched", "validated")}
-    store, failed, work = (str(tmp_path / n) for n in ("store", "failed", "work"))
+    store, failed = str(tmp_path / "store"), str(tmp_path / "failed")
 
     def checkpoint(name):
         return str(tmp_path / "checkpoints" / name)
@@ -86,9 +86,7 @@ def test_all_stages_as_streams_with_restart(spark, tmp_path):
                 spark, at["enriched"], at["validated"], checkpoint("g"), hashing_embedder(),
                 EMBEDDING_DIM, ONCE, AS_OF,
             ),
-            lambda: start_ingester(
-                spark, at["validated"], store, failed, work, checkpoint("i"), ONCE
-            ),
+            lambda: start_ingester(spark, at["validated"], store, failed, checkpoint("i"), ONCE),
         ]
         for start in jobs:
             query = start()
