@@ -41,7 +41,7 @@ TOKEN = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S,
 )
-MAIN_ROLE = re.compile(r"\brole\s*=\s*(?:\"main\"|'main'|main(?=[\s/]|\Z))", re.I)
+MAIN_ROLE = re.compile(r"(?<![\w-])role\s*=\s*(?:\"main\"|'main'|main(?=[\s/]|\Z))", re.I)
 
 
 class _Page:
@@ -72,7 +72,7 @@ class _Page:
         depth = len(self.open)
         if self.noise_at is not None:
             return
-        if name in NOISE or name == "head":
+        if name in NOISE or name in ("head", "title"):
             self.noise_at = depth
             return
         kinds = [name] if name in ("article", "main") else []

@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Where every partition of a join's narrow side is small, hash it instead of
+    # sorting whole articles on the other side. Spark checks the actual sizes.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
     # Bodies and pages are large: bound a Python batch by bytes, not only rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",

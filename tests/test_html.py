@@ -19,6 +19,9 @@ P1, P2, P3 = ("First paragraph of the story.", "Second one with more.", "And the
     (None, None),
     (f"<body><p>skip this</p><main><p>{P1} {P2}</p></main></body>", f"{P1} {P2}"),
     (f"<body><p>skip</p><div role='main'><p>{P1} {P2}</p></div></body>", f"{P1} {P2}"),
+    (f"<title>t</title><p>{P1} {P2}</p><div data-role='main'><p>{P3}</p></div>",
+     f"{P1} {P2}\n\n{P3}"),
+    (f"<title>a</title>{P1}<br>{P2}", f"{P1}\n{P2}"),
     (f"<body><main><p>no</p></main><article><p>{P1} {P2}</p></article></body>", f"{P1} {P2}"),
     (f"<body><header><article><p>no</p></article></header><p>{P1} {P2}</p></body>", f"{P1} {P2}"),
     (f"<article><div>{P1}</div> <div> {P2}<br>{P3}</div></article>", f"{P1}\n{P2}\n{P3}"),
