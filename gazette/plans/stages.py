@@ -45,19 +45,18 @@ def route_stage(log: DataFrame, n: int = MIN_WORDS, first_of=first_seen) -> Data
     """Raw messages to section topics: first copies with enough words.
 
     ``first_of`` is the batch or the streaming form of the deduplication. What
-    it decides on is worked out before it, so that it moves no parsed fields,
-    and of rows that are too short not even the message.
+    it decides on is worked out before it, so that it moves no parsed fields.
     """
     records = readable_articles(log)
-    long_enough = min_words("body", n)
     good = records.where(~F.col("_corrupt")).select(
         F.col("article_id").alias("key"),
-        F.when(long_enough, F.col("value")).alias("value"),
+        "value",
         "offset",
         "timestamp",
         route_section("section").alias("topic"),
+        min_words("body", n).alias("_long_enough"),
     )
-    routed = first_of(good, key="key", order="offset", then=F.col("value").isNotNull())
+    routed = first_of(good, key="key", order="offset", then=F.col("_long_enough"))
     return routed.select(*LOG_COLUMNS).unionByName(corrupt_records(records))
 
 

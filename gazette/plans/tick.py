@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gazette.operators.dedup import PUBLISHED, label_qualifying
 from gazette.operators.route import as_json
+from gazette.operators.validate import as_of_literal
 from gazette.schemas import ARTICLE, TOPIC_RAW
 from gazette.sources.normalize import union_sources
 
@@ -18,14 +19,19 @@ def tick(
     return label_qualifying(union_sources(sources), seen, qualifies=qualifies)
 
 
-def raw_messages(labelled: DataFrame, as_of: Column) -> DataFrame:
-    """The published articles as messages of the raw topic."""
+def raw_messages(labelled: DataFrame, as_of) -> DataFrame:
+    """The published articles as messages of the raw topic.
+
+    A round publishes an id at most once, so its time orders the messages of an
+    id over all rounds.
+    """
+    now = as_of_literal(as_of)
     published = labelled.where(F.col("label") == PUBLISHED)
     return published.select(
         F.col("article_id").alias("key"),
         as_json(published, ARTICLE.fieldNames()).alias("value"),
-        F.col("seq").alias("offset"),
-        as_of.alias("timestamp"),
+        F.unix_micros(now).alias("offset"),
+        now.alias("timestamp"),
         F.lit(TOPIC_RAW).alias("topic"),
     )
 

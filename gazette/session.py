@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -82,11 +83,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder.
+    """Write ``df`` to the shared checkpoint folder and read it back.
 
-    A reliable checkpoint survives the loss of executors; a local one does not.
+    Unlike a local checkpoint the table survives the loss of executors, and
+    unlike cached rows it is columnar and its size is known to the planner.
     """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -19,8 +19,19 @@ from gazette.operators.enrich import (
     render_prompt,
 )
 from gazette.operators.gate import embedding_text
-
-from gazette.schemas import DOMAIN_TAGS, SECTIONS, SENTIMENTS, SUMMARY_MAX
+from gazette.operators.route import as_json
+from gazette.plans.stages import enrich_stage, gate_stage, route_stage
+
+from gazette.schemas import (
+    ARTICLE,
+    DOMAIN_TAGS,
+    SECTIONS,
+    SENTIMENTS,
+    SUMMARY_MAX,
+    TOPIC_ENRICHED,
+    TOPIC_RAW,
+)
+from gazette.session import cut_lineage
 from gazette.workload.base import (
     ALL_SENTIMENTS,
     ALL_TAGS,
@@ -33,7 +44,9 @@ from gazette.workload.base import (
     sql_list,
     sql_strip,
     sql_text,
+    sql_words,
 )
+from gazette.workload.gate import GATE_AS_OF
 
 SQL_CONTEXT = "headline || chr(10) || chr(10) || substr(body, 1, 1500)"
 
@@ -267,6 +280,49 @@ def enrich_articles(spark, sf_dir):
     )
 
 
+def article_log(spark, sf_dir):
+    """The articles as raw messages."""
+    rows = articles(spark, sf_dir)
+    return rows.select(
+        F.col("article_id").alias("key"),
+        as_json(rows, ARTICLE.fieldNames()).alias("value"),
+        F.col("seq").alias("offset"),
+        F.col("published_at").alias("timestamp"),
+        F.lit(TOPIC_RAW).alias("topic"),
+    )
+
+
+@query(
+    sql(
+        """SELECT 'enrich' AS stage,
+                  CASE WHEN error IS NULL THEN 'enriched-news' ELSE 'news-failed' END AS topic,
+                  count(*) AS n, sum(seq)::BIGINT AS seq_sum FROM picked GROUP BY ALL
+           UNION ALL
+           SELECT 'gate', CASE WHEN fresh THEN 'validated-news' ELSE 'news-failed' END,
+                  count(*), sum(seq)::BIGINT FROM picked WHERE error IS NULL GROUP BY ALL""",
+        "articles",
+        **RULE_CTES,
+        firsts=f"""SELECT seq, row_number() OVER (PARTITION BY article_id ORDER BY seq) AS rn,
+                   {sql_words("body")} AS words, published_at FROM articles""",
+        picked=f"""SELECT j.*, f.published_at >= TIMESTAMP '{GATE_AS_OF}' - INTERVAL 7 DAY AS fresh
+                   FROM judged j JOIN firsts f USING (seq) WHERE rn = 1 AND words >= 200""",
+    )
+)
+def staged_messages(spark, sf_dir):
+    """Raw messages through routing, enrichment and the gate: messages per topic."""
+    routed = route_stage(article_log(spark, sf_dir))
+    # Read by the next stage and by the counts: written once, as a topic would be.
+    enriched_log = cut_lineage(enrich_stage(routed, rule_model, AS_OF))
+    passed = enriched_log.where(F.col("topic") == TOPIC_ENRICHED)
+    gated = gate_stage(passed, hashing_embedder(), GATE_AS_OF)
+    both = enriched_log.select(F.lit("enrich").alias("stage"), "topic", "offset").unionByName(
+        gated.select(F.lit("gate").alias("stage"), "topic", "offset")
+    )
+    return both.groupBy("stage", "topic").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("offset").alias("seq_sum")
+    )
+
+
 HASH_DIM = 64
 
 

@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gazette.operators.maintenance import backfill, expire, find_gaps, prune, stalled_topics
-from gazette.workload.base import articles, query, shown_time, sql, sql_time, table
-from gazette.workload.feeds import events_log
+from gazette.plans.backfill import backfill_messages, missed_articles
+from gazette.schemas import GUARDIAN_PAGE
+from gazette.workload.base import ALL_SECTIONS, articles, pick, query, shown_time, sql, sql_time, table
+from gazette.workload.feeds import (
+    DOCS,
+    SQL_WHEN,
+    events_log,
+    landed,
+    text_of,
+    when_published,
+)
 from gazette.workload.metrics import EVENTS_AS_OF, events
 
 PRUNE_AS_OF = "2024-02-10 06:00:00"
@@ -97,6 +106,43 @@ def backfill_gaps(spark, sf_dir):
     )
 
 
+@query(
+    sql(
+        f"""SELECT '{{"article_id":"guardian/' || doc_id || '"' AS value_start,
+                   NULL::VARCHAR AS key, 'raw-news' AS topic
+            FROM (SELECT doc_id, row_number() OVER (
+                    PARTITION BY CAST(published AS DATE), section
+                    ORDER BY published DESC, 'guardian/' || doc_id) AS rn
+                  FROM (SELECT *, {SQL_WHEN} AS published FROM docs)
+                  WHERE section <> 'entertainment'
+                    AND CAST(published AS DATE) IN (SELECT date FROM gaps)) WHERE rn <= 3""",
+        "articles",
+        gaps=GAP_DATES,
+        docs=DOCS,
+    )
+)
+def backfill_as_messages(spark, sf_dir):
+    """From the gaps of a store and an archive of search pages to raw messages."""
+    record = F.struct(
+        F.struct(
+            F.array(
+                F.struct(
+                    text_of("guardian/").alias("id"),
+                    F.date_format(when_published(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(
+                        "webPublicationDate"
+                    ),
+                    pick(ALL_SECTIONS, F.col("doc_id") % 6).alias("sectionId"),
+                )
+            ).alias("results")
+        ).alias("response")
+    )
+    pages = landed(spark, sf_dir, record, GUARDIAN_PAGE)
+    found = missed_articles(sparse_store(spark, sf_dir), pages, GAPS_AS_OF, hours=720, page=3)
+    return backfill_messages(found, GAPS_AS_OF).select(
+        F.regexp_extract("value", '^[^,]*', 0).alias("value_start"), "key", "topic"
+    )
+
+
 EXPECTED = ("click", "error", "refund", "quiet")
 
 
