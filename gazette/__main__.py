@@ -45,7 +45,8 @@ def arguments() -> argparse.Namespace:
             action.add_argument("--once", action="store_true", help="stop when caught up")
         return action
 
-    job("route", "raw", "routed", stream=True).add_argument("--min-words", type=int, default=MIN_WORDS)
+    route = job("route", "raw", "routed", stream=True)
+    route.add_argument("--min-words", type=int, default=MIN_WORDS)
     job("enrich", "routed", "enriched", stream=True).add_argument("--model", required=True)
     gate = job("gate", "enriched", "validated", stream=True)
     gate.add_argument("--embedder")

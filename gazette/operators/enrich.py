@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazette.functions.text import SPACE, as_col, computed_once, ellipsize, strip
+from gazette.functions.rows import computed_once
+from gazette.functions.text import SPACE, as_col, ellipsize, strip
 from gazette.operators.validate import (
     as_of_literal,
     enriched_failures,

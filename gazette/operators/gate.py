@@ -45,13 +45,16 @@ def quality_gate(
     as_of,
     dim: int = EMBEDDING_DIM,
     recency_days: int = RECENCY_DAYS,
+    min_length: int = SUMMARY_MIN,
+    max_length: int = SUMMARY_MAX,
 ) -> DataFrame:
     """Enriched articles with ``embedding``, ``validated_at`` and ``_error``.
 
     ``_error`` is NULL for a good article. The embedder only sees articles that
     met every expectation.
     """
-    checked = df.withColumn("_stopped", gate_check(as_of, recency_days=recency_days))
+    stopped = gate_check(as_of, min_length, max_length, recency_days)
+    checked = df.withColumn("_stopped", stopped)
     text = F.when(F.col("_stopped").isNull(), embedding_text())
     embedded = checked.withColumn("_embedded", embed_text(text, factory, dim)).withColumns(
         {

@@ -143,7 +143,7 @@ def json_form(schema: T.StructType) -> T.StructType:
 
 TIMESTAMP_COLUMNS = ("published_at", "enriched_at", "validated_at")
 
-# --- raw feed shapes, as DDL (importing this module must not need a session) --------------------------------------------------------
+# --- raw feed shapes, as DDL: importing this module must not need a session --
 GUARDIAN_PAGE = (
     "response struct<results: array<struct<id: string, webTitle: string, webUrl: string, "
     "webPublicationDate: string, sectionId: string, "

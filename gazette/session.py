@@ -30,8 +30,6 @@ SETTINGS = {
     # With a processing-time TTL, availableNow would otherwise keep scheduling
     # empty batches for ever.
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
-    # Replaces only the partitions a write touches.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -82,6 +80,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return current or tempfile.mkdtemp(prefix="gazette-checkpoint-")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the path as it knows it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder if it is not there yet; otherwise do nothing."""
+    fs, target = hadoop_path(spark, path)
+    if not fs.exists(target):
+        fs.mkdirs(target)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 

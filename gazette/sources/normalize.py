@@ -13,12 +13,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gazette.functions.rows import computed_once
 from gazette.functions.text import (
     as_col,
     at_uri_to_url,
     canonical_url,
     classify_section,
-    computed_once,
     hash16,
     lookup,
     parse_time,

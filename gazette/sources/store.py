@@ -14,20 +14,14 @@ from gazette.operators.dedup import DEAD, INSERTED, label_inserts
 from gazette.operators.maintenance import prune
 from gazette.operators.route import dead_value
 from gazette.schemas import PRUNE_DAYS, STAGE_INGEST, STORE, STORED_FIELDS, TOPIC_FAILED
+from gazette.session import ensure_folder, hadoop_path
 
 PARTITIONED = T.StructType(STORE.fields + [T.StructField("dt", T.DateType())])
 
 
-def _path(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
 def ensure_store(spark: SparkSession, path: str) -> None:
     """Create the table if it is not there yet; otherwise do nothing."""
-    fs, target = _path(spark, path)
-    if not fs.exists(target):
-        fs.mkdirs(target)
+    ensure_folder(spark, path)
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -55,7 +49,7 @@ def append(articles: DataFrame, path: str) -> None:
 def _written_once(df: DataFrame, path: str) -> DataFrame:
     """``df`` as a table at ``path``, written unless an earlier run finished it."""
     spark = df.sparkSession
-    fs, done = _path(spark, f"{path}/_SUCCESS")
+    fs, done = hadoop_path(spark, f"{path}/_SUCCESS")
     if not fs.exists(done):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -68,7 +62,7 @@ def _run_token(spark: SparkSession, work_path: str) -> str:
 
 
 def _drop(spark: SparkSession, path: str) -> None:
-    fs, target = _path(spark, path)
+    fs, target = hadoop_path(spark, path)
     fs.delete(target, True)
 
 
@@ -101,7 +95,8 @@ def ingest_batch(
     # The store is usually much larger than a batch. Against a written batch
     # Spark knows the size of its ids and can cut the store down map-side.
     ids = records.select("article_id").distinct()
-    stored = read_store(spark, store_path).select("article_id").join(ids, "article_id", "left_semi")
+    stored = read_store(spark, store_path).select("article_id")
+    stored = stored.join(ids, "article_id", "left_semi")
     usable = F.coalesce(F.size("embedding") > 0, F.lit(False)).alias("_usable")
     labels = _written_once(
         label_inserts(
@@ -116,7 +111,8 @@ def ingest_batch(
     def labelled(label: str) -> DataFrame:
         return records.join(labels.where(F.col("label") == label), "_row", "left_semi")
 
-    present = read_store(spark, store_path).select("article_id").join(ids, "article_id", "left_semi")
+    present = read_store(spark, store_path).select("article_id")
+    present = present.join(ids, "article_id", "left_semi")
     append(labelled(INSERTED).join(present, "article_id", "left_anti"), store_path)
 
     no_id = F.coalesce(F.col("article_id"), F.lit("")) == ""

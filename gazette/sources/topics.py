@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazette.functions.text import computed_once, is_falsy, parse_time
+from gazette.functions.rows import computed_once
+from gazette.functions.text import is_falsy, parse_time
 from gazette.schemas import LOG, TIMESTAMP_COLUMNS, TOPIC_CORRUPT, json_form
+from gazette.session import ensure_folder
 
 
 def read_topics(
@@ -28,6 +30,9 @@ def read_topics(
     """
     reader = spark.readStream if streaming else spark.read
     if root is not None:
+        if streaming:
+            # A job may start before the one that feeds it has written anything.
+            ensure_folder(spark, root)
         log = reader.schema(LOG).options(**options).parquet(root)
         return log.where(F.col("topic").isin(*topics)) if topics else log
     kafka = reader.format("kafka").option("subscribe", ",".join(topics or []))

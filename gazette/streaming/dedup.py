@@ -50,7 +50,9 @@ def _first_per_batch(key: str, order: str):
             for i, (k, at) in enumerate(zip(keys, orders)):
                 if k not in first or at < orders[first[k]]:
                     first[k] = i
-            yield batch.take(pa.array(first.values(), pa.int64())) if len(first) < len(keys) else batch
+            if len(first) < len(keys):
+                batch = batch.take(pa.array(first.values(), pa.int64()))
+            yield batch
 
     return combine
 

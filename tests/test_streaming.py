@@ -176,3 +176,13 @@ def test_fail_fast_on_unreadable_records(spark):
     bad = raise_if_corrupt(parse_records(log(spark, [raw("a/1"), "not json"]), ARTICLE))
     with pytest.raises(Exception, match="unreadable record: not json"):
         bad.count()
+
+
+def test_a_job_may_start_before_its_source_has_data(spark, tmp_path):
+    routed, out = str(tmp_path / "routed"), str(tmp_path / "enriched")
+    checkpoint = str(tmp_path / "checkpoint")
+    for expected in (0, 1):
+        job = start_enricher(spark, routed, out, checkpoint, answering_model, ONCE, AS_OF)
+        job.awaitTermination()
+        assert read_topics(spark, out).count() == expected
+        write_topics(log(spark, [raw("a/1")], "tech-news"), routed)
