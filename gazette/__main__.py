@@ -19,6 +19,7 @@ from gazette.operators.maintenance import assert_flowing, assert_not_empty, find
 from gazette.operators.reports import weekly_report
 from gazette.plans.ask import answer_prompt, find_articles
 from gazette.schemas import EMBEDDING_DIM, MIN_WORDS, PRUNE_DAYS, TOPIC_FAILED
+from gazette.session import cut_lineage
 from gazette.sources.store import prune_store, read_store
 from gazette.sources.topics import read_topics
 from gazette.streaming import jobs
@@ -100,7 +101,8 @@ def main() -> None:
         hits = find_articles(
             read_store(spark, args.store), args.question, factory(args.embedder), args.top
         )
-        hits.select(
+        hits = cut_lineage(hits)  # shown and put into the prompt: search once
+        hits.orderBy("rank").select(
             "rank", F.round(F.col("similarity") * 100).alias("percent"), "headline", "source_url"
         ).show(truncate=False)
         print(answer_prompt(hits, args.question).first().prompt)

@@ -207,7 +207,8 @@ def check_dimensions(spark, sf_dir):
     )
     return (
         vectors.select(
-            F.size("embedding").alias("n"), check_dim("embedding", TEST_DIM).alias("problem")
+            F.size("embedding").cast("long").alias("n"),
+            check_dim("embedding", TEST_DIM).alias("problem"),
         )
         .groupBy("n", "problem")
         .agg(F.count(F.lit(1)).alias("vectors"))
@@ -384,5 +385,5 @@ def stored_rows(spark, sf_dir):
         "article_id",
         "uuid",
         F.col("dt").cast("string").alias("dt"),
-        F.size("embedding").alias("dims"),
+        F.size("embedding").cast("long").alias("dims"),
     )

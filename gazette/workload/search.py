@@ -6,7 +6,15 @@ from pyspark.sql import functions as F
 
 from gazette.functions.vectors import embed_text, hashing_embedder, similarity
 from gazette.operators.gate import embedding_text
-from gazette.operators.search import context_block, knn, knn_many, rag_context, rag_prompt, with_rank
+from gazette.operators.search import (
+    MAX_QUESTIONS,
+    context_block,
+    knn,
+    knn_many,
+    rag_context,
+    rag_prompt,
+    with_rank,
+)
 from gazette.schemas import EMBEDDING_DIM
 from gazette.workload.base import enriched, query, sql, sql_text, table
 
@@ -50,7 +58,7 @@ def match_strength(spark, sf_dir):
 
 
 @query(
-    """SELECT question, vec_id, round(d, 6) AS distance, rank FROM (
+    """SELECT question::BIGINT AS question, vec_id, round(d, 6) AS distance, rank FROM (
          SELECT q.label AS question, e.vec_id, d,
                 row_number() OVER (PARTITION BY q.label ORDER BY d, e.vec_id) AS rank
          FROM (SELECT label, arg_min(embedding, vec_id)::DOUBLE[] AS v
@@ -64,7 +72,8 @@ def knn_many_questions(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     firsts = vectors.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
     chosen = vectors.join(firsts, ["label", "vec_id"], "left_semi").select("label", "embedding")
-    questions = {row.label: row.embedding for row in chosen.collect()}
+    # One more than allowed is enough for knn_many to refuse the lot.
+    questions = {r.label: r.embedding for r in chosen.limit(MAX_QUESTIONS + 1).collect()}
     found = knn_many(vectors, questions, 5, key="vec_id")
     return found.select(
         "question",

@@ -209,7 +209,10 @@ def test_enrich_calls_the_model_once_per_good_row(spark, calls):
     assert found["a/2"]._error == "missing required field: body"
     assert found[""]._error == "missing required field: article_id"
     assert found["a/2"].summary is None and found["a/2"].enriched_at is None
-    assert good.count() == 2 and bad.count() == 2
+    # A filter on the outcome neither repeats a model call nor moves before it.
+    assert {r.article_id for r in good.collect()} == {"a/1", "a/3"}
+    assert calls.value == {"unified": 4}
+    assert plan_of(good).count("ArrowEvalPython") == 2 and len(bad.collect()) == 2
 
 
 def test_unreadable_replies_fall_back_to_separate_prompts(spark, calls):
