@@ -49,6 +49,7 @@ HEADLINE = [
     "prune_events",
     "article_gaps",
     "backfill_gaps",
+    "staged_messages",
     "dedup_ttl_stream",
 ]
 
