@@ -27,12 +27,10 @@ def knn(
 
     Exact: every vector is compared, and each task hands on at most ``k`` rows.
     """
-    return (
-        store.withColumn("distance", cosine_distance(vector, query))
-        .where(F.col("distance").isNotNull())
-        .orderBy("distance", tie_break)
-        .limit(k)
-    )
+    measured = store.withColumn("distance", cosine_distance(vector, query))
+    nearest = measured.orderBy(F.col("distance").asc_nulls_last(), tie_break).limit(k)
+    # After the limit: a filter before it would work out every distance twice.
+    return nearest.where(F.col("distance").isNotNull())
 
 
 def knn_many(

@@ -14,6 +14,8 @@ DATA = Path("/root/testdata/sf0.001")
 TABLES = [p.stem for p in DATA.glob("*.parquet")]
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
+TWO_CALLS = {"enrich_articles", "ask_articles"}
+
 pytestmark = pytest.mark.skipif(not TABLES, reason="test tables are not there")
 
 
@@ -48,6 +50,8 @@ def test_query(spark, con, name):
     plan = plan_of(df)
     for operator in ("CartesianProduct", "BatchEvalPython"):
         assert operator not in plan, f"{operator} in {name}"
+    # An enrichment calls its model twice at most, a search embeds and measures.
+    assert plan.count("ArrowEvalPython [") <= (2 if name in TWO_CALLS else 1)
     mine = table(df.columns, [tuple(r) for r in df.collect()])
     relation = con.sql(ORACLES[name])
     assert mine == table(relation.columns, relation.fetchall())

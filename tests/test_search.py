@@ -35,6 +35,8 @@ def test_knn_is_exact(spark, store):
         assert [h.distance for h in hits] == pytest.approx([d for _, d in nearest(query, 10)])
     plan = plan_of(knn(store, VECTORS[0], 10))
     assert "TakeOrderedAndProject" in plan and "BatchEvalPython" not in plan
+    assert plan.count("ArrowEvalPython [") == 1
+    assert len(knn(store, VECTORS[0], 1000).collect()) == 400
 
 
 def test_unusable_vectors_have_no_distance(store):
