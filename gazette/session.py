@@ -42,7 +42,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the Python workers, once per application."""
+    """Hand this package to the Python workers, once per application.
+
+    The archive is made on the driver, from where Spark serves it to the workers.
+    """
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -323,9 +323,8 @@ def dedup_ttl_stream(spark, sf_dir):
     """The documents as a file stream through the stateful deduplication."""
     root = f"{checkpoint_root(spark).rstrip('/')}/dedup-ttl-{uuid.uuid4().hex}"
     shape = table(spark, sf_dir, "documents").schema
-    stream = (
-        spark.readStream.schema(shape).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-    )
+    # A pattern, because a file stream takes no single file: one file or a folder.
+    stream = spark.readStream.schema(shape).parquet(f"{sf_dir}/documents.parquet*")
     rows = stream.select(
         F.concat(F.lit("doc/"), hash16("text")).alias("article_id"),
         route_section(pick(ALL_SECTIONS, F.col("doc_id") % 6)).alias("topic"),
