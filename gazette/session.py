@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -10,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_local_roots: dict[str, str] = {}
 
 # Settings that change results (time zone, state store) or protect memory
 # (Arrow batch size) rather than settings that depend on the cluster's size.
@@ -73,14 +75,20 @@ def get_session(master: str | None = None, **extra: str) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
-    Falls back to a folder of our own only where none is configured, which on
-    a cluster would be a deployment mistake and in a local test is normal.
+    Only a session inside one machine may go without: it gets a folder of its
+    own. On a cluster a local folder would lose what other executors wrote.
     """
     configured = spark.conf.get("spark.checkpoint.dir", "") or ""
+    configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    return current or tempfile.mkdtemp(prefix="gazette-checkpoint-")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if spark.sparkContext.applicationId not in _local_roots:
+        _local_roots[spark.sparkContext.applicationId] = tempfile.mkdtemp(
+            prefix="gazette-checkpoint-"
+        )
+    return _local_roots[spark.sparkContext.applicationId]
 
 
 def hadoop_path(spark: SparkSession, path: str):
