@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gazette.session import cut_lineage, hadoop_path
@@ -174,3 +174,51 @@ def meet_here(frame: pd.DataFrame) -> Callable[[np.ndarray, np.ndarray], np.ndar
     own = frame["own"].to_numpy()
     single = frame["low"].to_numpy() == frame["high"].to_numpy()
     return lambda a, b: single[a] | (own[a] != own[b])
+
+
+def numbered(
+    rows: DataFrame,
+    group: str,
+    spread: Column,
+    order: list[str],
+    narrow: DataFrame | None = None,
+    least: int = 250,
+) -> DataFrame:
+    """Number the rows of every group from 0, in ``rank``; hot groups are dealt over chunks.
+
+    A group of n rows has n / max(least, sqrt(n)) chunks, chosen by ``spread``, a
+    long that is a function of the row. The order is that of the chunks, then of
+    ``order``. Counts per chunk are summed up to offsets, so no window holds more
+    than one chunk, or one count for each chunk of a group. ``narrow`` may give the
+    same rows with fewer columns, for counting. Nulls are a group like any other.
+    """
+    narrow = rows if narrow is None else narrow
+    name = F.col(group)
+    sizes = scratch(narrow.groupBy(name.alias("_g")).agg(F.count("*").alias("_n")))
+    chunks = F.ceil(F.col("_n") / F.greatest(F.lit(float(least)), F.sqrt("_n")))
+
+    def dealt(frame: DataFrame) -> DataFrame:
+        return frame.join(sizes, name.eqNullSafe(F.col("_g"))).withColumn(
+            "_chunk", F.pmod(spread, chunks.cast("long"))
+        )
+
+    before = Window.partitionBy("_g").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt(narrow).groupBy("_g", "_chunk").agg(F.count("*").alias("_c"))
+    offsets = scratch(
+        counts.select(
+            F.col("_g").alias("_h"),
+            F.col("_chunk").alias("_hunk"),
+            F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"),
+        )
+    )
+    within = F.row_number().over(Window.partitionBy("_g", "_chunk").orderBy(*order))
+    return (
+        dealt(rows)
+        .withColumn("_within", within)
+        .join(
+            offsets,
+            F.col("_g").eqNullSafe(F.col("_h")) & (F.col("_chunk") == F.col("_hunk")),
+        )
+        .withColumn("rank", F.col("_before") + F.col("_within") - 1)
+        .drop("_g", "_n", "_chunk", "_within", "_h", "_hunk", "_before")
+    )

@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazette.llm import mixing, packing, units
 from gazette.llm.registry import query, table
 from gazette.llm.simhash import near_components, simhash
 
 
+def word_tokenizer() -> str:
+    """The place of the public word tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @query()
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints over 4-word shingles and what 4 differing bits connect."""
@@ -18,3 +26,32 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+@query(units.SQL)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of five words and more that a document before this one has."""
+    cleaned = units.drop_repeated_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("removed", lambda x: x["start"].cast("string"))
+    return cleaned.select(
+        "doc_id",
+        "n_units",
+        F.size("removed").alias("n_removed"),
+        F.array_join(starts, ",").alias("removed_starts"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query(mixing.SQL)
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of each document by a mix of 150 % of all words."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "source", mixing.size_in_words().alias("size"))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", taken)
+
+
+@query()
+def op8_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), word_tokenizer()))
