@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import mixing, packing, units
+from gazette.llm import mixing, packing, quality, units
 from gazette.llm.registry import query, table
 from gazette.llm.simhash import near_components, simhash
 
@@ -55,3 +55,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), word_tokenizer()))
+
+
+@query()
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The perplexity of all documents under a model of those of good quality."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, table(spark, sf_dir, "labels"))

@@ -34,6 +34,7 @@ from gazette.llm.common import (
     pairs_by_shift,
     scratch,
     text_bytes,
+    text_digest,
 )
 from gazette.llm.graph import components
 
@@ -243,3 +244,55 @@ def near_components(
         )
     )
     return prints.join(named, key)
+
+
+# --- near copies by five-word shingles ----------------------------------------------
+
+PROBE_RADIUS = 8
+WIDE = ("w0", "w1", "w2", "w3")
+WIDE_RADIUS = 52  # of 256 bits: an angle whose cosine is 0.8
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    words: int = 5,
+    probe_radius: int = PROBE_RADIUS,
+    wide_radius: int = WIDE_RADIUS,
+) -> DataFrame:
+    """One row of ``docs`` (doc_id, text, ...) for each group of near copies: the smallest id.
+
+    Two texts are near copies if the cosine of their sets of five-word shingles, as
+    256 bits of SimHash estimate it, is 0.8 or more; a Jaccard similarity of 0.8 has a
+    cosine of 0.89. Changing a word changes five shingles but one word, so
+    candidates are found by a fingerprint of the distinct words, within 8 of 64 bits.
+    Of rows with equal id and text one stays. Texts without words are copies of
+    each other. Rows without an id group with others only if the fingerprints are equal.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            texts = frame.pop("_text")
+            probe = np.array([word_fingerprint(t) for t in texts], np.uint64)
+            frame["fp"] = probe.view(np.int64)
+            wide = np.array([wide_fingerprint(t, words) for t in texts], np.int64)
+            for name, values in zip(WIDE, wide.reshape(-1, len(WIDE)).T, strict=True):
+                frame[name] = values
+            yield frame
+
+    rows = docs.select("doc_id", text_digest().alias("digest"), text_bytes().alias("_text"))
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, digest long, fp long, " + ", ".join(
+        f"{w} long" for w in WIDE
+    )
+    prints = rows.mapInPandas(run, schema)
+    found = near_components(prints, probe_radius, WIDE, wide_radius)
+    group = [F.when(F.col("component_id").isNull(), F.col(c)).alias(c) for c in ("fp", *WIDE)]
+    stay = (
+        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select("doc_id", "digest", *group)
+        .groupBy("doc_id", "fp", *WIDE)
+        .agg(F.min("digest").alias("_d"))
+        .select(F.xxhash64(F.lit(5), "doc_id").alias("_k"), "_d")
+    )
+    keyed = docs.withColumns({"_k": F.xxhash64(F.lit(5), "doc_id"), "_d": text_digest()})
+    kept = keyed.join(stay.distinct(), ["_k", "_d"], "left_semi")
+    return kept.dropDuplicates(["_k", "_d"]).select(*docs.columns)
