@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import mixing, packing, quality, units
+from gazette.llm import edits, mixing, packing, quality, suffixes, toxicity, units
 from gazette.llm.registry import query, table
 from gazette.llm.simhash import near_components, simhash
 
@@ -62,3 +62,24 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The perplexity of all documents under a model of those of good quality."""
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, table(spark, sf_dir, "labels"))
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learnt outside the held-out quarter."""
+    docs = table(spark, sf_dir, "documents")
+    classifier = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, classifier)
+
+
+@query()
+def op9_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, and of their texts with the second half replaced."""
+    return edits.edited_pairs(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without strings of 200 bytes that are elsewhere too."""
+    left = suffixes.remove_repeats(table(spark, sf_dir, "documents"), keep=False)
+    return left.drop("spans")
