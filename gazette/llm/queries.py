@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import edits, mixing, packing, quality, suffixes, toxicity, units
+from gazette.llm import edits, lattice, mixing, packing, quality, suffixes, tools, toxicity, units
 from gazette.llm.registry import query, table
 from gazette.llm.simhash import near_components, simhash
 
@@ -83,3 +83,68 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without strings of 200 bytes that are elsewhere too."""
     left = suffixes.remove_repeats(table(spark, sf_dir, "documents"), keep=False)
     return left.drop("spans")
+
+
+@query()
+def op7_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings of a label with a cosine of 0.93 and more."""
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+SEARCH = {
+    "type": "object",
+    "required": ["query", "limit"],
+    "additionalProperties": False,
+    "properties": {
+        "query": {"type": "string", "minLength": 1},
+        "limit": {"type": "integer", "minimum": 1, "maximum": 60},
+        "lang": {"enum": ["en", "de", "fr", "es"]},
+    },
+}
+TOOLS = {"search": SEARCH, "fetch": SEARCH, "summarise": {"type": "object", "required": ["query"]}}
+
+
+def tool_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The conversations as calls and results.
+
+    A user's turn calls a tool with its text, whole, as an argument; the assistant's next turn
+    is the result. A call follows the one two turns before. Some calls break their schema.
+    """
+    turns = table(spark, sf_dir, "conversations")
+    text = F.coalesce("text", F.lit(""))
+    words = F.size(F.split(text, " "))
+    name = F.element_at(F.array(*[F.lit(x) for x in (*TOOLS, "guess")]), (words % 4 + 1).cast("int"))
+    limit = F.when(words % 7 == 0, F.lit("many")).otherwise(words.cast("string"))
+    arguments = F.when(
+        words % 11 == 0, F.concat(F.lit("{query:"), text)
+    ).otherwise(
+        F.concat(
+            F.lit('{"query":'),
+            F.to_json(F.array(text)).substr(F.lit(2), F.length(F.to_json(F.array(text))) - 2),
+            F.lit(', "limit": '),
+            F.when(words % 7 == 0, F.lit('"many"')).otherwise(limit),
+            F.lit("}"),
+        )
+    )
+    identifier = F.format_string("call_%d", F.col("turn"))
+    calls = turns.where("role = 'user'").select(
+        "conv_id",
+        identifier.alias("call_id"),
+        "turn",
+        name.alias("name"),
+        arguments.alias("arguments"),
+        F.when(F.col("turn") >= 2, F.format_string("call_%d", F.col("turn") - 2)).alias("parent_id"),
+    )
+    results = turns.where("role = 'assistant'").select(
+        "conv_id",
+        F.format_string("call_%d", F.col("turn") - 1).alias("call_id"),
+        "turn",
+        F.col("text").alias("content"),
+    )
+    return calls, results
+
+
+@query()
+def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tool calls of all conversations with their results."""
+    return tools.link_calls(*tool_messages(spark, sf_dir), TOOLS)
