@@ -118,7 +118,9 @@ def spans_of(
                 digest(piece[i : j + threshold - 1], k)
                 for i, j, k in zip(a.tolist(), z.tolist(), (at - a).tolist(), strict=True)
             ]
-            out.append((a + part, z + part, h[at], np.array(span, np.uint64)))
+            # the smallest of many hashes is a small number: mix it again for the buckets
+            digit = h[at] * np.uint64(0xD6E8FEB86659FD93)
+            out.append((a + part, z + part, digit, np.array(span, np.uint64)))
     if not out:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
