@@ -41,7 +41,9 @@ from gazette.llm.graph import components
 SEED = 42
 BITS = 64
 SAMPLE = 4_000  # fingerprints looked at to estimate costs
-ROW_COST, PAIR_COST = 1.5e-6, 6e-9  # seconds
+ROLLS = 16  # pairs looked at for each of them
+BLOCK = 2048  # fingerprints of a bucket that meet in one cell
+ROW_COST, PAIR_COST = 6e-6, 6e-9  # seconds, with all that moving a row takes
 
 
 # --- fingerprints -----------------------------------------------------------------
@@ -145,15 +147,18 @@ def plan_masks(sample: np.ndarray, n: int, radius: int) -> list[int]:
         parts = _parts(bits.astype(float), m)
         costs = []
         for part in parts:
-            differ = (bits[:, part] != bits[np.roll(mixed, 1)][:, part])[np.argsort(mixed)]
-            distance = differ.sum(1)
+            own = bits[mixed][:, part]
+            distance = np.concatenate(
+                [(own != np.roll(own, i, axis=0)).sum(1) for i in range(1, ROLLS + 1)]
+            )
             costs.append([0.0])
             for t in range(radius + 1):
                 if t > len(part) or comb(len(part), t) > 2_000:
                     break
                 seen = (distance <= t).mean()
                 by_chance = sum(comb(len(part), i) for i in range(t + 1)) / 2 ** len(part)
-                rows = comb(len(part), t) * n
+                bucket = n * max((distance == 0).mean() if t == 0 else 0.0, 2.0 ** (t - len(part)))
+                rows = comb(len(part), t) * n * max(1.0, bucket / BLOCK)
                 pairs = n * n / 2 * max(seen, by_chance)
                 costs[-1].append(rows * ROW_COST + pairs * PAIR_COST)
         # least[s]: the cheapest thresholds, counted from -1, of the parts so far with sum s
@@ -218,7 +223,7 @@ def hamming_links(
         a, b = forest.links()
         return pd.DataFrame({"a": ids[a], "b": ids[b]})
 
-    cells = deal_blocks(rows, "key", "id")
+    cells = deal_blocks(rows, "key", "id", BLOCK)
     return in_cells(cells, "key", link, "a long, b long")
 
 
