@@ -230,24 +230,25 @@ def hamming_links(
 def near_components(
     prints: DataFrame, radius: int, checks: tuple[str, ...] = (), check_radius: int = 0
 ) -> DataFrame:
-    """``prints`` (doc_id, fp, checks) with ``component_id``: the smallest id within reach.
+    """``prints`` (doc_id, fp, checks and more) with ``component`` and ``component_id``.
 
-    Rows with equal fingerprints form a class, and only classes are compared. A
-    row whose id is null belongs to its class; a class without any id has no
-    component.
+    Rows with equal fingerprints form a class, and only classes are compared.
+    ``component`` names what links connect; ``component_id`` is the smallest id within
+    reach, null where no row there has one. A row whose id is null is linked like any other.
     """
     prints = scratch(prints)
     key = ["fp", *checks]
-    classes = scratch(prints.groupBy(*key).agg(F.min("doc_id").alias("id")))
-    links = hamming_links(
-        classes.where(F.col("id").isNotNull()), radius, checks, check_radius
-    )
+    name = F.xxhash64(*key) if checks else F.col("fp")
+    classes = scratch(prints.groupBy(*key).agg(F.min("doc_id").alias("least"))).withColumn("id", name)
+    links = hamming_links(classes.drop("least"), radius, checks, check_radius)
     found = components(links)
-    named = scratch(
+    grouped = scratch(
         classes.join(found, classes["id"] == found["node"], "left").select(
-            *key, F.coalesce("component", "id").alias("component_id")
+            *key, "least", F.coalesce("component", "id").alias("component")
         )
     )
+    smallest = scratch(grouped.groupBy("component").agg(F.min("least").alias("component_id")))
+    named = scratch(grouped.drop("least").join(smallest, "component"))
     return prints.join(named, key)
 
 
@@ -271,7 +272,7 @@ def drop_near_copies(
     cosine of 0.89. Changing a word changes five shingles but one word, so
     candidates are found by a fingerprint of the distinct words, within 8 of 64 bits.
     Of rows with equal id and text one stays. Texts without words are copies of
-    each other. Rows without an id group with others only if the fingerprints are equal.
+    each other. Rows without an id come after all others.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -290,13 +291,11 @@ def drop_near_copies(
     )
     prints = rows.mapInPandas(run, schema)
     found = near_components(prints, probe_radius, WIDE, wide_radius)
-    group = [F.when(F.col("component_id").isNull(), F.col(c)).alias(c) for c in ("fp", *WIDE)]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "digest")).alias("first")
     stay = (
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select("doc_id", "digest", *group)
-        .groupBy("doc_id", "fp", *WIDE)
-        .agg(F.min("digest").alias("_d"))
-        .select(F.xxhash64(F.lit(5), "doc_id").alias("_k"), "_d")
+        found.groupBy("component")
+        .agg(first)
+        .select(F.xxhash64(F.lit(5), "first.doc_id").alias("_k"), F.col("first.digest").alias("_d"))
     )
     keyed = docs.withColumns({"_k": F.xxhash64(F.lit(5), "doc_id"), "_d": text_digest()})
     kept = keyed.join(stay.distinct(), ["_k", "_d"], "left_semi")
