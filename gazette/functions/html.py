@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,12 +36,9 @@ ENDS_P = frozenset(
 )
 CONTAINERS = ("article", "main", "role", "body")
 
-RAW_TEXT = re.compile(r"<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
+QUOTED = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
+RAW_END = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style")}
 MAIN_ROLE = re.compile(r"(?<![\w-])role\s*=\s*(?:\"main\"|'main'|main(?=[\s/]|\Z))", re.I)
 
 
@@ -49,6 +47,7 @@ class _Page:
 
     def __init__(self) -> None:
         self.open: list[str] = []
+        self.count: Counter[str] = Counter()
         self.noise_at: int | None = None
         # Depth at which the first element of each container kind is open.
         self.inside: dict[str, int] = {"body": 0}
@@ -69,6 +68,7 @@ class _Page:
         if name in VOID or name in ("html", "body"):
             return
         self.open.append(name)
+        self.count[name] += 1
         depth = len(self.open)
         if self.noise_at is not None:
             return
@@ -89,7 +89,7 @@ class _Page:
             self.open_paragraphs.append((depth, pieces))
 
     def end(self, name: str) -> None:
-        if name in self.open:
+        if self.count[name]:
             while self._pop() != name:
                 pass
 
@@ -113,6 +113,7 @@ class _Page:
             self.open_paragraphs.pop()
         for kind in [k for k, at in self.inside.items() if at == depth]:
             del self.inside[kind]
+        self.count[self.open[-1]] -= 1
         return self.open.pop()
 
     def result(self) -> str | None:
@@ -132,23 +133,62 @@ def extract_text(page: str | None) -> str | None:
     if not page:
         return None
     state = _Page()
-    # An empty comment in its place keeps the text before and after it apart.
-    cleaned = RAW_TEXT.sub("<!---->", page)
-    at = 0
-    for token in TOKEN.finditer(cleaned):
-        if token.start() > at:
-            state.text(cleaned[at : token.start()])
-        at = token.end()
-        if token.group(2):
-            name = token.group(2).lower()
-            if token.group(1):
-                state.end(name)
-            else:
-                state.start(name, token.group(3))
-    state.text(cleaned[at:])
+    for text, name, closing, attributes in _tokens(page):
+        if text is not None:
+            state.text(text)
+        elif closing:
+            state.end(name)
+        else:
+            state.start(name, attributes)
     return state.result()
 
 
+def _tokens(page: str) -> Iterator[tuple[str | None, str, bool, str]]:
+    """Text, or the name and attributes of a tag, in one pass that never turns back.
+
+    A ``<`` that begins nothing is text. Without a ``>`` the rest is text; after a quote
+    that is never closed, quotes no longer matter. Comments, declarations, scripts and
+    style sheets are left out; unclosed, they reach to the end.
+    """
+    at, quotes = 0, True
+    begin = page.find("<")
+    while begin >= 0:
+        until = begin + 1
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            until = len(page) if end < 0 else end + 3
+            found = ("", False, "")
+        elif page.startswith(("<!", "<?"), begin):
+            end = page.find(">", begin)
+            if end < 0:
+                break
+            until, found = end + 1, ("", False, "")
+        elif named := NAME.match(page, begin):
+            end = page.find(">", named.end())
+            if end < 0:
+                break
+            if quotes and (whole := QUOTED.match(page, named.end())):
+                end = whole.end() - 1
+            else:
+                quotes = False
+            name, closing = named.group(1).lower(), page[begin + 1] == "/"
+            until, found = end + 1, (name, closing, page[named.end() : end])
+            if name in RAW_END and not closing:
+                raw = RAW_END[name].search(page, until)
+                until, found = (raw.end() if raw else len(page)), ("", False, "")
+        else:
+            begin = page.find("<", until)
+            continue
+        if begin > at:
+            yield page[at:begin], "", False, ""
+        at = until
+        if found[0]:
+            yield None, *found
+        begin = page.find("<", at)
+    if at < len(page):
+        yield page[at:], "", False, ""
+
+
 def extract_body(page: Column | str) -> Column:
     """Article text of an HTML column, NULL where nothing usable is found."""
 

@@ -109,10 +109,50 @@ def ellipsize(c: Column | str, limit: int) -> Column:
     ).otherwise(text)
 
 
+# --- fixed values: month and zone names of mail dates (RFC 822) ---------------
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+ZONES = {
+    "ut": "+00:00", "gmt": "+00:00", "utc": "+00:00", "z": "+00:00", "": "+00:00",
+    "est": "-05:00", "edt": "-04:00", "cst": "-06:00", "cdt": "-05:00",
+    "mst": "-07:00", "mdt": "-06:00", "pst": "-08:00", "pdt": "-07:00",
+}
+MAIL_DATE = (
+    r"^\s*(?i:(?:[a-z]{3,9}\s*,?\s+)?(\d{1,2})\s+([a-z]{3})[a-z]*\s+(\d{4}|\d{2})"
+    r"\s+(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([a-z]*|[+-]\d{2}:?\d{2}))\s*$"
+)
+
+
 def parse_time(c: Column | str) -> Column:
-    """ISO-8601 text as a timestamp, naive text read as UTC, anything else NULL."""
+    """ISO-8601 text or a mail date as a timestamp, naive text read as UTC, else NULL.
+
+    The day's name in a mail date may be missing, its year may have two digits.
+    """
     text = as_col(c)
-    return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
+
+    def part(i: int) -> Column:
+        return F.lower(F.regexp_extract(text, MAIL_DATE, i))
+
+    year, zone = part(3), part(7)
+    century = F.when(year >= "70", "19").otherwise("20")
+    mail = F.concat(
+        F.when(F.length(year) == 4, year).otherwise(F.concat(century, year)),
+        F.lit("-"),
+        lookup({m: f"{i:02}" for i, m in enumerate(MONTHS, 1)}, part(2)),
+        F.lit("-"),
+        F.lpad(part(1), 2, "0"),
+        F.lit("T"),
+        F.lpad(part(4), 2, "0"),
+        F.lit(":"),
+        part(5),
+        F.lit(":"),
+        F.when(part(6) == "", "00").otherwise(part(6)),
+        F.when(
+            zone.rlike(r"^[+-]"), F.regexp_replace(zone, r"^(...):?(..)$", "$1:$2")
+        ).otherwise(lookup(ZONES, zone)),
+    )
+    return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text)).when(
+        text.rlike(MAIL_DATE), F.try_to_timestamp(mail)
+    )
 
 
 def iso_time(c: Column | str, zone: str = "Z") -> Column:

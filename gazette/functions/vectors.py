@@ -65,14 +65,11 @@ def _run_embedder(model, texts: list[str], dim: int) -> list[tuple[list | None,
 
     try:
         return one_call(texts)
-    except Exception:  # find the text that broke the batch
-        results = []
-        for text in texts:
-            try:
-                results += one_call([text])
-            except Exception as exc:
-                results.append((None, str(exc)))
-        return results
+    except Exception as exc:  # halve the batch until the bad text is alone
+        if len(texts) == 1:
+            return [(None, str(exc))]
+        half = len(texts) // 2
+        return _run_embedder(model, texts[:half], dim) + _run_embedder(model, texts[half:], dim)
 
 
 def embed_text(text: Column | str, factory: EmbedderFactory, dim: int = EMBEDDING_DIM) -> Column:

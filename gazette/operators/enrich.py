@@ -68,13 +68,14 @@ FALLBACK_KINDS = ("summary", "entities", "sentiment", "domain_tag")
 def build_context(
     headline: Column | str = "headline",
     body: Column | str = "body",
-    body_chars: int = BODY_CONTEXT_CHARS,
+    body_chars: int | None = BODY_CONTEXT_CHARS,
 ) -> Column:
-    """What the model gets to read: the headline and the start of the body."""
+    """What the model gets to read: the headline and the start of the body, or all of it."""
+    text = F.coalesce(as_col(body), F.lit(""))
     return F.concat(
         F.coalesce(as_col(headline), F.lit("")),
         F.lit("\n\n"),
-        F.substring(F.coalesce(as_col(body), F.lit("")), 1, body_chars),
+        text if body_chars is None else F.substring(text, 1, body_chars),
     )
 
 
@@ -85,16 +86,14 @@ def render_prompt(kind: str, context: Column) -> Column:
 
 
 def _call(model, prompts: list[str]) -> list[dict]:
+    """Replies or errors; a batch that fails is halved until the bad prompt is alone."""
     try:
         return [{"text": reply, "error": None} for reply in model(prompts)]
-    except Exception:  # find the prompt that broke the batch
-        replies = []
-        for prompt in prompts:
-            try:
-                replies.append({"text": model([prompt])[0], "error": None})
-            except Exception as exc:
-                replies.append({"text": None, "error": str(exc) or type(exc).__name__})
-        return replies
+    except Exception as exc:
+        if len(prompts) == 1:
+            return [{"text": None, "error": str(exc) or type(exc).__name__}]
+        half = len(prompts) // 2
+        return _call(model, prompts[:half]) + _call(model, prompts[half:])
 
 
 def infer(prompts: Column, factory: ModelFactory) -> Column:
@@ -266,14 +265,16 @@ def parse_separate(
     return computed_once(read, [answer.alias(into)], *df.columns)
 
 
-def enrich(df: DataFrame, factory: ModelFactory, as_of) -> DataFrame:
+def enrich(
+    df: DataFrame, factory: ModelFactory, as_of, body_chars: int | None = BODY_CONTEXT_CHARS
+) -> DataFrame:
     """Raw articles with the enrichment columns and ``_error``.
 
     ``_error`` is NULL for a good article. Rows that lack a required field are
     never sent to the model, and only rows whose unified reply is unreadable
     are sent the four separate prompts.
     """
-    context = build_context()
+    context = build_context(body_chars=body_chars)
     asked = df.withColumn("_missing", first_missing("article_id", "headline", "body")).withColumn(
         "_unified",
         infer(

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gazette.operators.reports import covered_dates, topic_depth
 from gazette.operators.validate import as_of_literal, days_before, hours_before
@@ -20,9 +21,6 @@ from gazette.schemas import (
 )
 
 WATCHED_TOPICS = (TOPIC_RAW, TOPIC_ENRICHED, TOPIC_VALIDATED)
-BACKFILL_PAGE = 50
-# A capped deletion up to this size is broadcast to find the rows that stay.
-BROADCAST_CAP = 10_000
 
 
 def prune(
@@ -36,16 +34,27 @@ def prune(
     """``(kept, deleted)``: rows strictly older than ``days`` days are deleted.
 
     Rows exactly at the cutoff and rows without a time are kept. With ``cap``,
-    one run deletes at most that many rows, oldest first.
+    one run deletes at most that many rows, oldest first; every row is in one of
+    the two results, also where keys are null or shared. Rows equal in every
+    column go or stay together, so only these may exceed the cap.
     """
     cutoff = days_before(as_of, days)
     old = F.col(column) < cutoff
-    if cap is None:
-        return store.where((F.col(column) >= cutoff) | F.col(column).isNull()), store.where(old)
-    deleted = store.where(old).orderBy(column, key).limit(cap)
-    gone = deleted.select(key)
-    kept = store.join(F.broadcast(gone) if cap <= BROADCAST_CAP else gone, key, "left_anti")
-    return kept, deleted
+    fresh = (F.col(column) >= cutoff) | F.col(column).isNull()
+    if cap is not None:
+        timed = isinstance(store.schema[column].dataType, T.TimestampType)
+        when = F.unix_micros(column) if timed else F.col(column)
+        place = F.struct(when.alias("when"), key, F.xxhash64(*store.columns).alias("row"))
+        oldest = store.where(old).select(place.alias("place")).orderBy("place").limit(cap)
+        last = oldest.agg(F.max("place").alias("last")).first()["last"]
+        if last is None:
+            old = F.lit(False)
+        else:
+            types = store.select(place.alias("p")).schema["p"].dataType
+            bound = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(last, types)])
+            old = old & (place <= bound)
+        fresh = ~F.coalesce(old, F.lit(False))
+    return store.where(fresh), store.where(old)
 
 
 def find_gaps(
@@ -71,22 +80,23 @@ def backfill(
     gaps: DataFrame,
     archive: DataFrame,
     sections: Sequence[str] = SECTIONS,
-    page: int = BACKFILL_PAGE,
+    page: int | None = None,
 ) -> DataFrame:
-    """Archive rows for the missing dates: the newest ``page`` per date and section.
+    """All archive rows for the missing dates; with ``page``, the newest per date and section.
 
-    ``archive`` has the backfill columns (see ``normalize_backfill``). ``gaps``
-    holds one row per date of a window of days, so it is small enough to send
-    to every task. The rank filter lets Spark cut each group down before the
-    shuffle, so a large group does not travel whole.
+    ``archive`` has the backfill columns (see ``normalize_backfill``). With a
+    page, the rank filter lets Spark cut each group down before the shuffle, so
+    a large group does not travel whole.
     """
     wanted = archive.where(F.col("section").isin(*sections)).withColumn(
         "date", F.to_date("published_at")
     )
+    missing = wanted.join(gaps.select("date"), "date", "left_semi")
+    if page is None:
+        return missing.drop("date")
     newest = Window.partitionBy("date", "section").orderBy(F.desc("published_at"), "article_id")
     return (
-        wanted.join(F.broadcast(gaps.select("date")), "date", "left_semi")
-        .withColumn("_rank", F.row_number().over(newest))
+        missing.withColumn("_rank", F.row_number().over(newest))
         .where(F.col("_rank") <= page)
         .drop("_rank", "date")
     )

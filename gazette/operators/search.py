@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +14,8 @@ from pyspark.sql import types as T
 
 from gazette.functions.vectors import _matrix, cosine_distance, unit
 
-# A batch of questions travels to every task inside the function; this bounds it.
-MAX_QUESTIONS = 1024
+# A block of questions travels to every task inside the function; this bounds it.
+QUESTION_BLOCK = 1024
 
 
 def knn(
@@ -22,12 +24,15 @@ def knn(
     k: int = 5,
     vector: str = "embedding",
     tie_break: str = "article_id",
+    digits: int | None = None,
 ) -> DataFrame:
     """The ``k`` rows nearest to ``query`` by cosine distance, nearest first.
 
-    Exact: every vector is compared, and each task hands on at most ``k`` rows.
+    Exact: every vector is compared, and each task hands on at most ``k`` rows. With
+    ``digits`` the distance is rounded before it is ranked, so near ties are ties.
     """
-    measured = store.withColumn("distance", cosine_distance(vector, query))
+    distance = cosine_distance(vector, query)
+    measured = store.withColumn("distance", distance if digits is None else F.round(distance, digits))
     nearest = measured.orderBy(F.col("distance").asc_nulls_last(), tie_break).limit(k)
     # After the limit: a filter before it would work out every distance twice.
     return nearest.where(F.col("distance").isNotNull())
@@ -35,19 +40,32 @@ def knn(
 
 def knn_many(
     store: DataFrame,
-    questions: dict[int, Sequence[float]],
+    questions: Mapping[int, Sequence[float]] | DataFrame,
     k: int = 5,
     key: str = "article_id",
     vector: str = "embedding",
+    block: int = QUESTION_BLOCK,
 ) -> DataFrame:
     """The ``k`` nearest keys for each question: ``(question, key, distance, rank)``.
 
     A task multiplies its vectors with the matrix of all questions and keeps the
     best ``k`` per question, so what is shuffled is ``k`` rows per question and
-    task, never one row per pair.
+    task, never one row per pair. ``questions`` is a mapping or a table of (id, vector),
+    of any length: it is read and worked in blocks, each over the whole store.
     """
-    if not 0 < len(questions) <= MAX_QUESTIONS:
-        raise ValueError(f"between 1 and {MAX_QUESTIONS} questions expected")
+    if isinstance(questions, DataFrame):
+        rows = ((r[0], r[1]) for r in questions.toLocalIterator())
+    else:
+        rows = iter(questions.items())
+    blocks = [_knn_block(store, dict(some), k, key, vector) for some in batched(rows, block)]
+    if not blocks:
+        raise ValueError("no questions")
+    return reduce(DataFrame.union, blocks)
+
+
+def _knn_block(
+    store: DataFrame, questions: dict[int, Sequence[float]], k: int, key: str, vector: str
+) -> DataFrame:
     ids = list(questions)
     wanted = np.stack([unit(questions[i]) for i in ids])
     dim = wanted.shape[1]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazette.operators.maintenance import BACKFILL_PAGE, backfill, find_gaps
+from gazette.operators.maintenance import backfill, find_gaps
 from gazette.operators.route import as_json
 from gazette.operators.validate import as_of_literal
 from gazette.schemas import ARTICLE, GAP_HOURS, SECTIONS, TOPIC_RAW
@@ -20,7 +20,7 @@ def missed_articles(
     as_of,
     hours: int = GAP_HOURS,
     sections: Sequence[str] = SECTIONS,
-    page: int = BACKFILL_PAGE,
+    page: int | None = None,
 ) -> DataFrame:
     """Archived articles for the dates of the window on which nothing is stored."""
     return backfill(
@@ -31,11 +31,10 @@ def missed_articles(
 def backfill_messages(found: DataFrame, as_of) -> DataFrame:
     """Backfilled articles as raw messages without a key.
 
-    There are at most a page of them per date and section, so they can be
-    numbered in one place.
+    Their offsets are distinct and grow within each partition; no task sees all.
     """
     now: Column = as_of_literal(as_of)
-    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("article_id", "source_url"))
+    number = F.monotonically_increasing_id()
     return found.select(
         F.lit(None).cast("string").alias("key"),
         as_json(found, [*ARTICLE.fieldNames(), "source"]).alias("value"),

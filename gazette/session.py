@@ -24,7 +24,7 @@ SETTINGS = {
     # sorting whole articles on the other side. Spark checks the actual sizes.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
     # Bodies and pages are large: bound a Python batch by bytes, not only rows.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

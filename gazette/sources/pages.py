@@ -9,9 +9,8 @@ from gazette.functions.html import cap_bytes, extract_body
 from gazette.functions.text import as_col, is_falsy, truthy
 from gazette.operators.skew import ROWS_PER_SLICE, lookup_left
 
-# --- fixed values: what is not fetched, and how much of a page is read --------
+# --- fixed value: what is not fetched ------------------------------------------
 SELF_POST_PREFIX = "https://news.ycombinator.com"
-MAX_PAGE_BYTES = 1_000_000
 
 
 def body_fetchable(url: Column | str, content_type: Column | str | None = None) -> Column:
@@ -29,17 +28,18 @@ def page_bodies(
     pages: DataFrame,
     content_type: str | None = None,
     order: str = "page_id",
-    max_bytes: int = MAX_PAGE_BYTES,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """``(url, extracted)``: the text of the first fetched copy of each page.
+    """``(url, extracted)``: the text of the first fetched copy of each page, read whole.
 
     Copies are told apart on two narrow columns; only the winners' pages are
     read and parsed.
     """
     usable = pages.where(body_fetchable("url", content_type))
     first = usable.groupBy("url").agg(F.min(order).alias(order))
+    page = F.col("html") if max_bytes is None else cap_bytes("html", max_bytes)
     return usable.join(first, ["url", order], "left_semi").select(
-        "url", extract_body(cap_bytes("html", max_bytes)).alias("extracted")
+        "url", extract_body(page).alias("extracted")
     )
 
 

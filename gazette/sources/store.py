@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,18 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PARTITIONED).parquet(path)
 
 
+def scan(
+    store: DataFrame,
+    where: Column | str | None = None,
+    order: Sequence[Column | str] = (),
+    limit: int | None = None,
+) -> DataFrame:
+    """Rows of the store that pass a filter, in an order; all of them unless a limit is given."""
+    rows = store if where is None else store.where(where)
+    rows = rows.orderBy(*order) if order else rows
+    return rows if limit is None else rows.limit(limit)
+
+
 def as_stored(articles: DataFrame) -> DataFrame:
     """Only the stored properties, the vector, and an id derived from the article's."""
     return articles.select(

@@ -182,13 +182,18 @@ SQL_FEED_SECTION = (
 def rss_entries(spark, sf_dir):
     text = F.col("text")
     date = F.date_format(when_published(), "yyyy-MM-dd HH:mm:ss")
+    eastern = when_published() - F.expr("INTERVAL 5 HOURS")
     record = F.struct(
         F.when(~doc(4), text_of("tag:")).alias("id"),
         F.when(doc(9), "").otherwise(text_of("https://example.com/r/")).alias("link"),
         F.when(~doc(11), F.substring(text, 1, 90)).alias("title"),
         F.when(~doc(3), text).alias("summary"),
         F.when(~doc(6), F.substring(text, 1, 300)).alias("description"),
-        F.when(doc(5), "yesterday").when(~doc(5, 1), date).alias("published"),
+        F.when(doc(5), "yesterday")
+        .when(doc(5, 2), F.date_format(when_published(), "EEE, dd MMM yyyy HH:mm:ss 'GMT'"))
+        .when(doc(5, 3), F.date_format(eastern, "d MMM yyyy HH:mm:ss 'EST'"))
+        .when(~doc(5, 1), date)
+        .alias("published"),
         F.when(doc(2), F.lit("2024-02-02T02:02:02+02:00")).alias("updated"),
     )
     return landed(spark, sf_dir, record, RSS_ENTRY, feed=pick(FEEDS, F.col("doc_id") % 7))

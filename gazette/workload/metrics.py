@@ -20,6 +20,7 @@ from gazette.operators.reports import (
     weekly_report,
 )
 from gazette.operators.validate import hours_before
+from gazette.sources.store import scan
 from gazette.workload.base import articles, enriched, query, shown_time, sql, sql_time, table
 from gazette.workload.feeds import events_log
 
@@ -196,12 +197,11 @@ def weekly_pass_rate(spark, sf_dir):
 @query(
     sql(
         f"""SELECT article_id, {sql_time("published_at")} AS published_at FROM articles
-            WHERE section = 'science' ORDER BY articles.published_at DESC, seq LIMIT 25""",
+            WHERE section = 'science'""",
         "articles",
     )
 )
 def scan_section(spark, sf_dir):
-    """A filtered, sorted and limited scan of the collection."""
-    rows = articles(spark, sf_dir).where("section = 'science'")
-    page = rows.orderBy(F.desc("published_at"), "seq").limit(25)
-    return page.select("article_id", shown_time("published_at").alias("published_at"))
+    """A filtered and sorted scan of the collection."""
+    rows = scan(articles(spark, sf_dir), "section = 'science'", [F.desc("published_at"), "seq"])
+    return rows.select("article_id", shown_time("published_at").alias("published_at"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from gazette.functions.vectors import embed_text, hashing_embedder, similarity
 from gazette.operators.gate import embedding_text
 from gazette.operators.search import (
-    MAX_QUESTIONS,
     context_block,
     knn,
     knn_many,
@@ -72,9 +71,7 @@ def knn_many_questions(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     firsts = vectors.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
     chosen = vectors.join(firsts, ["label", "vec_id"], "left_semi").select("label", "embedding")
-    # One more than allowed is enough for knn_many to refuse the lot.
-    questions = {r.label: r.embedding for r in chosen.limit(MAX_QUESTIONS + 1).collect()}
-    found = knn_many(vectors, questions, 5, key="vec_id")
+    found = knn_many(vectors, chosen, 5, key="vec_id")
     return found.select(
         "question",
         "vec_id",
@@ -179,8 +176,6 @@ def ask_articles(spark, sf_dir):
     asked = rows.where("seq = 3").select(embedding_text().alias("t")).first()["t"]
     store = rows.withColumn("embedding", embed_text(embedding_text(), hashing_embedder())["vector"])
     query_vector = hashing_embedder()()([asked])[0]
-    near = knn(store, query_vector, 2 * K, tie_break="seq")
-    rounded = near.select("seq", F.round("distance", 5).alias("distance"))
-    return rounded.orderBy("distance", "seq").limit(5)
+    return knn(store, query_vector, 5, tie_break="seq", digits=5).select("seq", "distance")
 
 

@@ -88,19 +88,17 @@ def event_gaps(spark, sf_dir):
 
 @query(
     sql(
-        f"""SELECT article_id, seq, section, {sql_time("published_at")} AS published_at FROM (
-              SELECT *, row_number() OVER (PARTITION BY CAST(published_at AS DATE), section
-                       ORDER BY published_at DESC, article_id) AS rn
+        f"""SELECT article_id, seq, section, {sql_time("published_at")} AS published_at
               FROM articles WHERE section <> 'entertainment'
-                AND CAST(published_at AS DATE) IN (SELECT date FROM gaps)) WHERE rn <= 3""",
+                AND CAST(published_at AS DATE) IN (SELECT date FROM gaps)""",
         "articles",
         gaps=GAP_DATES,
     )
 )
 def backfill_gaps(spark, sf_dir):
-    """The newest archive rows for every missing date and section."""
+    """The archive rows for every missing date and section."""
     gaps = find_gaps(sparse_store(spark, sf_dir), GAPS_AS_OF, hours=720)
-    found = backfill(gaps, articles(spark, sf_dir), page=3)
+    found = backfill(gaps, articles(spark, sf_dir))
     return found.select(
         "article_id", "seq", "section", shown_time("published_at").alias("published_at")
     )
@@ -110,12 +108,9 @@ def backfill_gaps(spark, sf_dir):
     sql(
         f"""SELECT '{{"article_id":"guardian/' || doc_id || '"' AS value_start,
                    NULL::VARCHAR AS key, 'raw-news' AS topic
-            FROM (SELECT doc_id, row_number() OVER (
-                    PARTITION BY CAST(published AS DATE), section
-                    ORDER BY published DESC, 'guardian/' || doc_id) AS rn
-                  FROM (SELECT *, {SQL_WHEN} AS published FROM docs)
-                  WHERE section <> 'entertainment'
-                    AND CAST(published AS DATE) IN (SELECT date FROM gaps)) WHERE rn <= 3""",
+            FROM (SELECT *, {SQL_WHEN} AS published FROM docs)
+            WHERE section <> 'entertainment'
+              AND CAST(published AS DATE) IN (SELECT date FROM gaps)""",
         "articles",
         gaps=GAP_DATES,
         docs=DOCS,
@@ -137,7 +132,7 @@ def backfill_as_messages(spark, sf_dir):
         ).alias("response")
     )
     pages = landed(spark, sf_dir, record, GUARDIAN_PAGE)
-    found = missed_articles(sparse_store(spark, sf_dir), pages, GAPS_AS_OF, hours=720, page=3)
+    found = missed_articles(sparse_store(spark, sf_dir), pages, GAPS_AS_OF, hours=720)
     return backfill_messages(found, GAPS_AS_OF).select(
         F.regexp_extract("value", '^[^,]*', 0).alias("value_start"), "key", "topic"
     )

@@ -1,5 +1,7 @@
 """Article text from pages, and replacing article bodies with it."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +96,33 @@ def test_bodies_replace_one_to_one(spark):
 def test_unused_pages_are_not_parsed(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x</p>")], "page_id long, url string, html string")
     assert "ArrowEvalPython" not in plan_of(page_bodies(pages).select(F.col("url")))
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, "<script " * 130_000, "<script>" * 130_000, "<a \"" * 250_000 + ">",
+     "<a " * 350_000 + "' >", "<div>" * 200_000, "<div>" * 100_000 + "</p>" * 100_000, "<!--" * 250_000,
+     "<" * 1_000_000],
+    ids=lambda p: p[:12],
+)
+def test_broken_pages_take_linear_time(page):
+    began = time.process_time()
+    extract_text(page)
+    assert time.process_time() - began < 5
+
+
+def test_mail_dates(spark):
+    from gazette.functions.text import parse_time
+
+    dates = {
+        "Tue, 05 Mar 2024 10:30:00 GMT": "2024-03-05 10:30:00",
+        "Tue, 5 Mar 24 10:30 EST": "2024-03-05 15:30:00",
+        "05 Mar 2024 10:30:00 +0200": "2024-03-05 08:30:00",
+        "Tuesday, 05 March 2024 10:30:00 -07:00": "2024-03-05 17:30:00",
+        "2024-03-05T10:30:00Z": "2024-03-05 10:30:00",
+        "Tue, 35 Mar 2024 10:30:00 GMT": None,
+        "yesterday": None,
+    }
+    rows = spark.createDataFrame([(d,) for d in dates], "d string")
+    found = rows.select("d", parse_time("d").cast("string").alias("t")).collect()
+    assert {r.d: r.t for r in found} == dates

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from builders import SUMMARY
 from conftest import plan_of
 from gazette.functions.vectors import cosine_distance, hashing_embedder, similarity
-from gazette.operators.search import MAX_QUESTIONS, knn, knn_many, rag_context, with_rank
+from gazette.operators.search import knn, knn_many, rag_context, with_rank
 from gazette.plans.ask import answer, answer_prompt, find_articles
 
 RNG = np.random.default_rng(3)
@@ -56,9 +56,23 @@ def test_knn_many_equals_knn(store):
     assert "NestedLoop" not in plan_of(knn_many(store, questions, 7))
 
 
-def test_knn_many_bounds_its_questions(store):
-    with pytest.raises(ValueError):
-        knn_many(store, {n: [1.0] * 12 for n in range(MAX_QUESTIONS + 1)})
+def test_knn_many_takes_any_number_of_questions(spark, store):
+    rows = [(n, q.tolist()) for n, q in enumerate(RNG.normal(size=(1_500, 12)))]
+    asked = spark.createDataFrame(rows, "id long, v array<double>")
+    found = knn_many(store, asked, 2)
+    assert found.count() == 3_000
+    last = found.where("question = 1499").orderBy("rank").collect()
+    assert [r.article_id for r in last] == [i for i, _ in nearest(np.array(rows[1499][1]), 2)]
+
+
+def test_knn_ranks_what_it_shows(spark):
+    rows = [(i, [1.0, 1e-9 * (40 - i)]) for i in range(40)]
+    close = spark.createDataFrame(rows, "article_id long, embedding array<double>")
+    found = knn(close, [1.0, 0.0], 5, digits=5).collect()
+    assert [r.article_id for r in found] == [0, 1, 2, 3, 4]
+
+
+def test_knn_many_needs_questions(store):
     with pytest.raises(ValueError):
         knn_many(store, {})
 

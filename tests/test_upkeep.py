@@ -105,6 +105,19 @@ def test_prune(spark):
     assert ids(deleted) == ["a/2", "a/3"] and ids(kept) == ["a/0", "a/1", "a/4", "a/5"]
 
 
+def test_capped_prune_splits_by_row(spark):
+    old, fresh = dt.datetime(2023, 1, 1, tzinfo=UTC), dt.datetime(2024, 1, 19, tzinfo=UTC)
+    rows = spark.createDataFrame(
+        [("a", old, 1), ("a", fresh, 2), (None, old, 3), ("b", old, 4), ("a", None, 5), ("b", old, 6)],
+        "article_id string, published_at timestamp, n int",
+    )
+    for cap in (None, 0, 1, 2, 3, 9):
+        kept, deleted = prune(rows, AS_OF, cap=cap)
+        gone, left = [r.n for r in deleted.collect()], [r.n for r in kept.collect()]
+        assert sorted(gone + left) == [1, 2, 3, 4, 5, 6]
+        assert len(gone) == min(4, 9 if cap is None else cap) and {2, 5} <= set(left)
+
+
 def test_gaps(spark):
     # The window starts on the 18th at noon; a row earlier that day does not count.
     rows = times(spark, [dt.datetime(2024, 1, 18, 9, tzinfo=UTC), dt.datetime(2024, 1, 19, 9, tzinfo=UTC)])
@@ -121,7 +134,9 @@ def test_backfill_takes_the_newest_per_date_and_section(spark):
         "article_id string, section string, published_at timestamp",
     )
     gaps = spark.createDataFrame([(day.date(),)], "date date")
-    found = backfill(gaps, archive)
+    everything = backfill(gaps, archive)
+    assert everything.where("section IN ('world', 'money')").count() == everything.count() == 120
+    found = backfill(gaps, archive, page=50)
     assert sorted(ids(found)) == sorted(f"{s}/{i}" for s in ("world", "money") for i in range(10, 60))
     assert "WindowGroupLimit" in plan_of(found)
 
