@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-from functools import reduce
+from functools import partial, reduce
 from importlib import import_module
 
 from pyspark.sql import functions as F
@@ -16,12 +16,16 @@ from pyspark.sql import functions as F
 from gazette import get_session
 from gazette.functions.vectors import hashing_embedder
 from gazette.operators.maintenance import assert_flowing, assert_not_empty, find_gaps
-from gazette.operators.reports import weekly_report
+from gazette.operators.dedup import PUBLISHED
+from gazette.operators.reports import tick_stats, weekly_report
 from gazette.plans.ask import answer_prompt, find_articles
-from gazette.schemas import EMBEDDING_DIM, MIN_WORDS, PRUNE_DAYS, TOPIC_FAILED
-from gazette.session import cut_lineage
+from gazette.plans.backfill import backfill_messages, missed_articles
+from gazette.plans.tick import raw_messages, tick
+from gazette.schemas import EMBEDDING_DIM, GAP_HOURS, LOG, MIN_WORDS, PRUNE_DAYS, TOPIC_FAILED
+from gazette.session import cut_lineage, ensure_folder
+from gazette.sources.normalize import NORMALIZERS, gathered_sources
 from gazette.sources.store import prune_store, read_store
-from gazette.sources.topics import read_topics
+from gazette.sources.topics import read_topics, replay_buffer, write_topics
 from gazette.streaming import jobs
 
 
@@ -55,6 +59,11 @@ def arguments() -> argparse.Namespace:
     job("ingest", "validated", "store", "failed", stream=True)
     job("prune", "store").add_argument("--days", type=int, default=PRUNE_DAYS)
     job("gaps", "store")
+    job("tick", "landed", "raw", "seen").add_argument(
+        "--sources", nargs="+", default=list(NORMALIZERS), choices=list(NORMALIZERS)
+    )
+    job("backfill", "store", "archive", "raw").add_argument("--hours", type=int, default=GAP_HOURS)
+    job("replay", "buffer", "log")
     job("report", "store").add_argument("--failed", required=True, nargs="+")
     job("check", "store", "log")
     ask = job("ask", "store", "question")
@@ -63,6 +72,29 @@ def arguments() -> argparse.Namespace:
     return parser.parse_args()
 
 
+def run_tick(spark, args, now) -> None:
+    """One polling round: landed rows of every source, one folder for each, to raw messages."""
+
+    def load(name: str):
+        rows = spark.read.parquet(f"{args.landed}/{name}")
+        more = {"as_of": now} if name == "rss" else {}
+        # Numbered as they are written down; a page may hold several articles.
+        found = NORMALIZERS[name](rows, **more)
+        return found.withColumn("seq", F.monotonically_increasing_id())
+
+    ensure_folder(spark, args.seen)
+    seen = spark.read.schema("article_id string").parquet(args.seen)
+    found = gathered_sources({name: partial(load, name) for name in args.sources})
+    if not found:
+        raise RuntimeError("no source could be read")
+    labelled = cut_lineage(tick(found, seen))
+    # Messages first: a round that ends between the writes is published again, not lost.
+    write_topics(raw_messages(labelled, now), args.raw)
+    published = labelled.where(F.col("label") == PUBLISHED).select("article_id")
+    published.write.mode("append").parquet(args.seen)
+    tick_stats(labelled).show()
+
+
 def main() -> None:
     args = arguments()
     spark = get_session()
@@ -90,6 +122,16 @@ def main() -> None:
         print(prune_store(spark, args.store, now, args.days))
     elif args.job == "gaps":
         find_gaps(read_store(spark, args.store), now).orderBy("date").show(truncate=False)
+    elif args.job == "tick":
+        run_tick(spark, args, now)
+    elif args.job == "backfill":
+        missed = missed_articles(
+            read_store(spark, args.store), spark.read.parquet(args.archive), now, args.hours
+        )
+        write_topics(backfill_messages(missed, now), args.raw)
+    elif args.job == "replay":
+        waiting = replay_buffer(spark, args.buffer, LOG)
+        write_topics(waiting.select(*LOG.fieldNames()), args.log)
     elif args.job == "report":
         logs = [read_topics(spark, root, [TOPIC_FAILED]) for root in args.failed]
         failed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), logs)

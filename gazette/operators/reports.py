@@ -18,9 +18,17 @@ DEFAULT_TAG, DEFAULT_SENTIMENT = "Other", "Neutral"
 # --- selections ---------------------------------------------------------------
 
 
+def later_than(df: DataFrame, moment: Column, column: str = "published_at") -> Column:
+    """Strictly after. A store has a partition for each day, of which earlier ones are not opened."""
+    later = F.col(column) > moment
+    if column == "published_at" and dict(df.dtypes).get("dt") == "date":
+        later = (F.col("dt") >= F.to_date(moment)) & later
+    return later
+
+
 def published_after(df: DataFrame, moment: Column, column: str = "published_at") -> DataFrame:
     """Strictly after; rows without a time are left out."""
-    return df.where(F.col(column) > moment)
+    return df.where(later_than(df, moment, column))
 
 
 def published_before(df: DataFrame, moment: Column, column: str = "published_at") -> DataFrame:
@@ -31,10 +39,12 @@ def published_before(df: DataFrame, moment: Column, column: str = "published_at"
 def existing(wanted: DataFrame, store: DataFrame, key: str = "article_id") -> DataFrame:
     """The wanted ids with a flag: is the id stored?
 
-    Both sides are reduced to distinct ids first, so no id is heavy in the join.
+    The store is cut down to the wanted ids before its copies are combined, and both
+    sides are distinct, so no id is heavy in the join.
     """
     ids = wanted.select(key).distinct()
-    known = store.select(key).distinct().withColumn("stored", F.lit(True))
+    known = store.select(key).join(ids, key, "left_semi").distinct()
+    known = known.withColumn("stored", F.lit(True))
     return ids.join(known, key, "left").withColumn(
         "stored", F.coalesce("stored", F.lit(False))
     )
@@ -91,7 +101,7 @@ def count_recent(
 
     Rows dated after ``as_of`` count.
     """
-    return df.where(F.col(column) > hours_before(as_of, max(hours))).agg(
+    return df.where(later_than(df, hours_before(as_of, max(hours)), column)).agg(
         *[
             F.count_if(F.col(column) > hours_before(as_of, h)).alias(f"last_{h}h")
             for h in hours
@@ -106,6 +116,17 @@ def count_by(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def count_by_each(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``count_by`` for several columns in one pass: (property, value, n)."""
+    pairs = [F.struct(F.lit(c).alias("property"), F.col(c).cast("string").alias("value")) for c in columns]
+    return (
+        df.select(F.inline(F.array(*pairs)))
+        .where(F.col("value").isNotNull())
+        .groupBy("property", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def ranked_counts(df: DataFrame, column: str) -> DataFrame:
     """``count_by``, largest first."""
     return count_by(df, column).orderBy(F.desc("n"), column)
@@ -118,7 +139,8 @@ def topic_depth(log: DataFrame) -> DataFrame:
 
 def covered_dates(df: DataFrame, since: Column, column: str = "published_at") -> DataFrame:
     """Distinct UTC dates of the rows strictly after ``since``."""
-    return df.where(F.col(column) > since).select(F.to_date(column).alias("date")).distinct()
+    rows = df.where(later_than(df, since, column))
+    return rows.select(F.to_date(column).alias("date")).distinct()
 
 
 def tick_stats(labelled: DataFrame, delivered: Column | None = None) -> DataFrame:
@@ -176,7 +198,7 @@ def weekly_report(
     """
     cutoff = days_before(as_of, days)
     one, zero = F.lit(1), F.lit(0)
-    good = store.where(F.col(published) > cutoff).select(one.alias("v"), zero.alias("f"))
+    good = store.where(later_than(store, cutoff, published)).select(one.alias("v"), zero.alias("f"))
     bad = failed_log.where(F.col(logged) >= cutoff).select(zero.alias("v"), one.alias("f"))
     return _with_rate(
         good.unionByName(bad).agg(

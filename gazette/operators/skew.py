@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 MAX_HEAVY = 100_000
 # Rows of one key that a single task may be given before the key is split.
 ROWS_PER_SLICE = 100_000
+# A key has no more slices than this, so its attribute row has as many copies at most.
+MAX_SLICES = 4096
 # Rows without a key match nothing; they only need to be spread out.
 NULL_SLICES = 4096
 
@@ -50,7 +52,10 @@ def lookup_left(
     """
     slices = F.broadcast(
         heavy_keys(rows, key, rows_per_slice).select(
-            "_hash", F.ceil(F.col("_rows") / F.lit(rows_per_slice)).cast("int").alias("_slices")
+            "_hash",
+            F.least(F.ceil(F.col("_rows") / F.lit(rows_per_slice)), F.lit(MAX_SLICES))
+            .cast("int")
+            .alias("_slices"),
         )
     )
     hashed = F.xxhash64(key)

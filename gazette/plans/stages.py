@@ -21,6 +21,7 @@ from gazette.schemas import (
     ARTICLE,
     EMBEDDING_DIM,
     ENRICHED,
+    LOG_ORDER,
     MIN_WORDS,
     RECENCY_DAYS,
     STAGE_GATE,
@@ -45,18 +46,23 @@ def route_stage(log: DataFrame, n: int = MIN_WORDS, first_of=first_seen) -> Data
     """Raw messages to section topics: first copies with enough words.
 
     ``first_of`` is the batch or the streaming form of the deduplication. What
-    it decides on is worked out before it, so that it moves no parsed fields.
+    it decides on is worked out before it, so that it moves no parsed fields, and
+    no values of short articles, which come out of it in no case.
     """
     records = readable_articles(log)
-    good = records.where(~F.col("_corrupt")).select(
-        F.col("article_id").alias("key"),
-        "value",
-        "offset",
-        "timestamp",
-        route_section("section").alias("topic"),
-        min_words("body", n).alias("_long_enough"),
+    order = [name for name in LOG_ORDER if name in log.columns]
+    good = (
+        records.where(~F.col("_corrupt"))
+        .withColumn("_long_enough", min_words("body", n))
+        .select(
+            F.col("article_id").alias("key"),
+            F.when(F.col("_long_enough"), F.col("value")).alias("value"),
+            *order,
+            route_section("section").alias("topic"),
+            "_long_enough",
+        )
     )
-    routed = first_of(good, key="key", order="offset", then=F.col("_long_enough"))
+    routed = first_of(good, key="key", order=order, then=F.col("_long_enough"))
     return routed.select(*LOG_COLUMNS).unionByName(corrupt_records(records))
 
 

@@ -116,11 +116,14 @@ STORE = T.StructType(
     ]
 )
 
-# A topic record at rest. ``offset`` orders records of one key.
+# A topic record at rest. An offset counts within its partition only, so records
+# of one topic are ordered by LOG_ORDER; a log in files may have no partitions.
+LOG_ORDER = ("timestamp", "partition", "offset")
 LOG = T.StructType(
     [
         T.StructField("key", T.StringType()),
         T.StructField("value", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
         T.StructField("timestamp", T.TimestampType()),
         T.StructField("topic", T.StringType()),

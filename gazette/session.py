@@ -29,9 +29,6 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    # With a processing-time TTL, availableNow would otherwise keep scheduling
-    # empty batches for ever.
-    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ from gazette.functions.text import (
 )
 from gazette.operators.validate import article_checks, as_of_literal, passes
 from gazette.schemas import ACCOUNT_SECTIONS, ARTICLE, FEED_SECTIONS
+from gazette.session import cut_lineage
 
 logger = logging.getLogger(__name__)
 
@@ -200,6 +202,20 @@ def available_sources(loaders: dict[str, Callable[[], DataFrame]]) -> dict[str,
     return found
 
 
+def gathered_sources(loaders: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Read each source to its end and keep it on shared storage; one that fails is left out.
+
+    Unlike ``available_sources`` this also meets what fails only while rows are read.
+    """
+    found = {}
+    for name, load in loaders.items():
+        try:
+            found[name] = cut_lineage(load())
+        except (PySparkException, Py4JJavaError):
+            logger.exception("source %s failed, going on without it", name)
+    return found
+
+
 def union_sources(sources: dict[str, DataFrame]) -> DataFrame:
     """All sources in the given order, which decides whose copy comes first.
 

@@ -14,7 +14,14 @@ from gazette.functions.text import iso_time
 from gazette.operators.dedup import DEAD, INSERTED, label_inserts
 from gazette.operators.maintenance import prune
 from gazette.operators.route import dead_value
-from gazette.schemas import PRUNE_DAYS, STAGE_INGEST, STORE, STORED_FIELDS, TOPIC_FAILED
+from gazette.schemas import (
+    LOG_ORDER,
+    PRUNE_DAYS,
+    STAGE_INGEST,
+    STORE,
+    STORED_FIELDS,
+    TOPIC_FAILED,
+)
 from gazette.session import ensure_folder, hadoop_path
 
 PARTITIONED = T.StructType(STORE.fields + [T.StructField("dt", T.DateType())])
@@ -59,11 +66,15 @@ def append(articles: DataFrame, path: str) -> None:
     )
 
 
+def _is_written(spark: SparkSession, path: str) -> bool:
+    fs, done = hadoop_path(spark, f"{path}/_SUCCESS")
+    return fs.exists(done)
+
+
 def _written_once(df: DataFrame, path: str) -> DataFrame:
     """``df`` as a table at ``path``, written unless an earlier run finished it."""
     spark = df.sparkSession
-    fs, done = hadoop_path(spark, f"{path}/_SUCCESS")
-    if not fs.exists(done):
+    if not _is_written(spark, path):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -86,11 +97,13 @@ def ingest_batch(
     failed_path: str,
     work_path: str,
     failed_at,
-    order: str = "offset",
+    order: Sequence[str] = LOG_ORDER,
 ) -> None:
     """Insert the new articles of one batch and log its dead letters.
 
-    ``batch`` holds validated records beside their original ``value``.
+    ``batch`` holds validated records beside their original ``value`` and ``offset``.
+    Of the columns in ``order`` those count that it has; rows that tie in them
+    are taken in the order in which they were written down here.
 
     May be run again for the same batch after any failure. Labels depend on what
     the store held before the batch, so records and labels are written to shared
@@ -111,22 +124,28 @@ def ingest_batch(
     stored = read_store(spark, store_path).select("article_id")
     stored = stored.join(ids, "article_id", "left_semi")
     usable = F.coalesce(F.size("embedding") > 0, F.lit(False)).alias("_usable")
+    placed = [*(name for name in order if name in records.columns), "_row"]
+    labels_path = f"{work_path}/labels/batch_id={batch_id}"
+    repeated = _is_written(spark, labels_path)
     labels = _written_once(
         label_inserts(
-            records.select("_row", "article_id", order, usable),
+            records.select("article_id", *placed, usable),
             stored,
-            order=order,
+            order=placed,
             usable=F.col("_usable"),
         ).select("_row", "label"),
-        f"{work_path}/labels/batch_id={batch_id}",
+        labels_path,
     )
 
     def labelled(label: str) -> DataFrame:
         return records.join(labels.where(F.col("label") == label), "_row", "left_semi")
 
-    present = read_store(spark, store_path).select("article_id")
-    present = present.join(ids, "article_id", "left_semi")
-    append(labelled(INSERTED).join(present, "article_id", "left_anti"), store_path)
+    new = labelled(INSERTED)
+    if repeated:  # an earlier run got past its labels and may have stored some rows
+        present = read_store(spark, store_path).select("article_id")
+        present = present.join(ids, "article_id", "left_semi")
+        new = new.join(present, "article_id", "left_anti")
+    append(new, store_path)
 
     no_id = F.coalesce(F.col("article_id"), F.lit("")) == ""
     added = {
@@ -139,7 +158,7 @@ def ingest_batch(
     labelled(DEAD).select(
         F.col("article_id").alias("key"),
         dead_value(added).alias("value"),
-        F.col(order).alias("offset"),
+        "offset",
         F.lit(failed_at).cast("timestamp").alias("timestamp"),
     ).write.mode("overwrite").parquet(
         f"{failed_path}/topic={TOPIC_FAILED}/run={_run_token(spark, work_path)}/batch_id={batch_id}"

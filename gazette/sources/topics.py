@@ -16,6 +16,10 @@ from gazette.schemas import LOG, TIMESTAMP_COLUMNS, TOPIC_CORRUPT, json_form
 from gazette.session import ensure_folder
 
 
+# A new stream over a long log works through it in batches of so many files.
+FILES_PER_BATCH = "1000"
+
+
 def read_topics(
     spark: SparkSession,
     root: str | None = None,
@@ -33,6 +37,7 @@ def read_topics(
         if streaming:
             # A job may start before the one that feeds it has written anything.
             ensure_folder(spark, root)
+            options = {"maxFilesPerTrigger": FILES_PER_BATCH, **options}
         log = reader.schema(LOG).options(**options).parquet(root)
         return log.where(F.col("topic").isin(*topics)) if topics else log
     kafka = reader.format("kafka").option("subscribe", ",".join(topics or []))
@@ -43,6 +48,7 @@ def read_topics(
         .select(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
+            "partition",
             "offset",
             "timestamp",
             "topic",

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from gazette.schemas import SEEN_TTL_HOURS
@@ -22,10 +24,11 @@ class FirstSeen(StatefulProcessor):
 
     The TTL runs from the first sight in processing time; later copies do not
     prolong it. Of the rows that reach a key in one micro-batch the one with
-    the smallest order value is the first; only the best one so far is held.
+    the smallest order values is the first, nulls before others; only the best one
+    so far is held.
     """
 
-    def __init__(self, order: str, ttl_hours: float):
+    def __init__(self, order: list[str], ttl_hours: float):
         self._order = order
         self._ttl_ms = int(ttl_hours * 3_600_000)
 
@@ -35,32 +38,49 @@ class FirstSeen(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         if not self._seen.exists():
             self._seen.update((True,))
-            yield min(rows, key=lambda row: row[self._order])
+            yield min(rows, key=lambda row: [(row[c] is not None, row[c]) for c in self._order])
 
     def close(self) -> None:
         pass
 
 
-def _first_per_batch(key: str, order: str):
+def _first_per_batch(key: str, order: list[str]):
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(key).to_pylist()
-            orders = batch.column(order).to_pylist()
-            first: dict = {}
-            for i, (k, at) in enumerate(zip(keys, orders)):
-                if k not in first or at < orders[first[k]]:
-                    first[k] = i
-            if len(first) < len(keys):
-                batch = batch.take(pa.array(first.values(), pa.int64()))
+            at = pc.sort_indices(
+                batch.select(order),
+                sort_keys=[(name, "ascending") for name in order],
+                null_placement="at_start",
+            )
+            sorted_keys = pa.table({"key": batch.column(key).take(at), "at": at})
+            first = sorted_keys.group_by("key", use_threads=False).aggregate([("at", "first")])
+            if len(first) < len(batch):
+                batch = batch.take(first["at_first"].combine_chunks())
             yield batch
 
     return combine
 
 
+@contextmanager
+def no_empty_batches(spark: SparkSession):
+    """Start a query with a TTL in here: ``availableNow`` would otherwise never end.
+
+    With a processing-time TTL Spark keeps scheduling empty batches to clean its
+    state. A query keeps the settings it is started with; the session gets its own back.
+    """
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def first_seen_ttl(
     stream: DataFrame,
     key: str = "article_id",
-    order: str = "offset",
+    order: str | Sequence[str] = "offset",
     ttl_hours: float = SEEN_TTL_HOURS,
     then: Column | None = None,
     combine: bool = True,
@@ -68,15 +88,16 @@ def first_seen_ttl(
     """Streaming twin of ``operators.dedup.first_seen``.
 
     All columns pass through the state operator, so select what is needed
-    beforehand. With ``combine``, copies are dropped within each Arrow batch before the
+    beforehand, and start the query in ``no_empty_batches``. With ``combine``, copies are dropped within each Arrow batch before the
     shuffle, so a key that makes up much of the input sends one row per batch
     to its task instead of all of them.
     """
+    names = [order] if isinstance(order, str) else list(order)
     rows = stream.where(stream[key].isNotNull())
     if combine:
-        rows = rows.mapInArrow(_first_per_batch(key, order), rows.schema)
+        rows = rows.mapInArrow(_first_per_batch(key, names), rows.schema)
     first = rows.groupBy(key).transformWithState(
-        statefulProcessor=FirstSeen(order, ttl_hours),
+        statefulProcessor=FirstSeen(names, ttl_hours),
         outputStructType=rows.schema,
         outputMode="Append",
         timeMode="ProcessingTime",

@@ -27,7 +27,7 @@ from gazette.schemas import (
 )
 from gazette.sources.store import ingest_batch
 from gazette.sources.topics import read_topics, stream_topics
-from gazette.streaming.dedup import first_seen_ttl
+from gazette.streaming.dedup import first_seen_ttl, no_empty_batches
 
 EVERY_MINUTE = {"processingTime": "60 seconds"}
 
@@ -41,9 +41,9 @@ def start_router(
     n: int = MIN_WORDS,
 ) -> StreamingQuery:
     log = read_topics(spark, raw, [TOPIC_RAW], streaming=True)
-    return stream_topics(
-        route_stage(log, n, first_of=first_seen_ttl), checkpoint, routed, trigger
-    )
+    messages = route_stage(log, n, first_of=first_seen_ttl)
+    with no_empty_batches(spark):
+        return stream_topics(messages, checkpoint, routed, trigger)
 
 
 def start_enricher(

@@ -1,6 +1,6 @@
 """The operators applied to the test tables, each query beside its SQL equivalent."""
 
-from gazette.workload import articles, enrichment, feeds, gate, metrics, search, upkeep
+from gazette.workload import articles, enrichment, feeds, gate, logs, metrics, search, upkeep
 from gazette.workload.base import ORACLES, QUERIES
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "enrichment",
     "feeds",
     "gate",
+    "logs",
     "metrics",
     "search",
     "upkeep",

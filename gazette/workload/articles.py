@@ -20,7 +20,7 @@ from gazette.plans.tick import seen_after, tick
 from gazette.schemas import MIN_WORDS
 from gazette.session import checkpoint_root
 from gazette.sources.normalize import union_sources
-from gazette.streaming.dedup import first_seen_ttl
+from gazette.streaming.dedup import first_seen_ttl, no_empty_batches
 from gazette.workload.base import ALL_SECTIONS, SQL_TOPIC, articles, pick, query, sql, sql_words, table
 
 FIRSTS = """SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY seq) AS rn
@@ -332,13 +332,10 @@ def dedup_ttl_stream(spark, sf_dir):
         F.col("doc_id").alias("offset"),
     )
     routed = first_seen_ttl(rows, then=F.col("long_enough")).select("topic", "offset")
-    running = (
-        routed.writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .option("path", f"{root}/out")
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = routed.writeStream.format("parquet").option("path", f"{root}/out")
+    writer = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    with no_empty_batches(spark):
+        running = writer.start()
     running.awaitTermination()
     out = spark.read.schema("topic string, offset bigint").parquet(f"{root}/out")
     return out.groupBy("topic").agg(

@@ -281,13 +281,13 @@ def enrich_articles(spark, sf_dir):
 
 
 def article_log(spark, sf_dir):
-    """The articles as raw messages."""
+    """The articles as raw messages, logged a second after one another."""
     rows = articles(spark, sf_dir)
     return rows.select(
         F.col("article_id").alias("key"),
         as_json(rows, ARTICLE.fieldNames()).alias("value"),
         F.col("seq").alias("offset"),
-        F.col("published_at").alias("timestamp"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("seq")).alias("timestamp"),
         F.lit(TOPIC_RAW).alias("topic"),
     )
 

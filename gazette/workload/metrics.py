@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gazette.operators.reports import (
     count_all,
     count_by,
+    count_by_each,
     count_recent,
     covered_dates,
     facet_filter,
@@ -123,12 +124,7 @@ def count_by_type(spark, sf_dir):
 )
 def article_counts(spark, sf_dir):
     """Articles per sentiment, per tag and per section."""
-    rows = enriched(spark, sf_dir)
-    parts = [
-        count_by(rows, name).select(F.lit(name).alias("property"), F.col(name).alias("value"), "n")
-        for name in ("sentiment", "domain_tag", "section")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return count_by_each(enriched(spark, sf_dir), ("sentiment", "domain_tag", "section"))
 
 
 @query(sql("SELECT section, count(*) AS n FROM articles GROUP BY 1", "articles"))

@@ -80,12 +80,6 @@ def knn_many_questions(spark, sf_dir):
     )
 
 
-def stored(spark, sf_dir):
-    """Enriched articles with the vector of the same number."""
-    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("seq"), "embedding")
-    return enriched(spark, sf_dir).join(vectors, "seq")
-
-
 RANKED = f"""SELECT a.*, d, row_number() OVER (ORDER BY d, seq) AS rank
     FROM (SELECT e.vec_id, 1 - list_cosine_similarity(e.embedding::DOUBLE[],
                  (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)) AS d
@@ -100,8 +94,13 @@ SQL_BLOCK = """'[' || rank || '] ' || coalesce(headline, 'Untitled')
 
 
 def ranked_hits(spark, sf_dir):
-    hits = knn(stored(spark, sf_dir), one_vector(spark, sf_dir), K, tie_break="seq")
-    return with_rank(hits, "seq")
+    """Vectors are ranked on their own; the articles join the few that are left."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("seq"), "embedding")
+    known = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"))
+    near = knn(
+        vectors.join(known, "seq", "left_semi"), one_vector(spark, sf_dir), K, tie_break="seq"
+    )
+    return with_rank(near, "seq").join(enriched(spark, sf_dir), "seq")
 
 
 @query(

@@ -25,7 +25,7 @@ def raw(article_id="a/1", body=LONG, section="technology", **more):
 def message(record, offset, topic="raw-news"):
     value = record if isinstance(record, str) else json.dumps(record)
     key = None if isinstance(record, str) else record.get("article_id")
-    return key, value, offset, AS_OF, topic
+    return key, value, None, offset, AS_OF, topic
 
 
 def log(spark, records, topic="raw-news", start=0):

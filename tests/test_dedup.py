@@ -77,6 +77,28 @@ def random_rows(seed, heavy=False):
     return [(k, rng.random() < 0.3) for k in keys]
 
 
+def test_one_first_of_copies_that_tie(spark):
+    rows = [("x", 5, "b"), ("x", 5, "a"), ("x", 5, "a"), ("x", 6, "c"), ("y", None, "d")]
+    df = spark.createDataFrame(rows, "article_id string, offset long, body string")
+    for order in ("offset", ("body", "offset")):
+        found = first_seen(df, order=order).collect()
+        assert [r.article_id for r in found].count("x") == 1
+    picked = {first_seen(df.repartition(n), order="offset").first().body for n in (1, 3, 5)}
+    assert len(picked) == 1
+    assert first_seen(df, order="offset", then=F.col("body") == "c").count() == 0
+
+
+def test_partitions_of_a_log_number_their_messages_alike(spark):
+    rows = [("x", 1, 0, 0), ("x", 0, 7, 0), ("x", 0, 7, 1), ("y", None, 3, 0)]
+    df = spark.createDataFrame(rows, "article_id string, partition int, offset long, at int")
+    order = ("at", "partition", "offset")
+    found = {(r.article_id, r.partition, r.offset) for r in first_seen(df, order=order).collect()}
+    assert found == {("x", 0, 7), ("y", None, 3)}
+    usable = F.lit(True)
+    done = label_inserts(df, order=order, usable=usable).where("label = 'inserted'")
+    assert {(r.article_id, r.partition) for r in done.collect()} == {("x", 0), ("y", None)}
+
+
 @pytest.mark.parametrize("rows,expected", [
     ([("a", 1), ("a", 1)], ["published", "duplicate"]),
     ([("a", 0), ("a", 1), ("a", 0)], ["filtered", "published", "duplicate"]),
