@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,11 @@ def hashing_embedder(dim: int = EMBEDDING_DIM) -> EmbedderFactory:
 
     def factory() -> Callable[[Sequence[str]], np.ndarray]:
         def embed(texts: Sequence[str]) -> np.ndarray:
-            out = np.zeros((len(texts), dim), dtype=np.float64)
-            for row, text in zip(out, texts):
-                buckets = [_token_number(token) % dim for token in text.split()]
-                row += np.bincount(buckets, minlength=dim) if buckets else 0
+            tokens = [text.split() for text in texts]
+            row = np.repeat(np.arange(len(texts)), [len(t) for t in tokens])
+            buckets = np.fromiter(map(_token_number, chain.from_iterable(tokens)), np.int64) % dim
+            out = np.bincount(row * dim + buckets, minlength=len(texts) * dim)
+            out = out.astype(np.float64).reshape(-1, dim)
             norms = np.linalg.norm(out, axis=1, keepdims=True)
             return (out / np.where(norms == 0, 1, norms)).astype(np.float32)
 

@@ -129,6 +129,18 @@ def unfence(text: Column) -> Column:
     return F.regexp_replace(opened, rf"{SPACE}*```\z", "")
 
 
+def read_json(text: Column) -> Column:
+    """A reply's JSON as a variant; NULL if it cannot be read or text follows it.
+
+    Of repeated keys the last counts (a setting of ``session.tune``), and NaN and
+    infinities are numbers.
+    """
+    goes_on = (text.startswith("{") & ~text.endswith("}")) | (
+        text.startswith("[") & ~text.endswith("]")
+    )
+    return F.when(~goes_on, F.from_json(text, "variant", {"allowSingleQuotes": "false"}))
+
+
 def _described(value: Column) -> Column:
     """A JSON value's type and text, worked out once for what looks at both."""
     return F.struct(
@@ -145,6 +157,11 @@ def _plain_text(described: Column) -> Column:
     return (
         F.when(kind == "VOID", F.lit("None"))
         .when(kind == "BOOLEAN", F.initcap(text))
+        .when((kind == "DOUBLE") & (text == "NaN"), F.lit("nan"))
+        .when(
+            (kind == "DOUBLE") & text.endswith("Infinity"),
+            F.replace(text, F.lit("Infinity"), F.lit("inf")),
+        )
         .otherwise(text)
     )
 
@@ -218,7 +235,7 @@ def parse_unified(df: DataFrame, reply: Column, into: str) -> DataFrame:
         "_fields",
         F.when(
             F.col("_text").startswith("{"),
-            F.try_variant_get(F.try_parse_json("_text"), "$", "map<string, variant>"),
+            F.try_variant_get(read_json(F.col("_text")), "$", "map<string, variant>"),
         ),
     )
 
@@ -245,11 +262,9 @@ def parse_separate(
 
     A sentiment reply that is not an object is ``Neutral`` without a reason.
     """
-    read = df.withColumns(
-        {
-            "_listed": F.try_parse_json(unfence(entities)),
-            "_judged": F.try_parse_json(unfence(sentiment)),
-        }
+    texts = df.withColumns({"_e": unfence(entities), "_s": unfence(sentiment)})
+    read = texts.withColumns(
+        {"_listed": read_json(F.col("_e")), "_judged": read_json(F.col("_s"))}
     )
     judged = F.col("_judged")
     answer = F.when(

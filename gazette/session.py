@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 _shipped: set[str] = set()
 _local_roots: dict[str, str] = {}
 
-# Settings that change results (time zone, state store) or protect memory
+# Settings that change results (time zone, repeated keys, state store) or protect memory
 # (Arrow batch size) rather than settings that depend on the cluster's size.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Model replies may repeat a key; the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -326,25 +326,45 @@ def staged_messages(spark, sf_dir):
 HASH_DIM = 64
 
 
+def _hashed(text: str, source: str) -> dict[str, str]:
+    return {
+        "words": rf"""SELECT seq, unnest(list_filter(regexp_split_to_array(
+                {text}, '[\s\x0b\x1c-\x1f\x{{85}}\pZ]+'), lambda x: x <> '')) AS word FROM {source}""",
+        "counts": f"""SELECT seq, ('0x' || substr(sha256(word), 1, 8))::UBIGINT % {HASH_DIM} AS bucket,
+                             count(*) AS c FROM words GROUP BY ALL""",
+        "norms": "SELECT seq, sqrt(sum(c * c)) AS norm FROM counts GROUP BY seq",
+    }
+
+
 @query(
     sql(
         f"""SELECT t.seq, bucket::BIGINT AS bucket, round(c / norm, 4) AS weight
             FROM counts t JOIN norms USING (seq)""",
         "articles",
         "enriched",
-        words=r"""SELECT seq, unnest(list_filter(regexp_split_to_array(
-                headline || ' ' || coalesce(summary, ''), '[\s\x0b\x1c-\x1f\x{85}\pZ]+'),
-                lambda x: x <> '')) AS word FROM enriched""",
-        counts=f"""SELECT seq, ('0x' || substr(sha256(word), 1, 8))::UBIGINT % {HASH_DIM} AS bucket,
-                          count(*) AS c FROM words GROUP BY ALL""",
-        norms="SELECT seq, sqrt(sum(c * c)) AS norm FROM counts GROUP BY seq",
+        **_hashed("headline || ' ' || coalesce(summary, '')", "enriched"),
     )
 )
 def embed_articles(spark, sf_dir):
     """Vectors of headline and summary, as their non-zero positions."""
-    rows = enriched(spark, sf_dir).select(
-        "seq", embed_text(embedding_text(), hashing_embedder(HASH_DIM), HASH_DIM).alias("e")
+    return _weights(enriched(spark, sf_dir), embedding_text())
+
+
+@query(
+    sql(
+        """SELECT t.seq, bucket::BIGINT AS bucket, round((c / norm)::FLOAT::DOUBLE, 4) AS weight
+            FROM counts t JOIN norms USING (seq)""",
+        "articles",
+        **_hashed("body", "articles"),
     )
+)
+def embed_bodies(spark, sf_dir):
+    """Vectors of whole bodies, as their non-zero positions."""
+    return _weights(articles(spark, sf_dir), F.coalesce("body", F.lit("")))
+
+
+def _weights(rows, text):
+    rows = rows.select("seq", embed_text(text, hashing_embedder(HASH_DIM), HASH_DIM).alias("e"))
     return (
         rows.select("seq", F.posexplode("e.vector").alias("bucket", "weight"))
         .where("weight <> 0")

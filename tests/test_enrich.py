@@ -108,6 +108,19 @@ def test_unified_reply_corner_cases(spark):
     assert rest == [None] * 5
 
 
+def test_replies_read_as_python_reads_them(spark):
+    """Repeated keys, numbers that are none, single quotes, text after the object."""
+    replies = [
+        '{"summary": "a", "sentiment": "Mixed", "summary": "b", "sentiment": "Negative"}',
+        '{"summary": NaN, "sentiment": -Infinity, "entities": [NaN, 1, Infinity]}',
+        '{"summary": "NaN", "sentiment": "x", "sentiment_reason": "-Infinity"}',
+        "{'summary': 'a', 'sentiment': 'x'}",
+        '{"summary": "a", "sentiment": "x"} and so on',
+        '{"summary": "a", "sentiment": "x", "entities": [{"k": 1, "k": 1}]',
+    ]
+    assert parse(spark, replies) == [model_of_unified(r) for r in replies]
+
+
 def test_separate_replies(spark):
     rows = spark.createDataFrame(
         [
