@@ -130,8 +130,9 @@ def unfence(text: Column) -> Column:
 
 
 def read_json(text: Column) -> Column:
-    """A reply's JSON as a variant; NULL if it cannot be read or text follows it.
+    """A reply's JSON as a variant; NULL if it cannot be read.
 
+    An object or array that does not end in its bracket goes on with text and is not read.
     Of repeated keys the last counts (a setting of ``session.tune``), and NaN and
     infinities are numbers.
     """
