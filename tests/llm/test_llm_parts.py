@@ -175,6 +175,40 @@ def test_near_copies_keep_one(spark):
     assert [t for i, t in left if i is None] == ["alone here"]
 
 
+def test_near_copies_are_found_however_they_were_made(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(5_000)]
+
+    def some(n):
+        return [rng.choice(words) for _ in range(n)]
+
+    def jaccard(a, b):
+        a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (a, b))
+        return len(a & b) / len(a | b)
+
+    rows, likely = [], {"appended": [], "truncated": [], "edited": []}
+    for i in range(360):
+        n = rng.randint(60, 300)
+        base, part = some(n), int(n * rng.uniform(0, 0.22))
+        how = list(likely)[i % 3]
+        if how == "appended":
+            copy = base + some(part)
+        elif how == "truncated":
+            copy = base[: n - part]
+        else:
+            copy = list(base)
+            for at in rng.sample(range(n), max(part // 10, 1)):
+                copy[at] = rng.choice(words)
+        rows += [(i, " ".join(base)), (10_000 + i, " ".join(copy))]
+        if jaccard(base, copy) >= 0.8:
+            likely[how].append(10_000 + i)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id for r in simhash.drop_near_copies(docs).collect()}
+    assert set(range(360)) <= left
+    for how, copies in likely.items():
+        assert len(copies) > 80 and sum(i in left for i in copies) <= 0.03 * len(copies), how
+
+
 def test_call_chains_and_cycles(spark):
     calls = [(1, f"c{i}", f"c{i - 1}" if i else None) for i in range(50)]
     calls += [(2, "a", "b"), (2, "b", "a"), (2, "d", "a"), (3, "x", "gone"), (3, "y", "x")]
