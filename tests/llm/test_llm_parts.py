@@ -126,6 +126,26 @@ def test_grams_are_counted_in_every_text(spark):
     assert counted == expected
 
 
+def test_rare_and_unseen_languages_stay(spark):
+    rng = random.Random(9)
+    letters = {"en": "abcdefghijkl", "xx": "mnopqrstuv", "zz": "αβγδεζηθικ"}
+    words = {x: ["".join(rng.choices(a, k=5)) for _ in range(300)] for x, a in letters.items()}
+    rows, labels = [], []
+    for lang, n, trusted in (("en", 400, 260), ("xx", 60, 5), ("zz", 40, 0)):
+        for i in range(n):
+            rows.append((len(rows), " ".join(rng.choices(words[lang], k=60)), lang))
+            if i < trusted:
+                labels.append((rows[-1][0], 1))
+    junk = [(10_000 + i, "".join(chr(rng.randint(33, 126)) for _ in range(400)), "en") for i in range(30)]
+    found = quality.judge(
+        spark.createDataFrame(rows + junk, "doc_id long, text string, lang string"),
+        spark.createDataFrame(labels, "doc_id long, quality int"),
+    ).collect()
+    kept = Counter((r.lang, r.doc_id >= 10_000) for r in found if r.kept)
+    assert kept["xx", False] == 60 and kept["zz", False] == 40
+    assert kept["en", False] >= 395 and not kept["en", True]
+
+
 def test_pu_learning_separates():
     rng = np.random.default_rng(2)
     sets, positive = [], []
