@@ -75,11 +75,14 @@ def cells(
     probes: int = PROBES,
     cell: float = CELL,
 ) -> np.ndarray:
-    """Keys of cells, (rows, tables, 1 + probes): a vector's own cell first."""
+    """Keys of cells, (rows, tables, 1 + probes): a vector's own cell first.
+
+    Vectors of another length or group have other cells.
+    """
     n, size = vectors.shape
     whole = np.rint(unit(vectors) * _WHOLE)
     out = np.empty((n, tables, 1 + probes), np.int64)
-    odd = np.array([pow(0x9E3779B97F4A7C15, i + 1, 2**64) for i in range(10)], np.uint64)
+    odd = np.array([pow(0x9E3779B97F4A7C15, i + 1, 2**64) for i in range(11)], np.uint64)
     for t in range(tables):
         plane = np.random.default_rng(100 + t).standard_normal((size, 8)) / np.sqrt(8) / cell
         # sums of whole numbers, so exact in any order
@@ -92,7 +95,7 @@ def cells(
         codes = np.rint(2 * points).astype(np.int64).view(np.uint64)
         key = (codes * odd[:8]).sum(2, dtype=np.uint64)
         key += groups.astype(np.int64).view(np.uint64)[:, None] * odd[8]
-        key += np.uint64(t * int(odd[9]) % 2**64)
+        key += np.uint64((t * int(odd[9]) + size * int(odd[10])) % 2**64)
         key ^= key >> np.uint64(29)
         key *= np.uint64(0xBF58476D1CE4E5B9)
         out[:, t] = (key ^ (key >> np.uint64(32))).view(np.int64)
@@ -176,27 +179,32 @@ def near_vectors(
         home, meet = frame["home"].to_numpy(bool), meet_here(frame)
         length, label = frame["v"].map(len).to_numpy(), frame["label"].to_numpy()
         forest, links = Forest(len(frame)), np.zeros(len(frame), np.int64)
-        bounds = np.append(np.unique(start), len(frame))
-        for a, z in zip(bounds[:-1], bounds[1:], strict=True):
-            if not home[a:z].any() or len(set(length[a:z])) > 1 or len(set(label[a:z])) > 1:
+        # by length and label within a cell, should keys of different ones be equal
+        order = np.lexsort((label, length, start))
+        kinds = np.stack([start, length, label])[:, order]
+        new = np.flatnonzero((kinds[:, 1:] != kinds[:, :-1]).any(0)) + 1
+        for same in np.split(order, new):
+            if not home[same].any():
                 continue
-            own = unit(_stack(frame["v"].iloc[a:z]))
-            x, y = np.nonzero(np.triu(own @ own.T >= least, 1))
-            x, y = x + a, y + a
+            vectors = _stack(frame["v"].iloc[same])
+            own = unit(vectors)
+            i, j = np.nonzero(np.triu(own @ own.T >= least, 1))
+            x, y = same[i], same[j]
             good = (home[x] | home[y]) & meet(x, y)
-            x, y = x[good], y[good]
+            i, j, x, y = i[good], j[good], x[good], y[good]
             if not len(x):
                 continue
             # a pair that meets in several cells counts where it does so first
-            mine = cells(_stack(frame["v"].iloc[a:z]), label[a:z], tables, probes, cell)
+            mine = cells(vectors, label[same], tables, probes, cell)
             swap = names[x] > names[y]
-            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            x, y = same[i], same[j]
             first = np.zeros(len(x), np.int64)
             open_ = np.ones(len(x), bool)
             for t in range(tables):
-                for p, q in ((x, y), (y, x)):
-                    there = mine[p - a, t, 0]
-                    here = open_ & (mine[q - a, t] == there[:, None]).any(1)
+                for p, q in ((i, j), (j, i)):
+                    there = mine[p, t, 0]
+                    here = open_ & (mine[q, t] == there[:, None]).any(1)
                     first[here] = there[here]
                     open_ &= ~here
             counted = first == key[x]

@@ -105,6 +105,21 @@ def test_lattice_recall_just_above_the_threshold():
     assert met.mean() >= 0.9
 
 
+def test_vectors_of_another_length_hide_no_links(spark):
+    rng = np.random.default_rng(3)
+    a = lattice.unit(rng.normal(size=(400, 64)))
+    side = rng.normal(size=a.shape)
+    side = lattice.unit(side - (side * a).sum(1, keepdims=True) * a)
+    cosine = rng.uniform(0.93, 0.97, (len(a), 1))
+    b = cosine * a + np.sqrt(1 - cosine**2) * side
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([a, b]))]
+    rows += [(5_000 + i, rng.normal(size=32).tolist(), 0) for i in range(100)]
+    found = lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    links = {r.vec_id: r.n_links for r in found.collect()}
+    assert sum(links[i] > 0 and links[400 + i] > 0 for i in range(400)) >= 380
+    assert not any(links[5_000 + i] for i in range(100))
+
+
 def test_kneser_ney_probabilities_add_up(spark):
     texts = [b"the cat sat on the mat", b"a cat and a dog", b"", b"the dog"] * 3
     frame = spark.createDataFrame([(t,) for t in texts], "text binary")
