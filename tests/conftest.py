@@ -28,7 +28,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

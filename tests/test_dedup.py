@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from builders import LONG, SHORT
-from conftest import plan_of
+from builders import LONG, SHORT, plan_of
 from gazette.operators.dedup import (
     first_seen,
     first_seen_long,

@@ -7,8 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from builders import AS_OF, SUMMARY, enriched, frame, raw
-from conftest import plan_of
+from builders import AS_OF, SUMMARY, enriched, frame, plan_of, raw
 from gazette.functions.vectors import embed_text, hashing_embedder
 from gazette.operators.enrich import (
     PROMPTS,

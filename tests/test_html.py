@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from builders import plan_of
 from gazette.functions.html import cap_bytes, extract_text
 from gazette.sources.pages import body_fetchable, page_bodies, replace_body
 

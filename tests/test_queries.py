@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import plan_of
+from builders import plan_of
 from gazette import workload
 
 DATA = Path("/root/testdata/sf0.001")

@@ -4,8 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from builders import SUMMARY
-from conftest import plan_of
+from builders import SUMMARY, plan_of
 from gazette.functions.vectors import cosine_distance, hashing_embedder, similarity
 from gazette.operators.search import knn, knn_many, rag_context, with_rank
 from gazette.plans.ask import answer, answer_prompt, find_articles

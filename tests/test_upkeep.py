@@ -6,8 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from builders import AS_OF, UTC, enriched, frame
-from conftest import plan_of
+from builders import AS_OF, UTC, enriched, frame, plan_of
 from gazette.operators.maintenance import (
     assert_flowing,
     assert_not_empty,
