@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +41,39 @@ def text_digest(column: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
 
 
+def arrow_map(
+    rows: DataFrame, run: Callable[[pa.RecordBatch], list[pa.Array]], added: str, drop: tuple = ()
+) -> DataFrame:
+    """``rows`` with columns ``added``, which ``run`` makes of each Arrow batch.
+
+    The other columns stay in Arrow, so ids of any type pass unchanged, beside nulls too.
+    Columns in ``drop`` are for ``run`` only.
+    """
+    kept = [c for c in rows.columns if c not in drop]
+    schema = ", ".join([f"`{c}` {t}" for c, t in rows.dtypes if c not in drop] + [added])
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = None
+        for batch in batches:
+            new = run(batch)
+            names = names or kept + [f.split()[0].strip("`") for f in _fields(added)]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + new, names=names)
+
+    return rows.mapInArrow(go, schema)
+
+
+def _fields(schema: str) -> list[str]:
+    """The fields of a schema in words, without those within brackets."""
+    fields, depth = [""], 0
+    for c in schema:
+        depth += (c in "<(") - (c in ">)")
+        if c == "," and not depth:
+            fields.append("")
+        else:
+            fields[-1] += c
+    return fields
+
+
 def groups_of(
     frames: Iterator[pd.DataFrame], keys: list[str], rows: int = 65_536
 ) -> Iterator[pd.DataFrame]:

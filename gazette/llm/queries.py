@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import edits, lattice, mixing, packing, quality, suffixes, tools, toxicity, units
+from gazette.llm import counts, edits, lattice, mixing, packing, quality, suffixes, tools, toxicity, units
 from gazette.llm.registry import query, table
 from gazette.llm.simhash import near_components, simhash
 
@@ -17,6 +17,13 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_tokenizer() -> str:
+    """The same for the public tokenizer of word pieces."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @query()
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints over 4-word shingles and what 4 differing bits connect."""
@@ -148,3 +155,9 @@ def tool_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tool calls of all conversations with their results."""
     return tools.link_calls(*tool_messages(spark, sf_dir), TOOLS)
+
+
+@query()
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of word pieces of all documents."""
+    return counts.count_tokens(table(spark, sf_dir, "documents"), piece_tokenizer())
