@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import counts, edits, lattice, mixing, packing, quality, suffixes, tools, toxicity, units
+from gazette.llm import counts, edits, lattice, mixing, negatives, packing, quality, suffixes, tools, toxicity, units
 from gazette.llm.registry import query, table
 from gazette.llm.simhash import near_components, simhash
 
@@ -161,3 +161,13 @@ def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of word pieces of all documents."""
     return counts.count_tokens(table(spark, sf_dir, "documents"), piece_tokenizer())
+
+
+@query(negatives.SQL)
+def op13_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the embeddings whose id is divisible by 50, some labels moved on."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = negatives.whole_vectors(rows).withColumn("label", moved)
+    return negatives.hard_negatives(rows, F.coalesce(F.col("vec_id") % 50 == 0, F.lit(False)))
