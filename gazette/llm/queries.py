@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import counts, edits, lattice, mixing, negatives, packing, quality, suffixes, tools, toxicity, units
+from gazette.llm import (
+    alignment,
+    counts,
+    edits,
+    lattice,
+    mixing,
+    negatives,
+    packing,
+    quality,
+    suffixes,
+    tools,
+    toxicity,
+    units,
+)
 from gazette.llm.registry import query, table
 from gazette.llm.simhash import near_components, simhash
 
@@ -17,6 +30,13 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_tokenizer() -> str:
+    """The same for the public byte-level tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def piece_tokenizer() -> str:
     """The same for the public tokenizer of word pieces."""
     import public_tokenizers
@@ -157,6 +177,13 @@ def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tools.link_calls(*tool_messages(spark, sf_dir), TOOLS)
 
 
+@query()
+def op11_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of the byte-level and the piece tokenizer that overlap, in all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align_documents(docs, byte_tokenizer(), piece_tokenizer())
+
+
 @query()
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of word pieces of all documents."""
