@@ -123,16 +123,17 @@ def _aligner(byte_path: str, piece_path: str) -> Aligner:
 # --- alignment ------------------------------------------------------------------------
 
 
-def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
+def gallop(short: np.ndarray, long: np.ndarray, near: np.ndarray) -> np.ndarray:
     """For ascending ``short``, the first places in ascending ``long`` that are no smaller.
 
-    The search for a value starts at the place that its share of the list suggests, goes on in
-    steps of 1, 2, 4 ... until the value lies between two steps, and then by halving.
+    The search for a value starts at the place ``near`` it, goes on in steps of 1, 2, 4 ...
+    until the value lies between two steps, and then by halving. ``near`` decides the
+    number of steps only.
     """
     n = len(long)
     if not n or not len(short):
         return np.zeros(len(short), np.int64)
-    at = np.arange(len(short)) * n // len(short)
+    at = np.clip(near, 0, n - 1)
     up = long[at] < short
     # long[low] < value <= long[high], where -1 and n lie beyond both ends
     low, high = np.where(up, at, -1), np.where(up, n, at)
@@ -156,9 +157,21 @@ def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
     return high
 
 
-def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, ...]:
+def shares(mine: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """For each of the rows of tokens of several texts, where the other's row is as far on.
+
+    ``mine`` and ``others`` are the numbers of tokens of each text.
+    """
+    text = np.repeat(np.arange(len(mine)), mine)
+    since = np.arange(len(text)) - (np.cumsum(mine) - mine)[text]
+    pace = others / np.maximum(mine, 1)
+    return (np.cumsum(others) - others)[text] + (since * pace[text]).astype(np.int64)
+
+
+def align(ends_a: np.ndarray, ends_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of the ends of two rows of tokens of the same bytes: what groups and overlaps follow.
 
+    The rows are of several texts, one after the other, with ``n_a`` and ``n_b`` tokens each.
     (in_a, in_b, first, last): the places, in each row, of the ends that both have, and for each
     token of the first row the range of tokens of the other that overlap it.
     """
@@ -166,11 +179,11 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, ...]:
         none = np.zeros(0, np.int64)
         return none, none, none, none
     if len(ends_a) <= len(ends_b):
-        before = gallop(ends_a, ends_b)  # ends of b before each end of a
+        before = gallop(ends_a, ends_b, shares(n_a, n_b))  # ends of b before each end of a
         in_a = np.flatnonzero(ends_b[before] == ends_a)
         in_b = before[in_a]
     else:
-        found = gallop(ends_b, ends_a)
+        found = gallop(ends_b, ends_a, shares(n_b, n_a))
         in_b = np.flatnonzero(ends_a[found] == ends_b)
         in_a = found[in_b]
         before = np.cumsum(np.bincount(found, minlength=len(ends_a)))
@@ -212,7 +225,7 @@ class Aligner:
         a, b = (np.fromiter(chain.from_iterable(r), np.int64) for r in (rows_a, rows_b))
         # one line of ends for the block: every text's last end is common to both, so none is crossed
         ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        in_a, in_b, first, last = align(ends_a, ends_b)
+        in_a, in_b, first, last = align(ends_a, ends_b, n_a, n_b)
         many = last - first
         from_a = np.repeat(np.arange(len(a)), many)
         at_b = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
