@@ -62,6 +62,11 @@ def arrow_map(
     return rows.mapInArrow(go, schema)
 
 
+def in_text(rows: DataFrame, column: str = "doc_id") -> DataFrame:
+    """``rows`` with ids as text: beside a null, pandas would make doubles of whole numbers."""
+    return rows.withColumn(column, F.col(column).cast("string"))
+
+
 def _fields(schema: str) -> list[str]:
     """The fields of a schema in words, without those within brackets."""
     fields, depth = [""], 0

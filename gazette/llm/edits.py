@@ -16,24 +16,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazette.llm.common import (
     Forest,
     deal_blocks,
     in_cells,
+    in_text,
     meet_here,
     pairs_by_shift,
     scratch,
 )
-from gazette.llm.graph import components
+from gazette.llm.graph import name_components
 
 SLOTS = 128
 PERIOD = 4096  # steps after which the random function repeats
 BATCH_CHARS = 8_000_000
 BUCKET_ROWS = 500
 MOST_BUCKETS = 20_000
+SAMPLED = 16
+BEGINNING = 24  # characters
 
 
 def _random_function() -> np.ndarray:
@@ -167,37 +170,57 @@ def fingerprints(texts: list[str], tails: list[str]) -> tuple[list[np.ndarray],
 
 
 def with_neighbours(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) dealt into ranges of ids, in order, each with the row after it.
+    """``docs`` (doc_id, text) dealt into ranges, in order, each with the row after it.
 
-    The ranges begin at ids that exist, found by approximate quantiles of the ids, so
-    the first row of a range is known and goes to the range before as well,
-    with ``_after`` set; that of the first range goes to the last. Only the
-    ranges' first ids pass the driver, at most ``MOST_BUCKETS``.
+    The order is that of (doc_id, text), null ids last; ranges are cut by the id and the
+    text's beginning, so the rows of one id may be in several. They begin at rows that exist,
+    taken from a sample of ``SAMPLED`` a range, so the first row of a range is known and
+    goes to the range before as well, with ``_after`` set; that of the first range goes to
+    the last. Only these keys pass the driver, for ``MOST_BUCKETS`` ranges at most.
     """
-    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull())
-    n = min(max(ids.count() // BUCKET_ROWS, 1), MOST_BUCKETS)
-    low = ids.agg(F.min("doc_id")).first()[0]
-    wanted = [i / n for i in range(1, n)]
-    inner = ids.approxQuantile("doc_id", wanted, 0.2 / n) if wanted else []
-    firsts = sorted({int(x) for x in inner} | {low}) if low is not None else []
-    edges = F.lit(firsts) if firsts else F.array().cast("array<long>")
-    # the number of range starts up to the id, by halving
+    kind = dict(docs.dtypes)["doc_id"]
+    blank = "" if kind == "string" else 0
+    names = ("_n", "_i", "_d")
+    docs = docs.select(
+        "doc_id",
+        "text",
+        F.col("doc_id").isNull().alias("_n"),
+        F.coalesce("doc_id", F.lit(blank).cast(kind)).alias("_i"),
+        F.substring("text", 1, BEGINNING).alias("_d"),
+    )
+    counted = docs.agg(F.count("*").alias("n"), F.min(F.struct(*names)).alias("low")).first()
+    n = min(max(counted["n"] // BUCKET_ROWS, 1), MOST_BUCKETS)
+    firsts = [tuple(counted["low"])] if counted["low"] else []
+    if n > 1:
+        one_in = max(counted["n"] // (n * SAMPLED), 1)
+        some = F.pmod(F.xxhash64(F.lit(17), "doc_id", "text"), F.lit(one_in)) == 0
+        sample = sorted(map(tuple, docs.select(*names).where(some).distinct().collect()))
+        step = max(len(sample) // n, 1)
+        firsts = sorted({*firsts, *sample[step::step]})
+    edges = [
+        F.lit([x[i] for x in firsts]).cast(f"array<{t}>") if firsts else F.array().cast(f"array<{t}>")
+        for i, t in enumerate(("boolean", kind, "string"))
+    ]
+    key = F.struct(*names)
+
+    def edge(at) -> Column:
+        return F.struct(*(F.get(e, at).alias(c) for e, c in zip(edges, names, strict=True)))
+
+    # the number of range starts up to the row, by halving
     place = F.lit(0)
     width = 1 << max(len(firsts) - 1, 0).bit_length()
     while firsts and width >= 1:
-        ahead = F.coalesce(F.get(edges, place + (width - 1)), F.lit((1 << 63) - 1))
-        more = (F.col("doc_id") >= ahead) & (place + width <= len(firsts))
+        more = (place + width <= len(firsts)) & (key >= edge(place + (width - 1)))
         docs = docs.withColumn("_place", F.when(more, place + width).otherwise(place))
         place, width = F.col("_place"), width // 2
     last = max(len(firsts) - 1, 0)
-    bucket = F.when(F.col("doc_id").isNull(), last).otherwise(place - 1) if firsts else F.lit(0)
-    docs = docs.withColumn("_bucket", bucket.cast("int")).drop("_place")
+    docs = docs.withColumn("_bucket", (place - 1 if firsts else F.lit(0)).cast("int")).drop("_place")
     here = F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("after"))
     before = F.struct(
         F.when(F.col("_bucket") == 0, last).otherwise(F.col("_bucket") - 1).alias("b"),
         F.lit(True).alias("after"),
     )
-    starts = F.array_contains(edges, F.col("doc_id")) if firsts else F.lit(False)
+    starts = key == edge(F.col("_bucket")) if firsts else F.lit(False)
     both = F.when(F.coalesce(starts, F.lit(False)), F.array(here, before)).otherwise(F.array(here))
     dealt = docs.withColumn("_x", F.explode(both)).select(
         "doc_id", "text", F.col("_x.b").alias("_bucket"), F.col("_x.after").alias("_after")
@@ -212,10 +235,11 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
 
     The next document is the next in the order of (doc_id, text), null ids last, and the
     first one after the last. Equal rows follow each other in any order. A null
-    text is an empty one; a single document follows itself.
+    text is an empty one; a single document follows itself. Ids may be whole numbers or text.
     """
     key = dict(docs.dtypes)["doc_id"]
     rows = with_neighbours(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    rows = in_text(rows).select("doc_id", "text", "_bucket", "_after")
 
     def finish(held: list[tuple], after: str) -> pd.DataFrame:
         texts = [t for _, t in held] + [after]
@@ -254,16 +278,17 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
                 if size > BATCH_CHARS:
                     yield finish(held, text)
                     held, size = [], 0
-                held.append((doc_id if doc_id == doc_id else None, text))
+                held.append((doc_id, text))
                 size += len(text)
         if held:
             yield finish(held, first)
 
-    return rows.mapInPandas(
+    made = rows.mapInPandas(
         run,
-        f"doc_id {key}, n_chars long, edited_sha256 string, fingerprint string, "
+        "doc_id string, n_chars long, edited_sha256 string, fingerprint string, "
         "edited_fingerprint string, near_edited double, near_next double",
     )
+    return made.withColumn("doc_id", F.col("doc_id").cast(key))
 
 
 COLUMNS = [
@@ -278,21 +303,22 @@ COLUMNS = [
 
 
 def near_texts(prints: DataFrame, least: float = 0.8, bands: int = 16, width: int = 4) -> DataFrame:
-    """(doc_id, fingerprint, component_id): what fingerprints of likeness ``least`` connect.
+    """``prints`` (doc_id, fingerprint, ...) with component_id: what a likeness of ``least`` connects.
 
-    Candidates share the ``width`` slots of one of ``bands`` bands; they are verified on
-    all slots. Equal fingerprints are one class. A class without ids has no component.
+    Candidates share the ``width`` slots of one of ``bands`` bands, sampled from the bits of the
+    fingerprints; they are verified on all slots. Equal fingerprints are one class. Rows
+    without an id connect like any others; ``component_id`` is the smallest id within
+    reach, null where no row there has one.
     """
-    prints = scratch(prints.select("doc_id", "fingerprint"))
-    classes = scratch(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("id")))
+    prints = scratch(prints.drop("component", "component_id"))
+    classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    classes = scratch(classes.withColumn("id", F.xxhash64("fingerprint")))
     slots = np.random.default_rng(3).permutation(SLOTS)[: bands * width].reshape(bands, width)
     keys = [
         F.xxhash64(F.lit(i), *[F.substring("fingerprint", int(s) + 1, 1) for s in band])
         for i, band in enumerate(slots)
     ]
-    rows = classes.where(F.col("id").isNotNull()).select(
-        F.explode(F.array(*keys)).alias("key"), "id", "fingerprint"
-    )
+    rows = classes.select(F.explode(F.array(*keys)).alias("key"), "id", "fingerprint")
 
     def link(frame: pd.DataFrame, start: np.ndarray) -> pd.DataFrame:
         ids, values, meet = frame["id"].to_numpy(), _slots_from(frame["fingerprint"]), meet_here(frame)
@@ -306,10 +332,4 @@ def near_texts(prints: DataFrame, least: float = 0.8, bands: int = 16, width: in
         return pd.DataFrame({"a": ids[a], "b": ids[b]})
 
     links = in_cells(deal_blocks(rows, "key", "id"), "key", link, "a long, b long", 16_384)
-    found = components(links)
-    named = scratch(
-        classes.join(found, classes["id"] == found["node"], "left").select(
-            "fingerprint", F.coalesce("component", "id").alias("component_id")
-        )
-    )
-    return prints.join(named, "fingerprint")
+    return name_components(prints, classes, ["fingerprint"], links).drop("component")

@@ -51,3 +51,19 @@ def _state(edges: DataFrame):
     return edges.agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")
     ).first()
+
+
+def name_components(prints: DataFrame, classes: DataFrame, key: list[str], links: DataFrame) -> DataFrame:
+    """``prints`` with the components that ``links`` make of ``classes`` (key, id, least).
+
+    ``component`` is the id of a class, ``component_id`` the least of all in reach.
+    """
+    found = components(links)
+    grouped = scratch(
+        classes.join(found, classes["id"] == found["node"], "left").select(
+            *key, "least", F.coalesce("component", "id").alias("component")
+        )
+    )
+    smallest = scratch(grouped.groupBy("component").agg(F.min("least").alias("component_id")))
+    named = scratch(grouped.drop("least").join(smallest, "component"))
+    return prints.join(named, key)

@@ -15,11 +15,13 @@ from itertools import combinations, product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import Forest, deal_blocks, in_cells, meet_here, scratch
+from gazette.llm.common import Forest, arrow_map, deal_blocks, in_cells, meet_here, scratch
 from gazette.llm.graph import components
 
 LEAST_COSINE = 0.93
@@ -109,29 +111,27 @@ def prepare(rows: DataFrame) -> DataFrame:
     where it holds a null or a value that is not finite.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            made = []
-            for label, values in zip(frame["label"], frame.pop("embedding"), strict=True):
-                v = None
-                if values is not None and label is not None and label == label and len(values):
-                    x = np.array([np.nan if y is None else y for y in values], float) + 0.0
-                    if np.isfinite(x).all() and (x != 0).any():
-                        v = x.tobytes()
-                made.append(v)
-            halves = [
-                (None, None) if v is None else divmod(xxhash.xxh3_128_intdigest(v + repr(int(label)).encode()), 2**64)
-                for v, label in zip(made, frame["label"], strict=True)
-            ]
-            frame["v"] = made
-            for name, i in (("h", 0), ("g", 1)):
-                frame[name] = pd.array(
-                    [None if x[i] is None else x[i] - 2**63 for x in halves], dtype="Int64"
-                )
-            yield frame
-
-    schema = f"vec_id {dict(rows.dtypes)['vec_id']}, label long, v binary, h long, g long"
-    return rows.select("vec_id", F.col("label").cast("long"), "embedding").mapInPandas(run, schema)
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+        lists, labels = batch.column("embedding"), batch.column("label").to_pylist()
+        length = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        values = pc.cast(lists.flatten(), pa.float64()).to_numpy(zero_copy_only=False).astype(float) + 0.0
+        ends = np.append(0, np.cumsum(length))
+        bad, some = (np.diff(np.append(0, np.cumsum(x))[ends]) for x in (~np.isfinite(values), values != 0))
+        packed, made, halves = values.tobytes(), [], []
+        for i, label in enumerate(labels):
+            usable = label is not None and not bad[i] and some[i]
+            v = packed[8 * ends[i] : 8 * ends[i + 1]] if usable else None
+            made.append(v)
+            halves.append(
+                divmod(xxhash.xxh3_128_intdigest(v + repr(label).encode()), 2**64) if usable else None
+            )
+        columns = [pa.array(made, pa.binary())]
+        for i in (0, 1):
+            columns.append(pa.array([None if x is None else x[i] - 2**63 for x in halves], pa.int64()))
+        return columns
+
+    rows = rows.select("vec_id", F.col("label").cast("long"), "embedding")
+    return arrow_map(rows, run, "v binary, h long, g long", drop=("embedding",))
 
 
 def near_vectors(
@@ -221,7 +221,8 @@ def near_vectors(
             }
         )
 
-    dealt = deal_blocks(filed, "key", "h", 1024)
+    # written once: it is counted and then joined
+    dealt = deal_blocks(scratch(filed), "key", "h", 1024)
     found = scratch(in_cells(dealt, "key", link, "a long, b long, n long", 8_192))
     groups = components(found.where("a != b").select("a", "b"))
     joined = classes.join(groups, classes["h"] == groups["node"], "left").select(

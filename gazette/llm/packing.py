@@ -17,15 +17,18 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import numbered, scratch, text_bytes
+from gazette.llm.common import arrow_map, numbered, scratch, text_bytes
 
 CAPACITY = 2048
-MEMO = 600_000  # words a Python worker remembers
+MEMO_BYTES = 48 << 20  # of words and their ids that a Python worker remembers, twice
 
 _encoders: dict = {}
+_PIECE = ("piece", "start", "length", "ids_crc32", "ids")
+_KINDS = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
 
 class WordEncoder:
@@ -46,7 +49,10 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # Words used of late, and words used before them: what is not used is forgotten.
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+        self.size = 0
 
     def encode_apart(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -65,9 +71,12 @@ class WordEncoder:
         return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def learn(self, words: set[bytes]) -> None:
+        if self.size > MEMO_BYTES:
+            self.before, self.known, self.size = self.known, {}, 0
         known = self.known
-        if len(known) > MEMO:
-            known.clear()
+        found = self.before.keys() & words
+        known.update({w: self.before[w] for w in found})
+        words = words - found
         # A word of letters before marks: both are found again, also apart.
         pairs: dict[bytes, tuple[bytes, bytes]] = {}
         plain: dict[bytes, str] = {}
@@ -95,6 +104,9 @@ class WordEncoder:
         known.update(zip(plain, self.encode_joined(list(plain.values())), strict=True))
         known.update(zip(other, self.encode_apart(list(other.values())), strict=True))
         known.update({w: known[a] + known[b] for w, (a, b) in pairs.items()})
+        # with what a dictionary and two objects take
+        self.size += 190 * (len(plain) + len(other) + len(pairs) + len(found))
+        self.size += 8 * sum(map(len, words))
 
     def ids(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -125,25 +137,29 @@ def pieces(
     ids are cut, into pieces of that many and a rest. ``ids`` adds the ids themselves.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(tokenizer)
         last = np.array([end], "<u4").tobytes()
-        for frame in frames:
+        for batch in batches:
             rows, out = [], []
-            for row, text in enumerate(frame["text"]):
+            for row, text in enumerate(batch.column("text").to_pylist()):
                 found = encode.ids(text) + last
                 for at in range(0, len(found), 4 * capacity):
                     part = found[at : at + 4 * capacity]
                     rows.append(row)
                     out.append((at // 4 // capacity, at // 4, len(part) // 4, zlib.crc32(part), part))
-            made = pd.DataFrame(out, columns=["piece", "start", "length", "ids_crc32", "ids"])
-            made.insert(0, "doc_id", frame["doc_id"].to_numpy()[rows] if rows else [])
-            yield made if ids else made.drop(columns="ids")
+            # ids stay in Arrow: beside a null, pandas would make them doubles
+            made = {"doc_id": batch.column("doc_id").take(pa.array(rows, pa.int64()))}
+            for name, kind, values in zip(_PIECE, _KINDS, zip(*out, strict=True) if out else [[]] * 5, strict=True):
+                made[name] = pa.array(values, kind)
+            if not ids:
+                del made["ids"]
+            yield pa.RecordBatch.from_pydict(made)
 
     key = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {key}, piece int, start long, length long, ids_crc32 long"
     rows = docs.select("doc_id", text_bytes().alias("text"))
-    return rows.mapInPandas(run, schema + ", ids binary" * ids)
+    return rows.mapInArrow(run, schema + ", ids binary" * ids)
 
 
 def _replace_smallest(pattern: list[int], left: np.ndarray, gap: int) -> list[int]:
@@ -215,9 +231,10 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``parts`` (with doc_id, piece, length, ids_crc32) plus sequence_id and offset.
 
     The sequences are gapless from 0. Equal rows are told apart by their number
-    only, so they get different slots. An empty table gives an empty one.
+    only, so they get different slots. An empty table gives an empty one. Columns ``rank``,
+    ``sequence_id`` and ``offset`` of ``parts`` are replaced.
     """
-    parts = scratch(parts)
+    parts = scratch(parts.drop("rank", "sequence_id", "offset"))
     counted = parts.groupBy("length").count().collect()  # at most ``capacity`` rows
     where = slots(plan({r["length"]: r["count"] for r in counted}, capacity))
     lengths = where["length"].to_numpy(np.int64)
@@ -225,29 +242,23 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         where[c].to_numpy(np.int64) for c in ("from_rank", "sequence", "offset")
     )
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = {int(v): i for v, i in zip(*np.unique(lengths, return_index=True), strict=True)}
-        last = {**{v: len(lengths) for v in first}}
-        ordered = sorted(first, key=first.get)
-        for a, b in zip(ordered, ordered[1:], strict=False):
-            last[a] = first[b]
-        for frame in frames:
-            at = np.empty(len(frame), np.int64)
-            of, rank = frame["length"].to_numpy(), frame["rank"].to_numpy()
-            for length in np.unique(of):
-                mine = of == length
-                lo, hi = first[int(length)], last[int(length)]
-                at[mine] = lo + np.searchsorted(ranks[lo:hi], rank[mine], side="right") - 1
-            frame["sequence_id"] = sequences[at] + rank - ranks[at]
-            frame["offset"] = offsets[at]
-            yield frame.drop(columns="rank")
+    first = {int(v): i for v, i in zip(*np.unique(lengths, return_index=True), strict=True)}
+    ordered = sorted(first, key=first.get)
+    last = dict(zip(ordered, [*(first[x] for x in ordered[1:]), len(lengths)], strict=False))
+
+    def place(batch: pa.RecordBatch) -> list[pa.Array]:
+        at = np.empty(len(batch), np.int64)
+        of, rank = (batch.column(c).to_numpy() for c in ("length", "_rank"))
+        for length in np.unique(of):
+            mine = of == length
+            lo, hi = first[int(length)], last[int(length)]
+            at[mine] = lo + np.searchsorted(ranks[lo:hi], rank[mine], side="right") - 1
+        return [pa.array(sequences[at] + rank - ranks[at]), pa.array(offsets[at])]
 
     spread = F.xxhash64("doc_id", "piece", "ids_crc32")
     ranked = numbered(parts, "length", spread, ["doc_id", "piece", "ids_crc32"])
-    schema = ", ".join(f"`{c}` {t}" for c, t in parts.dtypes)
-    return ranked.select(*parts.columns, "rank").mapInPandas(
-        place, f"{schema}, sequence_id long, offset long"
-    )
+    ranked = ranked.select(*parts.columns, F.col("rank").alias("_rank"))
+    return arrow_map(ranked, place, "sequence_id long, offset long", drop=("_rank",))
 
 
 def sequences(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:

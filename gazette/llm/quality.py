@@ -2,12 +2,12 @@
 
 The model is an interpolated modified Kneser-Ney model of order 4 over UTF-8
 bytes. All trusted text is counted, in shards, and the counts are joined with
-their contexts' totals, discounts and continuation counts as Spark tables. A
-byte alphabet bounds every table whatever the corpus: 2^24 entries for order 3, and
-as many for order 4, whose contexts of three bytes are hashed into 2^16 classes. So
-the finished model is small enough to be handed to every task, and documents are
-scored where they are read; joining them gram by gram would shuffle
-dozens of times their size.
+their contexts' totals, discounts and continuation counts as Spark tables. Each
+order that backs off is bounded by the alphabet (2^24 entries at most); the grams of order
+4 are not, so they are handed to the tasks in shards of a fixed size. Every byte of a
+text falls to one shard, so a text's bits are the sum over the shards. Documents are
+scored where they are read; joining them gram by gram would shuffle dozens of
+times their size.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,17 +31,10 @@ SHRINK = 100  # bytes at the language's mean added to every text, for short ones
 QUANTILE = 0.995  # of the trusted documents of a language
 MARGIN = 2.0  # the threshold's distance from the mean, in that of the quantile
 PULL = 50  # trusted documents that the pooled distance weighs as much as
+SHARD = 1 << 22  # grams of order 4 that a task looks up at a time
 WIDEN = 10.0  # bits a byte added to the threshold, divided by the trusted documents
 
 
-def _class_of(context: np.ndarray) -> np.ndarray:
-    """A context of three bytes as one of 2^16 classes."""
-    return ((context * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64)
-
-
-_CLASS_SQL = "shiftrightunsigned((context * 2654435761L) & 4294967295L, 16)"
-
-
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The 4-gram that ends at each byte of the texts, as an integer, and the texts' ends."""
     joined = b"".join(PAD + t for t in texts)
@@ -111,19 +106,22 @@ def discounted(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 class Model:
-    """Arrays of a bounded size; tables of seen grams, filled in on the machine that scores."""
+    """Bits of grams. ``shards`` hold those of the grams of order 4 that trusted text has.
+
+    ``lower`` is for all others: the shares that contexts of three bytes leave to order 3, the
+    probabilities of grams of order 3, the shares of contexts of two bytes, and the
+    probabilities of grams of order 2.
+    """
 
-    def __init__(self, orders: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]):
-        self.orders = orders
+    def __init__(self, shards: list[tuple[np.ndarray, np.ndarray]], lower: tuple):
+        self.shards, self.lower = shards, lower
 
     @classmethod
-    def train(cls, texts: DataFrame) -> Model:
+    def train(cls, texts: DataFrame, shard: int = SHARD) -> Model:
         """From a column ``text`` of bytes, all of it."""
         four = scratch(count_grams(texts))
         context, byte = F.shiftright("gram", 8), F.col("gram").bitwiseAND(255)
-        pairs = four.select(context.alias("context"), byte.alias("byte"), "n")
-        hashed = pairs.groupBy(F.expr(_CLASS_SQL).alias("context"), "byte").agg(F.sum("n").alias("n"))
-        orders, lower = [hashed], four.select("gram")
+        orders, lower = [four.select(context.alias("context"), byte.alias("byte"), "n")], four.select("gram")
         for bits in (24, 16, 8):  # how many different bytes stand before a shorter gram
             lower = scratch(
                 lower.groupBy(F.col("gram").bitwiseAND((1 << bits) - 1).alias("gram")).agg(
@@ -131,89 +129,153 @@ class Model:
                 )
             )
             orders.append(lower.select(context.alias("context"), byte.alias("byte"), "n"))
-        arrays = []
-        for counts in orders:
-            seen, rest = (x.toPandas() for x in discounted(counts))  # bounded by the alphabet
-            arrays.append(
-                (
-                    (seen["context"].to_numpy(np.int64) << 8) | seen["byte"].to_numpy(np.int64),
-                    seen["p"].to_numpy(np.float32),
-                    rest["context"].to_numpy(np.int64),
-                    rest["rest"].to_numpy(np.float32),
-                )
-            )
-        return cls(arrays)
-
-    def open(self) -> None:
-        """Lay the tables out for looking up."""
-        self.tables = []
-        for (at, p, context, rest), bits in zip(self.orders, (16, 16, 8, 0), strict=True):
-            seen = np.zeros(1 << (bits + 8), np.float32)
-            seen[at] = p
-            share = np.ones(1 << bits, np.float32)
-            share[context] = rest
-            self.tables.append((seen, share))
-        (a1, g1), (a2, g2) = self.tables[3], self.tables[2]
-        one = a1 + g1[0] / 256
-        # the two lowest orders as one table: context byte, byte
-        self.two = (a2.reshape(256, 256) + g2[:, None] * one[None, :]).astype(np.float32).ravel()
+        (seen4, rest4), (seen3, rest3), (seen2, rest2), (seen1, rest1) = map(discounted, orders)
+
+        def gathered(table: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
+            """Keys and values, by key; at most 2^24 rows, or a shard."""
+            key = F.col("context") if value == "rest" else F.col("context") * 256 + F.col("byte")
+            rows = table.select(key.alias("k"), F.col(value).cast("float")).toPandas().sort_values("k")
+            return rows["k"].to_numpy(np.uint32), rows[value].to_numpy(np.float32)
+
+        one = np.full(256, (gathered(rest1, "rest")[1] if four.head(1) else np.ones(1))[0] / 256, np.float64)
+        at, p = gathered(seen1, "p")
+        one[at] += p
+        share2, share3 = np.ones(1 << 8), np.ones(1 << 16, np.float32)
+        at, p = gathered(rest2, "rest")
+        share2[at] = p
+        two = (share2[:, None] * one).ravel()
+        at, p = gathered(seen2, "p")
+        two[at] += p
+        at, p = gathered(rest3, "rest")
+        share3[at] = p
+        at, p = gathered(seen3, "p")
+        three = at, (p + share3[at >> 8] * two[at & 0xFFFF]).astype(np.float32)
+        model = cls([], (gathered(rest4, "rest"), three, share3, two.astype(np.float32)))
+        number = max(1, -(-four.count() // shard))
+        for i in range(number):
+            mine = seen4.where(F.pmod(F.xxhash64("context", "byte"), F.lit(number)) == i) if number > 1 else seen4
+            at, p = gathered(mine, "p")
+            model.shards.append((at, -np.log2(p + model.backed_off(at)).astype(np.float32)))
+        return model
+
+    def bits(self, texts: list[bytes]) -> np.ndarray:
+        """The bits that each text takes, over all shards."""
+        return sum(Shard(self, i).bits(texts) for i in range(len(self.shards)))
+
+    def backed_off(self, grams: np.ndarray) -> np.ndarray:
+        """The probability that grams get from the orders below."""
+        rest4, three, share3, two = self.lower
+        short = grams & np.uint32(0xFFFFFF)
+        p = _at(*three, short, 0.0)
+        none = np.flatnonzero(p == 0)
+        p[none] = share3[(short[none] >> np.uint32(8))] * two[short[none] & np.uint32(0xFFFF)]
+        return p * _at(*rest4, grams >> np.uint32(8), 1.0)
+
+
+def _at(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, otherwise: float) -> np.ndarray:
+    """Values of ascending keys."""
+    if not len(keys):
+        return np.full(len(wanted), otherwise, np.float32)
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[place] == wanted, values[place], np.float32(otherwise))
+
+
+class Shard:
+    """The bits of one shard's grams, in a hash table, and of grams that no shard has."""
+
+    def __init__(self, model: Model, number: int):
+        self.model, self.number, self.all = model, number, len(model.shards)
+        keys, bits = model.shards[number]
+        self.shift = np.uint32(32 - max(8, (2 * len(keys)).bit_length()))
+        self.mask = (1 << (32 - int(self.shift))) - 1
+        self.keys = np.zeros(self.mask + 1, np.uint32)
+        self.values = np.full(self.mask + 1, -1, np.float32)  # below 0: free
+        while len(keys):
+            at = self._places(keys)
+            own, first = np.unique(at, return_index=True)
+            self.keys[own], self.values[own] = keys[first], bits[first]
+            left = np.ones(len(keys), bool)
+            left[first] = False
+            keys, bits = keys[left], bits[left]
+
+    def _places(self, grams: np.ndarray) -> np.ndarray:
+        at = ((grams * np.uint32(0x9E3779B1)) >> self.shift).astype(np.int64)
+        off = np.flatnonzero((self.keys[at] != grams) & (self.values[at] >= 0))
+        while len(off):
+            at[off] = (at[off] + 1) & self.mask
+            there = at[off]
+            off = off[(self.keys[there] != grams[off]) & (self.values[there] >= 0)]
+        return at
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
-        """The bits that each text takes under the model."""
-        if not hasattr(self, "two"):
-            self.open()
+        """The bits of each text that the grams of this shard take."""
         ids, ends = grams(texts)
-        (a4, g4), (a3, g3) = self.tables[0], self.tables[1]
-        last = (ids & np.uint32(255)).astype(np.int64)
-        p = a3[ids & np.uint32(0xFFFFFF)] + g3[(ids >> np.uint32(8)) & np.uint32(0xFFFF)] * (
-            self.two[ids & np.uint32(0xFFFF)]
-        )
-        kind = _class_of(ids >> np.uint32(8))
-        p = a4[(kind << 8) | last] + g4[kind] * p
-        total = np.concatenate([[0.0], np.cumsum(-np.log2(p), dtype=np.float64)])
-        return np.diff(total[np.concatenate([[0], ends])])
+        at = self._places(ids)
+        bits = self.values[at].astype(np.float64)
+        none = np.flatnonzero((bits < 0) | (self.keys[at] != ids))
+        if self.number == 0:  # what no shard has counts once, with the first
+            unseen = none
+            for keys, _ in self.model.shards[1:]:
+                unseen = unseen[~_among(keys, ids[unseen])]
+            bits[none] = 0.0
+            bits[unseen] = -np.log2(self.model.backed_off(ids[unseen]))
+        else:
+            bits[none] = 0.0
+        total = np.append(0.0, np.cumsum(bits))
+        return np.diff(total[np.append(0, ends)])
+
+
+def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    place = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+    return keys[place] == wanted if len(keys) else np.zeros(len(wanted), bool)
+
+
+def trusted(labels: DataFrame) -> DataFrame:
+    """(doc_id): labelled of good quality, and never of another."""
+    return labels.groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
 
 
 def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The texts, as bytes, of documents labelled of good quality.
+    """The texts, as bytes, of trusted documents.
 
     Labels grow with the corpus, so they are never sent to every task, few as
     they may be: the join takes the same course at every size.
     """
-    good = labels.where("quality = 1").select("doc_id").distinct().hint("merge")
     texts = docs.select("doc_id", text_bytes().alias("text"))
-    return texts.join(good, "doc_id", "left_semi").select("text")
+    return texts.join(trusted(labels).hint("merge"), "doc_id", "left_semi").select("text")
 
 
 def add_bits(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (text and more) with ``n_bytes`` and ``bits``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.orders)
+    text = F.coalesce("text", F.lit(""))
+    scored = docs.withColumns({"n_bytes": F.octet_length(text).cast("long"), "bits": F.lit(0.0)})
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    for number in range(len(model.shards)):
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Model(shared.value)
-        for frame in frames:
-            texts = [b"" if t is None else t.encode() for t in frame["text"]]
-            frame["n_bytes"] = [len(t) for t in texts]
-            parts = [own.bits(batch) for batch in in_batches(texts)]
-            frame["bits"] = np.concatenate(parts) if parts else []
-            yield frame
+        def run(batches, number=number):
+            own = Shard(shared.value, number)
+            for batch in batches:
+                texts = [b"" if t is None else t.encode() for t in batch.column("text").to_pylist()]
+                found = np.concatenate([own.bits(b) for b in in_batches(texts)] or [np.zeros(0)])
+                bits = pc.add(batch.column("bits"), pa.array(found))
+                place = batch.schema.get_field_index("bits")
+                yield batch.set_column(place, "bits", bits)
 
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInPandas(run, f"{schema}, n_bytes long, bits double")
+        scored = scored.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in scored.dtypes))
+    return scored
 
 
 def thresholds(scores: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """(lang, mean, most) from ``scores`` (doc_id, lang, n_bytes, bits) of all documents.
+    """(_lang, _mean, _most) from ``scores`` (doc_id, lang, n_bytes, bits) of all documents.
 
-    ``mean`` is the bits a byte of the trusted documents of a language; ``most`` lies
+    ``_mean`` is the bits a byte of the trusted documents of a language; ``_most`` lies
     ``MARGIN`` times as far above it as the given quantile of their smoothed bits a
     byte, and ``WIDEN / n`` further. That distance is shrunk to the one of all languages, each
     from its own mean, by the language's number ``n`` of trusted documents. Few documents
     are known by heart to the model, and others of their language are not, so the
     fewer there are the wider the threshold; without any it is infinite.
     """
-    good = labels.where("quality = 1").select("doc_id").distinct()
-    good = scratch(scores.where("n_bytes > 0").join(good, "doc_id", "left_semi"))
+    good = scratch(scores.where("n_bytes > 0").join(trusted(labels), "doc_id", "left_semi"))
     mean = F.sum("bits") / F.sum("n_bytes")
     overall = good.agg(mean.alias("m")).first()["m"]
     langs = good.groupBy("lang").agg(mean.alias("mean"), F.count("*").alias("n"))
@@ -232,8 +294,8 @@ def thresholds(scores: DataFrame, labels: DataFrame, quantile: float = QUANTILE)
         .join(found.withColumn("most", most), F.col("_lang").eqNullSafe(F.col("lang")), "left")
         .select(
             "_lang",
-            F.coalesce("mean", F.lit(float(overall or 0.0))).alias("mean"),
-            F.coalesce("most", F.lit(math.inf)).alias("most"),
+            F.coalesce("mean", F.lit(float(overall or 0.0))).alias("_mean"),
+            F.coalesce("most", F.lit(math.inf)).alias("_most"),
         )
     )
 
@@ -242,26 +304,31 @@ def smoothed(mean):
     return (F.col("bits") + SHRINK * mean) / (F.col("n_bytes") + SHRINK)
 
 
-def judge(docs: DataFrame, labels: DataFrame, again: DataFrame | None = None) -> DataFrame:
-    """``docs`` (doc_id, text, lang, ...) with n_bytes, bits, perplexity, threshold and kept.
+ADDED = ("n_bytes", "bits", "perplexity", "threshold", "kept")
+
+
+def judge(docs: DataFrame, labels: DataFrame, texts: bool = False) -> DataFrame:
+    """Every row of ``docs`` (doc_id, text, lang, ...) with what ``ADDED`` names.
 
     ``perplexity`` is two to the power of the smoothed bits a byte; a document goes if it
     is above the threshold of its language. Null and empty texts say nothing and are
-    kept, as is everything in a language without trusted text. Without ``again`` the
-    result has no texts; with it, these documents are scored and returned whole.
+    kept, as is everything in a language without trusted text. ``texts`` says whether all
+    columns of ``docs`` are returned, or doc_id and lang alone; columns that have a name in
+    ``ADDED`` are replaced. A row that is repeated is judged as often; labels that contradict
+    each other trust nothing.
     """
+    docs = docs.drop(*ADDED)
     model = Model.train(trusted_texts(docs, labels))
-    scores = scratch(
-        add_bits(docs.select("doc_id", "lang", "text"), model).drop("text")
-    )
-    limits = scratch(thresholds(scores, labels))
-    rows = scores if again is None else add_bits(again, model)
+    whole = docs if texts else docs.select("doc_id", "lang", "text")
+    scores = add_bits(whole, model)
+    scores = scratch(scores if texts else scores.drop("text"))
+    limits = scratch(thresholds(scores.select("doc_id", "lang", "n_bytes", "bits"), labels))
     # The table of languages is small or Spark shuffles it: its size is known.
-    joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    score = smoothed(F.col("mean"))
+    score = smoothed(F.col("_mean"))
     return (
-        joined.withColumn("perplexity", F.pow(F.lit(2.0), score))
-        .withColumn("threshold", F.pow(F.lit(2.0), F.col("most")))
-        .withColumn("kept", (F.col("n_bytes") == 0) | (score <= F.col("most")))
-        .drop("_lang", "mean", "most")
+        scores.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+        .withColumn("perplexity", F.pow(F.lit(2.0), score))
+        .withColumn("threshold", F.pow(F.lit(2.0), F.col("_most")))
+        .withColumn("kept", (F.col("n_bytes") == 0) | (score <= F.col("_most")))
+        .select(*scores.columns, "perplexity", "threshold", "kept")
     )

@@ -101,8 +101,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents, and of their texts with the second half replaced."""
-    return edits.edited_pairs(table(spark, sf_dir, "documents"))
+    """Fingerprints of all documents, of their texts with the second half replaced, near texts."""
+    return edits.near_texts(edits.edited_pairs(table(spark, sf_dir, "documents")))
 
 
 @query()

@@ -22,12 +22,14 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazette.llm.common import (
     Forest,
+    arrow_map,
     deal_blocks,
     in_cells,
     meet_here,
@@ -36,7 +38,7 @@ from gazette.llm.common import (
     text_bytes,
     text_digest,
 )
-from gazette.llm.graph import components
+from gazette.llm.graph import name_components
 
 SEED = 42
 BITS = 64
@@ -115,15 +117,13 @@ def simhash(docs: DataFrame, words: int = 4, keep: tuple[str, ...] = ("doc_id",)
     Null and empty texts get 0. Whole texts are read, row by row in Arrow batches.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            values = np.array([fingerprint(t, words) for t in frame.pop("_text")], np.uint64)
-            frame["fp"] = values.view(np.int64)
-            yield frame
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+        texts = batch.column("_text").to_pylist()
+        values = np.array([fingerprint(t, words) for t in texts], np.uint64)
+        return [pa.array(values.view(np.int64))]
 
     rows = docs.select(*keep, text_bytes().alias("_text"))
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "_text")
-    return rows.mapInPandas(run, f"{schema}, fp long")
+    return arrow_map(rows, run, "fp long", drop=("_text",))
 
 
 # --- parts and thresholds -----------------------------------------------------------
@@ -249,20 +249,7 @@ def near_components(prints: DataFrame, radius: int) -> DataFrame:
     prints = scratch(prints)
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     classes = scratch(classes.withColumn("id", F.col("fp")))
-    return _named(prints, classes, ["fp"], hamming_links(classes.drop("least"), radius))
-
-
-def _named(prints: DataFrame, classes: DataFrame, key: list[str], links: DataFrame) -> DataFrame:
-    """``prints`` with the components that ``links`` make of ``classes`` (key, id, least)."""
-    found = components(links)
-    grouped = scratch(
-        classes.join(found, classes["id"] == found["node"], "left").select(
-            *key, "least", F.coalesce("component", "id").alias("component")
-        )
-    )
-    smallest = scratch(grouped.groupBy("component").agg(F.min("least").alias("component_id")))
-    named = scratch(grouped.drop("least").join(smallest, "component"))
-    return prints.join(named, key)
+    return name_components(prints, classes, ["fp"], hamming_links(classes.drop("least"), radius))
 
 
 # --- near copies by five-word shingles ----------------------------------------------
@@ -303,7 +290,7 @@ def drop_near_copies(docs: DataFrame, words: int = 5, wide_radius: int = WIDE_RA
     filed = classes.select("id", *WIDE, F.posexplode("bands").alias("_k", "_b"))
     filed = filed.select(F.xxhash64("_k", "_b").alias("key"), "id", *WIDE)
     links = links_in_buckets(filed, WIDE, wide_radius)
-    found = _named(prints.drop("bands"), classes.drop("bands"), list(WIDE), links)
+    found = name_components(prints.drop("bands"), classes.drop("bands"), list(WIDE), links)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "digest")).alias("first")
     stay = (
         found.groupBy("component")

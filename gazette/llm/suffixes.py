@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import scratch, text_bytes
+from gazette.llm.common import in_text, scratch, text_bytes
 
 THRESHOLD = 200
 BATCH_BYTES = 2 << 20
@@ -223,7 +223,7 @@ def make_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
 
         for frame in frames:
             for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-                ids.append(None if doc_id != doc_id else doc_id)
+                ids.append(doc_id)
                 texts.append(text)
                 size += len(text)
                 if size >= batch_bytes:
@@ -233,9 +233,8 @@ def make_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
         if texts:
             yield row()
 
-    key = dict(docs.dtypes)["doc_id"]
-    schema = f"batch long, ids array<{key}>, lengths array<long>, texts binary, size long"
-    rows = docs.select("doc_id", text_bytes().alias("text"))
+    schema = "batch long, ids array<string>, lengths array<long>, texts binary, size long"
+    rows = in_text(docs.select("doc_id", text_bytes().alias("text")))
     return scratch(rows.mapInPandas(run, schema))
 
 
@@ -358,10 +357,11 @@ def remove_repeats(
     both = first.join(second, "batch", "left")
     key = dict(docs.dtypes)["doc_id"]
     schema = (
-        f"doc_id {key}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+        "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
         "spans array<struct<start:long,end:long>>"
     ) + ", kept binary" * keep
-    return batches.join(both, "batch", "left").mapInPandas(cut, schema)
+    left = batches.join(both, "batch", "left").mapInPandas(cut, schema)
+    return left.withColumn("doc_id", F.col("doc_id").cast(key))
 
 
 _COLUMNS = ["bucket", "batch", "digits", "spans", "several"]
@@ -383,6 +383,4 @@ def _cut(row, one: Batch, repeated: np.ndarray, keep: bool) -> pd.DataFrame:
         start = end
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
     frame = pd.DataFrame(out, columns=names)
-    if frame["doc_id"].isna().any():
-        frame["doc_id"] = frame["doc_id"].astype(object).where(frame["doc_id"].notna(), None)
     return frame if keep else frame.drop(columns="kept")

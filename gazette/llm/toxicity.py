@@ -16,10 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import scratch, text_bytes
+from gazette.llm.common import arrow_map, scratch, text_bytes
 
 POSITIVES = 2_000  # documents to learn from, at most
 UNLABELLED = 6_000
@@ -189,12 +190,9 @@ def fit(
 def score(docs: DataFrame, classifier: Classifier, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row; a null text is an empty one."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            frame["score"] = classifier.scores(frame.pop("_text"))
-            yield frame
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array(classifier.scores(batch.column("_text").to_pylist()), pa.float64())]
 
     rows = docs.select("doc_id", held_out().alias("held_out"), text_bytes().alias("_text"))
-    key = dict(docs.dtypes)["doc_id"]
-    scored = rows.mapInPandas(run, f"doc_id {key}, held_out boolean, score double")
+    scored = arrow_map(rows, run, "score double", drop=("_text",))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
