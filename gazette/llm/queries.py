@@ -57,7 +57,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(units.SQL)
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of five words and more that a document before this one has."""
+    """Units of 24 words and more that came earlier, cut out of all documents."""
     cleaned = units.drop_repeated_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
     starts = F.transform("removed", lambda x: x["start"].cast("string"))
     return cleaned.select(
