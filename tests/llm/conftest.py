@@ -45,6 +45,8 @@ def documents():
         rows.append((i, text, lang, source, None if text is None else len(text)))
     rows += [rows[2], rows[2], (2, "another text with the same id", "en", "src1", 29)]
     rows += [(None, texts[0], "en", "src1", 1), (None, None, None, None, None)]
+    # whole numbers that a double cannot hold
+    rows += [(2**60 + 1, texts[5] + " and more", "en", "src1", 9), (2**60 + 3, texts[31], "de", None, 9)]
     rng.shuffle(rows)
     return [(*r, "k", "s", "r", "d", "c") for r in rows]
 
@@ -79,6 +81,7 @@ def tables(folder, docs, few=False):
     vectors += [(200 + i, vectors[0][1], 0, "x") for i in range(5)] + [vectors[4]]
     vectors += [(300, None, 1, "x"), (301, [0.0] * 64, 1, "x"), (302, [None] * 64, 1, "x")]
     vectors += [(303, [float("nan")] * 64, 1, "x"), (304, vectors[0][1], None, "x"), (305, [], 1, "x")]
+    vectors += [(2**60 + 1, vectors[0][1], 0, "x"), (50 * 2**54, vectors[3][1], 1, "x")]
     vectors += [(None, vectors[0][1], 0, "x"), (306, [1.0, 2.0], 0, "x")]
     write(
         folder,

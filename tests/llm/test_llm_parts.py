@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gazette.llm import edits, lattice, packing, quality, simhash, tools, toxicity
+from gazette.llm import alignment, counts, edits, lattice, negatives, packing, quality, simhash, tools, toxicity
 from gazette.llm.graph import components
 
 
@@ -285,3 +285,56 @@ def test_hot_groups_are_numbered_without_gaps(spark):
         by[r.g].append(r["rank"])
     assert all(sorted(v) == list(range(len(v))) for v in by.values()) and len(by[None]) == 1_000
     assert list(itertools.chain(*by.values())).__len__() == 3_000
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    from sentencepiece import SentencePieceProcessor
+
+    from gazette.llm.queries import piece_tokenizer
+
+    return counts.Transducer(piece_tokenizer()), SentencePieceProcessor(model_file=piece_tokenizer())
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.lists(
+        st.one_of(
+            st.text(max_size=40),
+            st.text("abcdet▁ \n0é=", max_size=60),
+            st.builds(lambda x, n: x * n, st.sampled_from(["a", " ", "ing", "=-", "漢", "<s>"]), st.integers(0, 700)),
+        ),
+        max_size=8,
+    )
+)
+def test_the_transducer_counts_what_the_library_does(pieces, texts):
+    machine, library = pieces
+    assert machine.counts(texts).tolist() == [len(x) for x in library.encode(texts)] if texts else True
+
+
+def test_a_forgetful_transducer_counts_the_same(pieces, monkeypatch):
+    machine, library = pieces
+    monkeypatch.setattr(counts, "MOST_STATES", 20)
+    monkeypatch.setattr(counts, "CHUNK", 7)
+    texts = ["internationalisation" * 30, "no " * 50, "x", "reestablishmentarianismus und so weiter"]
+    for _ in range(2):
+        assert machine.counts(texts).tolist() == [len(library.encode(t)) for t in texts]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 50)), st.lists(st.integers(0, 50)), st.integers(-5, 60))
+def test_gallop_is_a_search(short, long, near):
+    a, b = np.sort(np.array(short, np.int64)), np.unique(np.array(long, np.int64))
+    found = alignment.gallop(a, b, np.full(len(a), near))
+    assert (found == np.searchsorted(b, a)).all()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**32), st.sampled_from([1.0, 300.0, 1e6, 1e9, 1e19]), st.integers(0, 20), st.integers(0, 9))
+def test_packed_products_are_exact(seed, scale, n, size):
+    rng = np.random.default_rng(seed)
+    a, c = (np.floor(rng.normal(0, scale, (m, size))) for m in (3, n))
+    found = negatives.Packed(c, negatives._norms(a)).scores(a)
+    for row, x in zip(found.tolist(), a.tolist(), strict=True):
+        exact = [sum(int(i) * int(j) for i, j in zip(x, y, strict=True)) for y in c.tolist()]
+        assert row == [max(-(2**63), min(2**63 - 1, s)) for s in exact]

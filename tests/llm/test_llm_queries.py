@@ -1,8 +1,10 @@
 """Every query on odd and on empty tables, against brute force or its SQL."""
 
+import functools
 import hashlib
 import json
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +14,7 @@ import pyarrow.parquet as pq
 import pytest
 import xxhash
 
-from gazette.llm import ORACLES, QUERIES
+from gazette.llm import ORACLES, QUERIES, quality
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -57,7 +59,8 @@ def test_empty_tables(spark, empty, name):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     relation = con.sql(ORACLES[name])
     theirs = [dict(zip(relation.columns, r, strict=True)) for r in relation.fetchall()]
     assert same_rows(result(spark, name, SMALL), theirs)
@@ -119,44 +122,66 @@ def test_op3(spark, odd):
     assert max(r["n_calls"] for r in found) == 2
 
 
+def units_of(text):
+    """[(first word, end, unit)], by the rule as it is stated."""
+    words, begins = [], []
+    for line in text.lower().encode().split(b"\n"):
+        begins += [len(words)] if line.split() else []
+        words += line.split()
+    v = [int(hashlib.md5(w).hexdigest()[:8], 16) for w in words]
+    begins += [
+        i
+        for i in range(len(v))
+        if all(v[i] < x for x in v[max(i - 8, 0) : i]) and all(v[i] <= x for x in v[i + 1 : i + 9])
+    ]
+    edges = sorted({*begins, len(words)})
+    ends = {s: next((e for e in edges if e >= s + 24), None) for s in edges[:-1]}
+    return [(s, e, b" ".join(words[s:e])) for s, e in ends.items() if e]
+
+
 def test_op4(spark, odd):
     """The rule, row by row; rows with equal id and text count as one document."""
     found = result(spark, "op4_line_dedup", odd)
     docs = rows_of(odd, "documents")
-    first = {}
+    places = defaultdict(set)
 
     def digest(text):
-        return xxhash.xxh64_intdigest((text or "").encode(), 42) - (
-            1 << 64 if xxhash.xxh64_intdigest((text or "").encode(), 42) >> 63 else 0
-        )
+        value = xxhash.xxh64_intdigest((text or "").encode(), 42)
+        return value - (1 << 64 if value >> 63 else 0)
 
     def place(d, at):
         return (d["doc_id"] is None, d["doc_id"] or 0, digest(d["text"]), at)
 
-    clean = lambda u: " ".join(u.lower().split())
     for d in docs:
-        for at, unit in enumerate((d["text"] or "").split("\n")):
-            if len(clean(unit).split()) >= 5:
-                first[clean(unit)] = min(first.get(clean(unit), (True, math.inf)), place(d, at))
+        for s, _, unit in units_of(d["text"] or ""):
+            places[unit].add(place(d, s))
     expected = []
     for d in docs:
-        units, start, starts, kept = (d["text"] or "").split("\n"), 0, [], []
-        for at, unit in enumerate(units):
-            if len(clean(unit).split()) >= 5 and first[clean(unit)] != place(d, at):
-                starts.append(str(start))
-            else:
-                kept.append(unit)
-            start += len(unit) + 1
+        text = d["text"] or ""
+        spans = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        gone, stays = set(), set()
+        for s, e, unit in units_of(text):
+            if len(places[unit]) > 1:
+                (stays if place(d, s) == min(places[unit]) else gone).update(range(s, e))
+        kept, starts, at = [], [], 0
+        for i, (a, z) in enumerate(spans):
+            if i in gone - stays:
+                if i - 1 not in gone - stays:
+                    kept.append(text[at:a])
+                    starts.append(str(a))
+                at = z
+        kept.append(text[at:])
         expected.append(
             {
                 "doc_id": d["doc_id"],
-                "n_units": len(units),
+                "n_units": len(units_of(text)),
                 "n_removed": len(starts),
                 "removed_starts": ",".join(starts),
-                "kept_sha256": hashlib.sha256("\n".join(kept).encode()).hexdigest(),
+                "kept_sha256": hashlib.sha256("".join(kept).encode()).hexdigest(),
             }
         )
     assert same_rows(found, expected)
+    assert sum(r["n_removed"] > 0 for r in found) > 8
 
 
 def test_op5(spark, odd):
@@ -297,3 +322,200 @@ def test_op10(spark, odd):
     poor = [r for r in found if "!!" in text[r["doc_id"]]]
     assert np.median([r["perplexity"] for r in poor]) > 2 * np.median([r["perplexity"] for r in good])
     assert all(r["kept"] for r in found if not r["n_bytes"])
+
+
+def smoothed_bits(texts, trusted):
+    """Bits of texts under a modified Kneser-Ney model of order 4 of the trusted ones, in plain words."""
+    counts = [Counter(), Counter(), Counter(), Counter()]
+    for t in trusted:
+        whole = b"\n\n\n" + t
+        counts[3].update(whole[i : i + 4] for i in range(len(t)))
+    for n in (2, 1, 0):
+        counts[n].update(g[1:] for g in counts[n + 1])
+    tables = []
+    for c in counts:
+        n1, n2, n3, n4 = (sum(v == i for v in c.values()) for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+        d2 = min(max(2 - 3 * y * n3 / n2, y), 2) if n2 and n3 else y
+        d3 = min(max(3 - 4 * y * n4 / n3, y), 3) if n3 and n4 else y
+        total, left = Counter(), Counter()
+        for g, v in c.items():
+            total[g[:-1]] += v
+            left[g[:-1]] += (y, d2, d3)[min(v, 3) - 1]
+        tables.append((c, (y, d2, d3), total, left))
+
+    def p(gram):
+        if not gram:
+            return 1 / 256
+        c, d, total, left = tables[len(gram) - 1]
+        context = gram[:-1]
+        if not total[context]:
+            return p(gram[1:])
+        own = max(c[gram] - d[min(c[gram], 3) - 1], 0) if c[gram] else 0
+        return own / total[context] + left[context] / total[context] * p(gram[1:])
+
+    p = functools.cache(p)
+    return [-sum(math.log2(p((b"\n\n\n" + t)[i : i + 4])) for i in range(len(t))) for t in texts]
+
+
+def test_op10_bits_and_shards(spark, odd):
+    found = result(spark, "op10_kneser_ney", odd)
+    docs, labels = rows_of(odd, "documents"), defaultdict(list)
+    for r in rows_of(odd, "labels"):
+        labels[r["doc_id"]].append(r["quality"])
+    good = {i for i, q in labels.items() if i is not None and min((x for x in q if x is not None), default=0) == 1}
+    trusted = [(d["text"] or "").encode() for d in docs if d["doc_id"] in good]
+    expected = smoothed_bits([(d["text"] or "").encode() for d in docs], trusted)
+    ours = defaultdict(list)
+    for r in found:
+        ours[r["doc_id"], r["n_bytes"]].append(r["bits"])
+    theirs = defaultdict(list)
+    for d, bits in zip(docs, expected, strict=True):
+        theirs[d["doc_id"], len((d["text"] or "").encode())].append(bits)
+    assert ours.keys() == theirs.keys()
+    for key in ours:
+        assert sorted(ours[key]) == pytest.approx(sorted(theirs[key]), rel=1e-4, abs=1e-3)
+    frame = spark.createDataFrame([(t,) for t in trusted], "text binary")
+    texts = [t for t in trusted if t][:12] + [b"~~ unseen ~~"]
+    whole, parts = quality.Model.train(frame), quality.Model.train(frame, shard=300)
+    assert len(parts.shards) > 3
+    assert parts.bits(texts) == pytest.approx(whole.bits(texts), rel=1e-6)
+
+
+def test_op2_learns_only_outside_the_held_out_quarter(spark, odd):
+    found = result(spark, "op2_toxicity", odd)
+    docs = rows_of(odd, "documents")
+    held = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 4 == 2 for i in {d["doc_id"] for d in docs}}
+    assert Counter((r["doc_id"], r["held_out"]) for r in found) == Counter((d["doc_id"], held[d["doc_id"]]) for d in docs)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in found)
+
+
+def byte_letters():
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def test_op11(spark, odd):
+    """Groups, links and counts by walking over the tokens."""
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    from gazette.llm.queries import byte_tokenizer, piece_tokenizer
+
+    a_side, b_side = Tokenizer.from_file(byte_tokenizer()), SentencePieceProcessor(model_file=piece_tokenizer())
+    a_side.encode_special_tokens = True
+    letters = byte_letters()
+
+    def bytes_a(i):
+        return bytes(letters[c] for c in a_side.id_to_token(i))
+
+    def bytes_b(i):
+        piece = b_side.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b_side.is_byte(i) else piece.replace("▁", " ").encode()
+
+    def spans(ids, of):
+        at, out = 0, []
+        for i in ids:
+            out.append((at, at + len(of(i)), i))
+            at = out[-1][1]
+        return out
+
+    docs, made, counts = rows_of(odd, "documents"), [], Counter()
+    for d in docs:
+        text = d["text"] or ""
+        a = spans(a_side.encode(" " + text, add_special_tokens=False).ids if text else [], bytes_a)
+        b = spans(b_side.encode(text) if text else [], bytes_b)
+        whole = (" " + text).encode()
+        if any(b"".join(f(x[2]) for x in side) != whole for side, f in ((a, bytes_a), (b, bytes_b))):
+            made.append((d["doc_id"], None))
+            continue
+        links, j = [], 0
+        for start, end, x in a:
+            while b[j][1] <= start:
+                j += 1
+            k = j
+            while k < len(b) and b[k][0] < end:
+                links.append((x, b[k][2]))
+                k += 1
+        both, groups = {x[1] for x in a} & {y[1] for y in b}, []
+        for side in (a, b):
+            cut = [[]]
+            for _, end, i in side:
+                cut[-1].append(str(i))
+                if end in both:
+                    cut.append([])
+            groups.append([",".join(x) for x in cut[:-1]])
+        groups = ["|".join(x) for x in zip(*groups, strict=True)]
+        counts.update(set(links))
+        made.append((d["doc_id"], (len(a), len(b), len(groups), links, ";".join(groups))))
+    best = Counter()
+    for (a, _), n in counts.items():
+        best[a] = max(best[a], n)
+    expected = []
+    for doc_id, row in made:
+        n_a, n_b, n_groups, links, groups = row or (0, 0, 0, [], None)
+        expected.append(
+            {
+                "doc_id": doc_id,
+                "n_a": n_a,
+                "n_b": n_b,
+                "n_groups": n_groups,
+                "n_links": len(links),
+                "n_best": sum(counts[x] == best[x[0]] for x in links),
+                "count_sum": sum(counts[x] for x in links),
+                "groups_sha256": "" if groups is None else hashlib.sha256(groups.encode()).hexdigest(),
+            }
+        )
+    found = result(spark, "op11_galloping_alignment", odd)
+    assert same_rows(found, expected)
+
+
+def test_op12(spark, odd):
+    from sentencepiece import SentencePieceProcessor
+
+    from gazette.llm.queries import piece_tokenizer
+
+    library = SentencePieceProcessor(model_file=piece_tokenizer())
+    expected = []
+    for d in rows_of(odd, "documents"):
+        n = len(library.encode(d["text"] or ""))
+        expected.append(
+            {"doc_id": d["doc_id"], "n_bytes": len((d["text"] or "").encode()), "n_tokens": n, "over_limit": n > 4096}
+        )
+    assert same_rows(result(spark, "op12_token_counts", odd), expected)
+
+
+def test_op13(spark, odd):
+    """All pairs with Python's integers."""
+    rows, anchors = [], {}
+    for r in rows_of(odd, "embeddings"):
+        v = r["embedding"]
+        if None in (r["vec_id"], r["label"], v) or not all(x is not None and math.isfinite(x) for x in v):
+            continue
+        label = (r["label"] + 1) % 10 if r["vec_id"] % 7 == 0 else r["label"]
+        rows.append((r["vec_id"], label, [math.floor(256 * x) for x in v]))
+        if r["vec_id"] % 50 == 0:
+            anchors[repr(rows[-1])] = rows[-1]
+    expected = []
+    for anchor, label, v in anchors.values():
+        scored = sorted(
+            (-sum(x * y for x, y in zip(v, w, strict=True)), i, other)
+            for i, other, w in rows
+            if i != anchor and len(w) == len(v)
+        )
+        for p, positive, _ in [x for x in scored if x[2] == label][:5]:
+            hard = [(s, i) for s, i, other in scored if other != label and -50 * p <= -100 * s <= -95 * p]
+            for rank, (s, i) in enumerate(hard[:3], 1):
+                expected.append(
+                    {
+                        "anchor_id": anchor,
+                        "positive_id": positive,
+                        "rank": rank,
+                        "negative_id": i,
+                        "positive_score": -p,
+                        "negative_score": -s,
+                    }
+                )
+    found = result(spark, "op13_kronecker_negatives", odd)
+    assert same_rows(found, expected)
