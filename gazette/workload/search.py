@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gazette.functions.vectors import embed_text, hashing_embedder, similarity
 from gazette.operators.gate import embedding_text
+from gazette.operators.index import add_to_index, build_index, search_index
 from gazette.operators.search import (
     context_block,
     knn,
     knn_many,
     rag_context,
+    rag_contexts,
     rag_prompt,
     with_rank,
 )
 from gazette.schemas import EMBEDDING_DIM
+from gazette.session import checkpoint_root
 from gazette.workload.base import enriched, query, sql, sql_text, table
 
 K = 10
@@ -80,6 +85,51 @@ def knn_many_questions(spark, sf_dir):
     )
 
 
+TWENTIETH = f"""SELECT q.vec_id AS question, e.vec_id, d,
+        row_number() OVER (PARTITION BY q.vec_id ORDER BY round(d, 12), e.vec_id) AS rank
+    FROM embeddings q, embeddings e,
+         LATERAL (SELECT 1 - list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS d)
+    WHERE q.vec_id % 20 = 0 QUALIFY rank <= {K}"""
+
+
+def every_twentieth(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return vectors.where("vec_id % 20 = 0").select("vec_id", "embedding")
+
+
+def nearest_of_twentieth(spark, sf_dir):
+    return knn_many(
+        table(spark, sf_dir, "embeddings"), every_twentieth(spark, sf_dir), K, key="vec_id"
+    )
+
+
+@query(f"SELECT question, vec_id, round(d, 6) AS distance, rank FROM ({TWENTIETH})")
+def knn_every_twentieth(spark, sf_dir):
+    """All vectors whose id is divisible by 20 ask the whole store."""
+    return nearest_of_twentieth(spark, sf_dir).select(
+        "question",
+        "vec_id",
+        F.round("distance", 6).alias("distance"),
+        F.col("rank").cast("long").alias("rank"),
+    )
+
+
+@query("SELECT count(*) AS questions, true AS found_nine_of_ten FROM embeddings WHERE vec_id % 20 = 0")
+def index_recall(spark, sf_dir):
+    """The same questions asked of an index, half of it added later: the share of true hits."""
+    vectors = table(spark, sf_dir, "embeddings")
+    path = f"{checkpoint_root(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+    build_index(vectors.where("vec_id % 2 = 0"), path, key="vec_id")
+    add_to_index(vectors.where("vec_id % 2 != 0"), path, key="vec_id")
+    found = search_index(spark, path, every_twentieth(spark, sf_dir), K, key="vec_id")
+    true = nearest_of_twentieth(spark, sf_dir).select("question", "vec_id")
+    told = true.join(found.select("question", "vec_id", F.lit(1).alias("hit")), ["question", "vec_id"], "left")
+    return told.agg(
+        F.count_distinct("question").alias("questions"),
+        (F.coalesce(F.avg(F.coalesce("hit", F.lit(0))), F.lit(1)) >= 0.9).alias("found_nine_of_ten"),
+    )
+
+
 RANKED = f"""SELECT a.*, d, row_number() OVER (ORDER BY d, seq) AS rank
     FROM (SELECT e.vec_id, 1 - list_cosine_similarity(e.embedding::DOUBLE[],
                  (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)) AS d
@@ -115,6 +165,23 @@ def context_blocks(spark, sf_dir):
     )
 
 
+@query(
+    sql(
+        f"""SELECT question, md5(string_agg({SQL_BLOCK}, chr(10) || chr(10) ORDER BY rank)) AS context_md5
+            FROM (SELECT t.question, t.rank, a.* FROM twentieth t JOIN enriched a ON a.seq = t.vec_id)
+            GROUP BY question""",
+        "articles",
+        "enriched",
+        twentieth=TWENTIETH,
+    )
+)
+def answer_contexts(spark, sf_dir):
+    """A context for each of many questions; only the hits join the articles."""
+    hits = nearest_of_twentieth(spark, sf_dir).withColumnRenamed("vec_id", "seq")
+    found = hits.join(enriched(spark, sf_dir), "seq")
+    return rag_contexts(found).select("question", F.md5("context").alias("context_md5"))
+
+
 @query(
     sql(
         f"SELECT string_agg({SQL_BLOCK}, chr(10) || chr(10) ORDER BY rank) AS context FROM ranked",

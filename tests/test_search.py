@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from builders import SUMMARY, plan_of
 from gazette.functions.vectors import cosine_distance, hashing_embedder, similarity
-from gazette.operators.search import knn, knn_many, rag_context, with_rank
+from gazette.operators.index import add_to_index, build_index, search_index
+from gazette.operators.search import knn, knn_many, rag_context, rag_contexts, with_rank
 from gazette.plans.ask import answer, answer_prompt, find_articles
 
 RNG = np.random.default_rng(3)
@@ -118,3 +119,64 @@ def test_from_question_to_answer(spark):
     echo = lambda: lambda prompts: [p[-7:] for p in prompts]
     assert answer(hits, "q", echo).first().answer == "Answer:"
     assert "rank" in with_rank(hits.drop("rank")).columns
+
+
+def test_knn_many_over_a_grid_of_blocks(spark, store, monkeypatch):
+    monkeypatch.setattr("gazette.operators.search.STORE_BLOCK", 60)
+    rows = [(n, q.tolist()) for n, q in enumerate(RNG.normal(size=(90, 12)))] + [(None, [1.0] * 12), (200, None)]
+    rows += [(300, [1.0] * 5), (301, [0.0] * 12)]
+    asked = spark.createDataFrame(rows, "id long, v array<double>")
+    found = knn_many(store, asked, 7, block=25)
+    by = {}
+    for r in found.collect():
+        by.setdefault(r.question, {})[r["rank"]] = (r.article_id, r.distance)
+    assert set(by) == set(range(90))
+    for n in range(90):
+        expected = nearest(np.array(rows[n][1]), 7)
+        assert [by[n][i + 1][0] for i in range(7)] == [i for i, _ in expected]
+        assert [by[n][i + 1][1] for i in range(7)] == pytest.approx([d for _, d in expected])
+    for block in (25, 2):  # the plan does not grow with the number of blocks
+        plan = plan_of(knn_many(store, asked, 7, block=block))
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+        assert plan.count("FlatMapCoGroupsInArrow") == 1
+
+
+def test_ties_go_to_the_smaller_key(spark):
+    same = spark.createDataFrame([(f"k{i}", [1.0, 2.0]) for i in range(40)], "article_id string, embedding array<float>")
+    asked = spark.createDataFrame([(1, [1.0, 2.0])], "id long, v array<double>")
+    assert [r.article_id for r in knn_many(same, asked, 3).orderBy("rank").collect()] == ["k0", "k1", "k10"]
+
+
+def test_the_index_finds_nine_of_ten_and_takes_more_rows(spark, store, tmp_path):
+    path = str(tmp_path / "index")
+    build_index(store.where("article_id < 'a/300'"), path)
+    asked = spark.createDataFrame([(n, VECTORS[n].tolist()) for n in range(0, 400, 20)], "id long, v array<float>")
+    early = {r.article_id for r in search_index(spark, path, asked, 10).collect()}
+    assert early and max(early) < "a/300"
+    before = {f: None for f in spark.read.parquet(f"{path}/lists").inputFiles()}
+    add_to_index(store.where("article_id >= 'a/300'"), path)
+    after = spark.read.parquet(f"{path}/lists").inputFiles()
+    assert set(before) < set(after)  # what was filed stays as it is
+    found = search_index(spark, path, asked, 10)
+    true = {(r.question, r.article_id): r.distance for r in knn_many(store, asked, 10).collect()}
+    ours = {(r.question, r.article_id): r.distance for r in found.collect()}
+    assert len(true.keys() & ours.keys()) >= 0.9 * len(true)
+    assert all(ours[x] == pytest.approx(true[x]) for x in true.keys() & ours.keys())
+    assert spark.read.parquet(f"{path}/lists").count() == 400
+
+
+def test_an_index_of_nothing(spark, store, tmp_path):
+    build_index(store.where("false"), str(tmp_path / "none"))
+    asked = spark.createDataFrame([(1, [1.0] * 12)], "id long, v array<double>")
+    assert search_index(spark, str(tmp_path / "none"), asked).collect() == []
+
+
+def test_a_context_for_each_question(spark):
+    rows = [(q, r, f"h{q}{r}") for q in (1, 2) for r in (2, 1)]
+    hits = spark.createDataFrame(rows, "question long, rank int, headline string")
+    for name in ("summary", "sentiment", "domain_tag", "source_url"):
+        hits = hits.withColumn(name, F.lit(None).cast("string"))
+    hits = hits.withColumn("entities", F.array().cast("array<string>"))
+    found = {r.question: r.context for r in rag_contexts(hits).collect()}
+    one = rag_context(hits.where("question = 1")).first().context
+    assert found[1] == one and found[2].startswith("[1] h21") and found.keys() == {1, 2}
