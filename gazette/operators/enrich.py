@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import queue
+import threading
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -27,6 +30,8 @@ from gazette.schemas import (
 # Called once per task; returns what turns prompts into one reply per prompt.
 ModelFactory = Callable[[], Callable[[Sequence[str]], Sequence[str]]]
 
+GIVE_UP = 8
+
 REPLIES = T.ArrayType(
     T.StructType(
         [T.StructField("text", T.StringType()), T.StructField("error", T.StringType())]
@@ -96,22 +101,67 @@ def _call(model, prompts: list[str]) -> list[dict]:
         return _call(model, prompts[:half]) + _call(model, prompts[half:])
 
 
-def infer(prompts: Column, factory: ModelFactory) -> Column:
+def _call_within(model, prompts: list[str], seconds: float, at_once: int) -> list[dict]:
+    """A call for each prompt, ``at_once`` at the same time, none waited for longer than ``seconds``.
+
+    A call that is late is left to itself and its place is given to the next one. Once
+    ``GIVE_UP`` times ``at_once`` calls hang, the model counts as gone and what is left fails at once.
+    """
+    answers: list[dict | None] = [None] * len(prompts)
+    done: queue.SimpleQueue = queue.SimpleQueue()
+    waiting = iter(range(len(prompts)))
+    running: dict[int, float] = {}
+    late = 0
+
+    def call(at: int) -> None:
+        done.put((at, _call(model, [prompts[at]])[0]))
+
+    while True:
+        gone = late >= GIVE_UP * at_once
+        while len(running) < at_once and (at := next(waiting, None)) is not None:
+            if gone:
+                answers[at] = {"text": None, "error": "the model does not answer any more"}
+                continue
+            running[at] = time.monotonic() + seconds
+            threading.Thread(target=call, args=(at,), daemon=True).start()
+        if not running:
+            return answers
+        try:
+            at, answer = done.get(timeout=max(0.0, min(running.values()) - time.monotonic()))
+            if running.pop(at, None) is not None:  # what comes too late is not used
+                answers[at] = answer
+        except queue.Empty:
+            for at in [x for x, end in running.items() if end <= time.monotonic()]:
+                del running[at]
+                late += 1
+                answers[at] = {"text": None, "error": f"no reply within {seconds:g} seconds"}
+
+
+def infer(
+    prompts: Column, factory: ModelFactory, seconds: float | None = None, at_once: int = 1
+) -> Column:
     """Replies to an array of prompts, as ``array<struct<text, error>>``.
 
     The model is built once per task and gets all prompts of an Arrow batch in
-    one call. A NULL array costs nothing and gives NULL. The expression counts
-    as nondeterministic, so no rule moves a filter or a copy of it elsewhere
-    and every prompt is sent once.
+    one call. With a deadline of ``seconds`` it gets every prompt in a call of its own,
+    ``at_once`` of them at the same time, so it must be safe to call from several threads; a
+    late call becomes an error and holds nothing up. A NULL array costs nothing and gives
+    NULL. The expression counts as nondeterministic, so no rule moves a filter or a copy
+    of it elsewhere and every prompt is sent once.
     """
 
+    def replies_to(model, flat: list[str]) -> list[dict]:
+        if not flat:
+            return []
+        return _call(model, flat) if seconds is None else _call_within(model, flat, seconds, at_once)
+
     @F.arrow_udf(REPLIES)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = factory()
         for batch in batches:
             rows = batch.to_pylist()
             flat = [prompt for row in rows if row is not None for prompt in row]
-            replies = iter(_call(model, flat) if flat else [])
+            replies = iter(replies_to(model, flat))
             yield pa.array(
                 [None if row is None else [next(replies) for _ in row] for row in rows],
                 pa.list_(pa.struct([("text", pa.string()), ("error", pa.string())])),
@@ -284,19 +334,29 @@ def parse_separate(
 
 
 def enrich(
-    df: DataFrame, factory: ModelFactory, as_of, body_chars: int | None = BODY_CONTEXT_CHARS
+    df: DataFrame,
+    factory: ModelFactory,
+    as_of,
+    body_chars: int | None = BODY_CONTEXT_CHARS,
+    seconds: float | None = None,
+    at_once: int = 1,
 ) -> DataFrame:
     """Raw articles with the enrichment columns and ``_error``.
 
     ``_error`` is NULL for a good article. Rows that lack a required field are
     never sent to the model, and only rows whose unified reply is unreadable
-    are sent the four separate prompts.
+    are sent the four separate prompts. ``seconds`` and ``at_once`` are those of ``infer``: a
+    unified call that is late falls back to the separate ones, and if these are late too the row
+    is a dead letter.
     """
     context = build_context(body_chars=body_chars)
     asked = df.withColumn("_missing", first_missing("article_id", "headline", "body")).withColumn(
         "_unified",
         infer(
-            F.when(F.col("_missing").isNull(), F.array(render_prompt("unified", context))), factory
+            F.when(F.col("_missing").isNull(), F.array(render_prompt("unified", context))),
+            factory,
+            seconds,
+            at_once,
         ),
     )
     read = parse_unified(asked, F.get("_unified", 0)["text"], "_parsed")
@@ -304,7 +364,10 @@ def enrich(
     retried = read.withColumn(
         "_separate",
         infer(
-            F.when(again, F.array(*[render_prompt(k, context) for k in FALLBACK_KINDS])), factory
+            F.when(again, F.array(*[render_prompt(k, context) for k in FALLBACK_KINDS])),
+            factory,
+            seconds,
+            at_once,
         ),
     )
     texts = [F.get("_separate", i)["text"] for i in range(len(FALLBACK_KINDS))]

@@ -92,7 +92,10 @@ def build_index(
 def add_to_index(rows: DataFrame, path: str, key: str = "article_id", vector: str = "embedding") -> None:
     """File more rows; only the new ones are read and written."""
     rows = rows.select(key, vector).where(F.col(key).isNotNull() & F.col(vector).isNotNull())
-    _file(rows, path, key, vector, _centroids(rows.sparkSession, path)[0], "append")
+    fitted = _centroids(rows.sparkSession, path)[0]
+    if not len(fitted):
+        raise ValueError("the index was built of nothing; build it again")
+    _file(rows, path, key, vector, fitted, "append")
 
 
 def _centroids(spark: SparkSession, path: str) -> tuple[np.ndarray, int]:
@@ -143,6 +146,8 @@ def search_index(
     its lists gets these.
     """
     fitted, measured = _centroids(spark, path)
+    if not len(fitted):
+        return spark.createDataFrame([], f"question long, `{key}` string, distance double, rank int")
     asked = questions.toDF("question", "_q").where("question is not null and _q is not null")
     asked = asked.select(F.col("question").cast("long"), F.col("_q").cast("array<double>"))
     asked = _nearest(asked, "_q", fitted, measured if probes is None else probes)

@@ -93,14 +93,15 @@ def _printable(df: DataFrame, name: str) -> Column:
 
 
 def enrich_stage(
-    log: DataFrame, factory: ModelFactory, as_of, failed_stage: str | None = None
+    log: DataFrame, factory: ModelFactory, as_of, failed_stage: str | None = None, **options
 ) -> DataFrame:
     """Section topics to enriched messages or dead letters.
 
-    By default a dead letter of this stage carries no stage name.
+    By default a dead letter of this stage carries no stage name. ``options`` are those of
+    ``enrich``: how much of a body the model reads, deadlines, calls at the same time.
     """
     articles = parse_records(log, ARTICLE).drop("_corrupt", "topic", "timestamp")
-    checked = enrich(articles, factory, as_of)
+    checked = enrich(articles, factory, as_of, **options)
     partial = ("summary", "entities", "sentiment", "sentiment_reason", "domain_tag", "enriched_at")
     return _stage_messages(
         checked, ENRICHED.fieldNames(), TOPIC_ENRICHED, partial, as_of, failed_stage

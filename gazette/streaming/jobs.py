@@ -54,10 +54,12 @@ def start_enricher(
     factory: ModelFactory,
     trigger=EVERY_MINUTE,
     as_of=None,
+    **options,
 ) -> StreamingQuery:
+    """``options`` are those of ``operators.enrich.enrich``."""
     log = read_topics(spark, routed, [TOPIC_TECH, TOPIC_FINANCE, TOPIC_WORLD], streaming=True)
     now = F.current_timestamp() if as_of is None else as_of
-    return stream_topics(enrich_stage(log, factory, now), checkpoint, enriched, trigger)
+    return stream_topics(enrich_stage(log, factory, now, **options), checkpoint, enriched, trigger)
 
 
 def start_gate(

@@ -1,6 +1,7 @@
 """Prompts, replies, the model hook and the gate."""
 
 import json
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -305,3 +306,39 @@ def test_gate_embeds_only_what_passed(spark):
     broken = frame(spark, ENRICHED, [enriched("a/1", headline="boom"), enriched("a/2")])
     errors = {r.article_id: r._error for r in quality_gate(broken, factory, AS_OF).collect()}
     assert errors == {"a/1": "embedder is down", "a/2": None}
+
+
+def slow_model():
+    def reply(prompts):
+        if any("HANGS" in p for p in prompts):
+            time.sleep(30)
+        if any("FAILS" in p for p in prompts):
+            raise RuntimeError("refused")
+        time.sleep(0.05)
+        return [p.upper() for p in prompts]
+
+    return reply
+
+
+def test_a_hanging_call_costs_its_own_prompt_only(spark):
+    texts = [f"p{i}" for i in range(60)] + ["it HANGS", "it FAILS"] + [f"q{i}" for i in range(60)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    start = time.monotonic()
+    found = rows.select("t", infer(F.array("t"), slow_model, seconds=2, at_once=8)[0].alias("r")).collect()
+    assert time.monotonic() - start < 20  # neither 30 seconds, nor one after another
+    for row in found:
+        if "HANGS" in row.t:
+            assert (row.r.text, row.r.error) == (None, "no reply within 2 seconds")
+        elif "FAILS" in row.t:
+            assert (row.r.text, row.r.error) == (None, "refused")
+        else:
+            assert (row.r.text, row.r.error) == (row.t.upper(), None)
+
+
+def test_a_model_that_is_gone_fails_at_once():
+    from gazette.operators import enrich as module
+
+    start = time.monotonic()
+    answers = module._call_within(slow_model(), ["HANGS"] * 500, 0.1, 2)
+    assert time.monotonic() - start < 10
+    assert {a["error"] for a in answers} == {"no reply within 0.1 seconds", "the model does not answer any more"}
