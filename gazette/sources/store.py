@@ -24,6 +24,8 @@ from gazette.schemas import (
 )
 from gazette.session import ensure_folder, hadoop_path
 
+KEY_BUCKETS = 64
+
 PARTITIONED = T.StructType(STORE.fields + [T.StructField("dt", T.DateType())])
 
 
@@ -66,6 +68,45 @@ def append(articles: DataFrame, path: str) -> None:
     )
 
 
+# --- the keys of the store ------------------------------------------------------------
+
+
+def keys_path(path: str) -> str:
+    """Where the keys of the store at ``path`` are: beside it, in buckets by hash."""
+    return f"{path.rstrip('/')}-keys"
+
+
+def key_bucket(buckets: int = KEY_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64("article_id"), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def index_keys(spark: SparkSession, path: str) -> None:
+    """Write the keys of all that the store holds, instead of any that were there."""
+    ids = read_store(spark, path).select("article_id").where(F.col("article_id").isNotNull())
+    _write_keys(ids.distinct(), path, "overwrite")
+
+
+def _write_keys(ids: DataFrame, path: str, mode: str) -> None:
+    keyed = ids.select("article_id", key_bucket()).hint("rebalance", "bucket")
+    # row groups tell by a Bloom filter whether they hold an id
+    keyed.write.mode(mode).option("parquet.bloom.filter.enabled#article_id", "true").partitionBy(
+        "bucket"
+    ).parquet(keys_path(path))
+
+
+def stored_keys(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame:
+    """Which of ``ids`` (article_id) the store holds, from the buckets of these ids alone.
+
+    A store without keys, or whose keys were not finished, gets them first.
+    """
+    if not _is_written(spark, keys_path(path)):
+        index_keys(spark, path)
+    wanted = ids.select("article_id").where(F.col("article_id").isNotNull()).distinct()
+    buckets = [r[0] for r in wanted.select(key_bucket()).distinct().collect()]  # KEY_BUCKETS at most
+    keys = spark.read.schema("article_id string, bucket int").parquet(keys_path(path))
+    return keys.where(F.col("bucket").isin(buckets)).select("article_id").join(wanted, "article_id", "left_semi")
+
+
 def _is_written(spark: SparkSession, path: str) -> bool:
     fs, done = hadoop_path(spark, f"{path}/_SUCCESS")
     return fs.exists(done)
@@ -118,11 +159,10 @@ def ingest_batch(
         batch.withColumn("_row", F.monotonically_increasing_id()),
         f"{work_path}/records/batch_id={batch_id}",
     )
-    # The store is usually much larger than a batch. Against a written batch
-    # Spark knows the size of its ids and can cut the store down map-side.
+    # The store is usually much larger than a batch, so only the buckets of its ids are opened.
+    # Against a written batch Spark knows the size of its ids and can cut keys down map-side.
     ids = records.select("article_id").distinct()
-    stored = read_store(spark, store_path).select("article_id")
-    stored = stored.join(ids, "article_id", "left_semi")
+    stored = stored_keys(spark, store_path, ids)
     usable = F.coalesce(F.size("embedding") > 0, F.lit(False)).alias("_usable")
     placed = [*(name for name in order if name in records.columns), "_row"]
     labels_path = f"{work_path}/labels/batch_id={batch_id}"
@@ -146,6 +186,12 @@ def ingest_batch(
         present = present.join(ids, "article_id", "left_semi")
         new = new.join(present, "article_id", "left_anti")
     append(new, store_path)
+    # Keys come after their rows. Should that not happen, the repeated run has the same labels
+    # and adds those that are not there yet.
+    keys = labelled(INSERTED).select("article_id").distinct()
+    if repeated:
+        keys = keys.join(stored_keys(spark, store_path, keys), "article_id", "left_anti")
+    _write_keys(keys, store_path, "append")
 
     no_id = F.coalesce(F.col("article_id"), F.lit("")) == ""
     added = {
@@ -181,6 +227,9 @@ def prune_store(spark: SparkSession, path: str, as_of: dt.datetime, days: int =
     old = {r.dt: r.n for r in deleted.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()}
     staying = kept.where(F.col("dt") == F.lit(last))
     rewrite = last in old and not staying.isEmpty()
+    keyed = bool(old) and _is_written(spark, keys_path(path))
+    if keyed:  # they go first: without keys a batch makes them anew, of what is there then
+        _drop(spark, keys_path(path))
     if rewrite:
         staying.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "dt"
@@ -188,4 +237,6 @@ def prune_store(spark: SparkSession, path: str, as_of: dt.datetime, days: int =
     for date in old:
         if not (rewrite and date == last):
             _drop(spark, f"{path}/dt={date.isoformat()}")
+    if keyed:
+        index_keys(spark, path)  # what was deleted may be inserted again
     return {"deleted_count": sum(old.values()), "cutoff": cutoff.isoformat()}

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import re
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -224,6 +226,83 @@ def test_ingest_is_idempotent_and_first_wins(spark, tmp_path):
     assert len(state()[1]) == 2
 
 
+def metrics_of(df):
+    """What the scan of a table partitioned by bucket has read, once ``df`` has run."""
+    todo = [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "FileSourceScanExec" and "bucket" in node.simpleString(25):
+            return f"number of files read: {node.metrics().apply('numFiles').value()}"
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return ""
+
+
+def stored_ids(spark, root):
+    return sorted(r.article_id for r in stores.read_store(spark, f"{root}/store").collect())
+
+
+def key_ids(spark, root):
+    return sorted(r.article_id for r in spark.read.parquet(stores.keys_path(f"{root}/store")).collect())
+
+
+def test_a_batch_opens_only_the_buckets_of_its_ids(spark, tmp_path):
+    root = str(tmp_path)
+    ingest(validated(spark, [enriched(f"a/{i}") for i in range(400)]), 0, root)
+    assert key_ids(spark, root) == stored_ids(spark, root)
+    asked = spark.createDataFrame([("a/7",), ("a/8",), ("new",), (None,)], "article_id string")
+    found = stores.stored_keys(spark, f"{root}/store", asked)
+    assert sorted(r.article_id for r in found.collect()) == ["a/7", "a/8"]
+    everything = spark.read.parquet(stores.keys_path(f"{root}/store"))
+    assert everything.select("bucket").distinct().count() > 50
+    found.collect()
+    read = re.search(r"number of files read: (\d+)", metrics_of(found))
+    assert int(read[1]) <= 3 < len(everything.inputFiles())
+
+
+def test_a_crash_between_the_store_and_its_keys_is_repaired(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    ingest(validated(spark, [enriched("a/1")]), 0, root)
+    batch = validated(spark, [enriched("a/2"), enriched("a/3")])
+    whole = stores._write_keys
+
+    def broken(*args):
+        raise OSError("no more space")
+
+    monkeypatch.setattr(stores, "_write_keys", broken)
+    with pytest.raises(OSError):
+        ingest(batch, 1, root)
+    monkeypatch.setattr(stores, "_write_keys", whole)
+    assert stored_ids(spark, root) == ["a/1", "a/2", "a/3"] and key_ids(spark, root) == ["a/1"]
+    ingest(batch, 1, root)
+    assert stored_ids(spark, root) == key_ids(spark, root) == ["a/1", "a/2", "a/3"]
+    ingest(validated(spark, [enriched("a/3"), enriched("a/4")]), 2, root)
+    assert stored_ids(spark, root) == key_ids(spark, root) == ["a/1", "a/2", "a/3", "a/4"]
+
+
+def test_what_was_pruned_may_be_inserted_again(spark, tmp_path):
+    root = str(tmp_path)
+    old = enriched("old", published_at="2023-01-01T00:00:00Z")
+    ingest(validated(spark, [old, enriched("young")]), 0, root)
+    assert stores.prune_store(spark, f"{root}/store", AS_OF)["deleted_count"] == 1
+    assert key_ids(spark, root) == ["young"]
+    ingest(validated(spark, [old, enriched("young")]), 1, root)
+    assert stored_ids(spark, root) == key_ids(spark, root) == ["old", "young"]
+
+
+def test_a_store_without_keys_gets_them(spark, tmp_path):
+    root = str(tmp_path)
+    ingest(validated(spark, [enriched("a/1")]), 0, root)
+    shutil.rmtree(stores.keys_path(f"{root}/store"))
+    ingest(validated(spark, [enriched("a/1"), enriched("a/2")]), 1, root)
+    assert stored_ids(spark, root) == key_ids(spark, root) == ["a/1", "a/2"]
+
+
 def test_prune_store_rewrites_only_old_partitions(spark, tmp_path):
     path = str(tmp_path / "store")
     stores.ensure_store(spark, path)
