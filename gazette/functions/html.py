@@ -102,7 +102,8 @@ class _Page:
         self.found.add("body")
         for kind in self.inside:
             self.texts[kind].append(piece)
-        for _, pieces in self.open_paragraphs:
+        # The innermost one alone: paragraphs that are never closed nest without end.
+        for _, pieces in self.open_paragraphs[-1:]:
             pieces.append(piece)
 
     def _pop(self) -> str:

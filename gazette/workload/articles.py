@@ -37,7 +37,7 @@ FIRSTS = """SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY seq) A
 )
 def route_articles(spark, sf_dir):
     """Messages per topic after first-seen deduplication and the word filter."""
-    routed = fan_out(first_seen_long(articles(spark, sf_dir)))
+    routed = fan_out(first_seen_long(articles(spark, sf_dir), unique=True))
     return routed.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -50,12 +50,12 @@ def route_articles(spark, sf_dir):
     )
 )
 def fan_out_rows(spark, sf_dir):
-    return fan_out(first_seen_long(articles(spark, sf_dir))).select("seq", "article_id", "topic")
+    return fan_out(first_seen_long(articles(spark, sf_dir), unique=True)).select("seq", "article_id", "topic")
 
 
 @query(sql("SELECT seq, article_id FROM firsts WHERE rn = 1", "articles", firsts=FIRSTS))
 def dedup_first(spark, sf_dir):
-    return first_seen(articles(spark, sf_dir)).select("seq", "article_id")
+    return first_seen(articles(spark, sf_dir), unique=True).select("seq", "article_id")
 
 
 @query(
