@@ -18,7 +18,7 @@ NAMES = set(workload.QUERIES)
 QUERIES = {n: q for n, q in entry.queries().items() if n in NAMES}
 ORACLES = {n: q for n, q in entry.oracle_sql().items() if n in NAMES}
 
-TWO_CALLS = {"enrich_articles", "ask_articles"}
+TWO_CALLS = {"enrich_articles", "enrich_within_deadlines", "ask_articles"}
 
 pytestmark = pytest.mark.skipif(not TABLES, reason="test tables are not there")
 
