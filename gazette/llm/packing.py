@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from gazette.llm.common import arrow_map, numbered, scratch, text_bytes
 
 CAPACITY = 2048
-MEMO_BYTES = 48 << 20  # of words and their ids that a Python worker remembers, twice
+MEMO_BYTES = 80 << 20  # of words and their ids that a Python worker remembers, twice
 
 _encoders: dict = {}
 _PIECE = ("piece", "start", "length", "ids_crc32", "ids")
