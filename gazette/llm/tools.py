@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,9 +13,11 @@ from pyspark.sql import functions as F
 
 from gazette.llm.common import scratch
 
+DEEPEST = 200  # levels of lists and objects
+
 _KINDS = {
     "string": lambda v: isinstance(v, str),
-    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool),
+    "integer": lambda v: not isinstance(v, bool) and (isinstance(v, int) or isinstance(v, float) and v.is_integer()),
     "number": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool),
     "boolean": lambda v: isinstance(v, bool),
     "null": lambda v: v is None,
@@ -24,13 +27,16 @@ _KINDS = {
 
 
 def violations(value, schema: dict, path: str = "$") -> list[str]:
-    """Where ``value`` breaks a schema of types, enums, bounds, required and nested parts."""
+    """Where ``value`` breaks a schema of types, enums, bounds, required and nested parts.
+
+    A type that JSON Schema does not know matches nothing.
+    """
     found = []
     kinds = schema.get("type")
     kinds = [kinds] if isinstance(kinds, str) else kinds
-    if kinds and not any(_KINDS[k](value) for k in kinds):
+    if kinds and not any(k in _KINDS and _KINDS[k](value) for k in kinds):
         return [f"{path}: not of type {'|'.join(kinds)}"]
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(_same(value, x) for x in schema["enum"]):
         found.append(f"{path}: not an allowed value")
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         if value < schema.get("minimum", -math.inf) or value > schema.get("maximum", math.inf):
@@ -51,21 +57,63 @@ def violations(value, schema: dict, path: str = "$") -> list[str]:
     return found
 
 
+def _same(a, b) -> bool:
+    """Equal as JSON values: 1 is 1.0 but not true."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(_same, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(_same(a[k], b[k]) for k in a)
+    return a == b
+
+
 def _no_constant(name: str):
     raise ValueError(name)
 
 
+def _finite(text: str) -> float:
+    number = float(text)
+    if math.isinf(number):
+        raise ValueError(f"{text} is too large")
+    return number
+
+
+def _depth(value) -> int:
+    """Levels of lists and objects in each other."""
+    levels, here = 0, [value]
+    while here := [x for x in here if isinstance(x, (list, dict))]:
+        levels += 1
+        here = [y for x in here for y in (x.values() if isinstance(x, dict) else x)]
+    return levels
+
+
 def read_arguments(text: str | None):
-    """The parsed arguments, or a ValueError; NaN and infinities are no JSON."""
+    """The parsed arguments, or a ValueError.
+
+    NaN, infinities and numbers beyond a double are no JSON here, and neither is what
+    is nested deeper than ``DEEPEST``.
+    """
     if text is None:
         raise ValueError("no arguments")
-    return json.loads(text, parse_constant=_no_constant)
+    try:
+        value = json.loads(text, parse_constant=_no_constant, parse_float=_finite)
+    except RecursionError:
+        raise ValueError("nested too deep") from None
+    if _depth(value) > DEEPEST:
+        raise ValueError("nested too deep")
+    return value
+
+
+def _escaped(text: str) -> str:
+    """Halves of surrogate pairs, which no UTF-8 text can hold, as JSON writes them."""
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
 def canonical(value) -> str:
     """Keys in order, no spaces, characters as they are; a NaN is an error."""
-    return json.dumps(
-        value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False
+    return _escaped(
+        json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
     )
 
 
@@ -223,4 +271,4 @@ def _checked(row, schemas: dict[str, dict]) -> tuple[str, str | None]:
         "arguments": arguments,
         "result": None if _is_null(row.content) else row.content,
     }
-    return "; ".join(errors), canonical(whole)
+    return _escaped("; ".join(errors)), canonical(whole)

@@ -1,6 +1,7 @@
 """The operators' parts against plain definitions."""
 
 import itertools
+import json
 import random
 from collections import Counter, defaultdict
 
@@ -338,3 +339,27 @@ def test_packed_products_are_exact(seed, scale, n, size):
     for row, x in zip(found.tolist(), a.tolist(), strict=True):
         exact = [sum(int(i) * int(j) for i, j in zip(x, y, strict=True)) for y in c.tolist()]
         assert row == [max(-(2**63), min(2**63 - 1, s)) for s in exact]
+
+
+def test_types_are_those_of_json():
+    assert tools.violations(1.0, {"type": "integer"}) == [] and tools.violations(1.5, {"type": "integer"})
+    assert tools.violations(True, {"enum": [1]}) and not tools.violations(1.0, {"enum": [1]})
+    assert tools.violations([{"a": True}], {"enum": [[{"a": 1}]]}) and tools.violations(1, {"type": "whole"})
+
+
+def test_no_reply_of_a_model_ends_the_job(spark):
+    replies = ['{"q":1e400}', "[" * 100_000, '{"q":' * 600 + "1" + "}" * 600, '{"q":"\\ud800"}', '{"\\udfff":1}', "", None, '{"q":"fine"}']
+    calls = spark.createDataFrame(
+        [(1, f"c{i}", i, "t", x, None) for i, x in enumerate(replies)],
+        "conv_id long, call_id string, turn int, name string, arguments string, parent_id string",
+    )
+    results = spark.createDataFrame(
+        [(1, f"c{i}", 50, "done") for i in range(len(replies))], "conv_id long, call_id string, turn int, content string"
+    )
+    schema = {"t": {"type": "object", "additionalProperties": False, "properties": {"q": {"type": "string"}}}}
+    found = {r.call_id: r for r in tools.link_calls(calls, results, schema).collect()}
+    bad = "arguments are not JSON"
+    expected = [bad, bad, bad, "", "$.\\udfff: unknown", bad, bad, ""]
+    assert [found[f"c{i}"].errors for i in range(len(replies))] == expected
+    assert json.loads(found["c3"].json)["arguments"] == {"q": "\ud800"}
+    assert json.loads(found["c1"].json)["arguments"] == replies[1]
