@@ -10,9 +10,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from gazette.schemas import SEEN_TTL_HOURS
+from gazette.functions.text import min_words
+from gazette.schemas import MIN_WORDS, SEEN_TTL_HOURS
 
 # The process that sets up the state schema does not get the files a session
 # ships to its workers, so the processor travels as code instead of by name.
@@ -25,16 +27,20 @@ class FirstSeen(StatefulProcessor):
     The TTL runs from the first sight in processing time; later copies do not
     prolong it. Of the rows that reach a key in one micro-batch the one with
     the smallest order values is the first, nulls before others; only the best one
-    so far is held.
+    so far is held. Without a TTL keys are remembered for good. Keys of an initial state
+    count as seen.
     """
 
-    def __init__(self, order: list[str], ttl_hours: float):
+    def __init__(self, order: list[str], ttl_hours: float | None):
         self._order = order
-        self._ttl_ms = int(ttl_hours * 3_600_000)
+        self._ttl_ms = None if ttl_hours is None else int(ttl_hours * 3_600_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._seen = handle.getValueState("seen", "seen boolean", self._ttl_ms)
 
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self._seen.update((True,))
+
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         if not self._seen.exists():
             self._seen.update((True,))
@@ -103,3 +109,36 @@ def first_seen_ttl(
         timeMode="ProcessingTime",
     )
     return first if then is None else first.where(then)
+
+
+def first_qualifying(
+    stream: DataFrame,
+    seen: DataFrame | None = None,
+    key: str = "article_id",
+    order: str | Sequence[str] = "offset",
+    qualifies: Column | None = None,
+    combine: bool = True,
+) -> DataFrame:
+    """Streaming twin of ``operators.dedup.label_qualifying``: the rows that it publishes.
+
+    The first copy of a key that qualifies is published, unless the key is in ``seen``; copies
+    that do not qualify claim nothing, so they are left out before the state. ``seen`` (the
+    key column) is read once, as the initial state of a new query: a query that starts
+    again from its checkpoint goes by its own state. Micro-batches must come in order, as those
+    of a log do. All columns pass through the state, so select what is needed beforehand.
+    """
+    names = [order] if isinstance(order, str) else list(order)
+    wanted = min_words("body", MIN_WORDS) if qualifies is None else qualifies
+    rows = stream.where(stream[key].isNotNull() & F.coalesce(wanted, F.lit(False)))
+    if combine:
+        rows = rows.mapInArrow(_first_per_batch(key, names), rows.schema)
+    known = None
+    if seen is not None:
+        known = seen.select(key).where(F.col(key).isNotNull()).distinct().groupBy(key)
+    return rows.groupBy(key).transformWithState(
+        statefulProcessor=FirstSeen(names, None),
+        outputStructType=rows.schema,
+        outputMode="Append",
+        timeMode="None",
+        initialState=known,
+    )

@@ -20,7 +20,7 @@ from gazette.plans.tick import seen_after, tick
 from gazette.schemas import MIN_WORDS
 from gazette.session import checkpoint_root
 from gazette.sources.normalize import union_sources
-from gazette.streaming.dedup import first_seen_ttl, no_empty_batches
+from gazette.streaming.dedup import first_qualifying, first_seen_ttl, no_empty_batches
 from gazette.workload.base import ALL_SECTIONS, SQL_TOPIC, articles, pick, query, sql, sql_words, table
 
 FIRSTS = """SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY seq) AS rn
@@ -341,3 +341,26 @@ def dedup_ttl_stream(spark, sf_dir):
     return out.groupBy("topic").agg(
         F.count(F.lit(1)).alias("n"), F.sum("offset").alias("seq_sum")
     )
+
+
+@query(
+    sql(
+        "SELECT seq, article_id FROM labelled WHERE label = 'published'", "articles", **TICK_CTES
+    )
+)
+def tick_published_stream(spark, sf_dir):
+    """The published rows of a polling round, by a stream that knows the ids seen before."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/tick-{uuid.uuid4().hex}"
+    shape = table(spark, sf_dir, "documents").schema
+    stream = spark.readStream.schema(shape).parquet(f"{sf_dir}/documents.parquet*")
+    rows = stream.select(
+        F.concat(F.lit("doc/"), hash16("text")).alias("article_id"),
+        F.col("doc_id").alias("offset"),
+        min_words("text", MIN_WORDS).alias("good"),
+    )
+    published = first_qualifying(rows, toxic_ids(spark, sf_dir), qualifies=F.col("good"))
+    writer = published.writeStream.format("parquet").option("path", f"{root}/out")
+    writer = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    writer.start().awaitTermination()
+    out = spark.read.schema("article_id string, offset bigint").parquet(f"{root}/out")
+    return out.select(F.col("offset").alias("seq"), "article_id")
