@@ -129,27 +129,29 @@ def parse_time(c: Column | str) -> Column:
     """
     text = as_col(c)
 
-    def part(i: int) -> Column:
-        return F.lower(F.regexp_extract(text, MAIL_DATE, i))
-
-    year, zone = part(3), part(7)
-    century = F.when(year >= "70", "19").otherwise("20")
-    mail = F.concat(
-        F.when(F.length(year) == 4, year).otherwise(F.concat(century, year)),
-        F.lit("-"),
-        lookup({m: f"{i:02}" for i, m in enumerate(MONTHS, 1)}, part(2)),
-        F.lit("-"),
-        F.lpad(part(1), 2, "0"),
-        F.lit("T"),
-        F.lpad(part(4), 2, "0"),
-        F.lit(":"),
-        part(5),
-        F.lit(":"),
-        F.when(part(6) == "", "00").otherwise(part(6)),
-        F.when(
-            zone.rlike(r"^[+-]"), F.regexp_replace(zone, r"^(...):?(..)$", "$1:$2")
-        ).otherwise(lookup(ZONES, zone)),
-    )
+    def iso(parts: Column) -> Column:
+        day, month, year, hour, minute, second, zone = (F.get(parts, F.lit(i)) for i in range(7))
+        century = F.when(year >= "70", "19").otherwise("20")
+        return F.concat(
+            F.when(F.length(year) == 4, year).otherwise(F.concat(century, year)),
+            F.lit("-"),
+            lookup({m: f"{i:02}" for i, m in enumerate(MONTHS, 1)}, month),
+            F.lit("-"),
+            F.lpad(day, 2, "0"),
+            F.lit("T"),
+            F.lpad(hour, 2, "0"),
+            F.lit(":"),
+            minute,
+            F.lit(":"),
+            F.when(second == "", "00").otherwise(second),
+            F.when(
+                zone.rlike(r"^[+-]"), F.regexp_replace(zone, r"^(...):?(..)$", "$1:$2")
+            ).otherwise(lookup(ZONES, zone)),
+        )
+
+    # Taken apart once; the lambda is what keeps Spark from writing the match out per part.
+    parts = F.split(F.lower(F.regexp_replace(text, MAIL_DATE, "$1|$2|$3|$4|$5|$6|$7")), r"\|")
+    mail = F.get(F.transform(F.array(parts), iso), F.lit(0))
     return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text)).when(
         text.rlike(MAIL_DATE), F.try_to_timestamp(mail)
     )

@@ -27,6 +27,7 @@ from gazette.sources.normalize import (
     section_of,
 )
 from gazette.sources.pages import body_fetchable, page_bodies, replace_body
+from gazette.sources.syndication import broken_feeds, feed_entries
 from gazette.sources.topics import read_topics_since
 from gazette.workload.base import (
     ALL_SECTIONS,
@@ -237,6 +238,87 @@ def feed_sections(spark, sf_dir):
     return count_by(rows, "section")
 
 
+# --- feed documents ------------------------------------------------------------------
+
+ATOM_LINKS = '<{0}link rel="self" href="https://example.com/self"/><{0}link href="'
+
+
+def xml_text(c):
+    """Text as XML content."""
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(char), F.lit(name))
+    return c
+
+
+def xml_feeds(spark, sf_dir):
+    """A feed of each document: RSS, Atom, RSS that breaks off, Atom under a prefix, no feed."""
+    text, number = F.col("text"), F.col("doc_id").cast("string")
+    title = xml_text(F.substring(text, 1, 90))
+    address = F.concat(F.lit("https://example.com/x/"), number)
+    mail = F.date_format(when_published(), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    moment = F.date_format(when_published(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    def concat(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    first = concat(
+        "<item><guid isPermaLink='false'>tag:", number, "</guid><title>", title, "</title><link>",
+        address, "</link><description><![CDATA[", text, "]]></description><pubDate>", mail,
+        "</pubDate></item>",
+    )
+    second = concat(
+        "<item><title>Second &nbsp;</title><guid>", address, "b</guid><dc:date>", moment, "</dc:date>"
+    )
+
+    def atom(prefix, declared):
+        links = ATOM_LINKS.format(prefix)
+        return concat(
+            f"<{prefix}feed {declared}='http://www.w3.org/2005/Atom'><{prefix}title>Of all</{prefix}title>",
+            f"<{prefix}entry><{prefix}id>tag:", number, f"</{prefix}id><{prefix}title>", title,
+            f"</{prefix}title>{links}", address, f'"/><{prefix}content type="html">', xml_text(text),
+            f"</{prefix}content><{prefix}updated>", moment, f"</{prefix}updated></{prefix}entry></{prefix}feed>",
+        )
+
+    rss = "<?xml version='1.0'?><rss><channel><title>Of all</title><!-- <item></item> -->"
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        pick(FEEDS, F.col("doc_id") % 7).alias("feed"),
+        F.when(doc(5), concat(rss, first, second, "</item></channel></rss>"))
+        .when(doc(5, 1), atom("", "xmlns"))
+        .when(doc(5, 2), concat(rss, first, second))
+        .when(doc(5, 3), atom("a:", "xmlns:a"))
+        .otherwise(concat("<html><p>", title))
+        .alias("xml"),
+    )
+
+
+@query(
+    sql(
+        f"""{SQL_SHOWN} FROM mapped {SQL_VALID}
+            UNION ALL SELECT doc_id::VARCHAR, 'broken', NULL, NULL, NULL, NULL
+            FROM documents WHERE text IS NULL OR doc_id % 5 = 4""",
+        feeds=f"""SELECT *, {sql_list(FEEDS)}[CAST(doc_id % 7 AS INT) + 1] AS feed,
+                  'https://example.com/x/' || doc_id AS link FROM documents WHERE text IS NOT NULL""",
+        mapped=f"""SELECT 'rss/' || substr(sha256('tag:' || doc_id), 1, 16) AS article_id,
+                   trim(substr(text, 1, 90)) AS headline, trim(text) AS body,
+                   {SQL_FEED_SECTION} AS section, {SQL_WHEN} AS published_at, link AS source_url
+                   FROM feeds WHERE doc_id % 5 < 4
+                   UNION ALL SELECT 'rss/' || substr(sha256(link || 'b'), 1, 16), 'Second &nbsp;', '',
+                   {SQL_FEED_SECTION}, {SQL_WHEN}, link || 'b' FROM feeds WHERE doc_id % 5 = 0""",
+    )
+)
+def read_feed_documents(spark, sf_dir):
+    """Articles of feeds in XML, and the feeds of which nothing can be read."""
+    feeds = xml_feeds(spark, sf_dir)
+    read = shown(normalize_rss(feed_entries(feeds, keep=["feed"]), AS_OF))
+    broken = broken_feeds(feeds).select(
+        F.col("doc_id").cast("string").alias("article_id"),
+        F.lit("broken").alias("headline"),
+        *[F.lit(None).cast("string").alias(name) for name in read.columns[2:]],
+    )
+    return read.unionByName(broken)
+
+
 # --- aggregator items ----------------------------------------------------------------
 
 TITLE_WORDS = ("startup", "software", "NASA", "policy", "space market", "", "Election", "poetry")

@@ -25,6 +25,7 @@ from gazette.sources.normalize import (
     normalize_rss,
     union_sources,
 )
+from gazette.sources.syndication import broken_feeds, feed_entries
 
 
 def landed(spark, records, shape, **extra):
@@ -97,6 +98,58 @@ def test_feed_entries(spark):
     assert normalize_rss(landed(spark, entries, RSS_ENTRY, feed="https://other"), AS_OF).isEmpty()
 
 
+RSS = """<?xml version="1.0"?><rss xmlns:media="m"><channel><title>Channel</title>
+<item><guid isPermaLink="false">one</guid><title> First &amp; best </title><link>https://r.example/1</link>
+<media:title>not this</media:title><description><![CDATA[<p>A & B</p> </item> <item>]]></description>
+<pubDate>Tue, 02 Jan 2024 03:04:05 GMT</pubDate></item>
+<!-- <item><title>hidden</title></item> -->
+<item><title>Q&A&nbsp;</title><guid>https://r.example/2</guid><content:encoded>Whole</content:encoded></item>
+<item><title>Bad <b></title></item>
+<item/><item></item>"""
+ATOM = """<{0}feed xmlns{1}="http://www.w3.org/2005/Atom"><{0}title>Of all</{0}title><{0}entry xml:lang="en">
+<{0}id>two</{0}id><{0}title type="text">T</{0}title><{0}link rel="edit" href="https://no"/><{0}link href="https://r.example/3"/>
+<{0}summary type="html">&lt;p&gt;S&lt;/p&gt;</{0}summary><{0}content type="xhtml"><div>all of <i>it</i></div></{0}content>
+<{0}updated>2024-01-02T03:04:05Z</{0}updated></{0}entry></{0}feed>"""
+
+
+def entries_of(spark, *feeds):
+    rows = spark.createDataFrame([(i, x, "e") for i, x in enumerate(feeds)], "n int, xml string, title string")
+    return [r.asDict() for r in feed_entries(rows, keep=["n"]).collect()]
+
+
+def test_feeds_in_xml(spark):
+    first, second, bad, empty = entries_of(spark, RSS + "</channel></rss>")
+    assert first == {
+        "n": 0, "id": "one", "link": "https://r.example/1", "title": "First & best",
+        "summary": "<p>A & B</p> </item> <item>", "description": "<p>A & B</p> </item> <item>",
+        "published": "Tue, 02 Jan 2024 03:04:05 GMT", "updated": None,
+    }
+    assert (second["id"], second["link"]) == ("https://r.example/2",) * 2
+    assert (second["title"], second["summary"]) == ("Q&A&nbsp;", "Whole")
+    assert not any(v for r in (bad, empty) for k, v in r.items() if k != "n")
+    for prefix, declared in (("", ""), ("a:", ":a")):
+        (entry,) = entries_of(spark, ATOM.format(prefix, declared))
+        assert (entry["id"], entry["title"], entry["link"]) == ("two", "T", "https://r.example/3")
+        assert entry["summary"] == "<p>S</p>" and entry["updated"] == "2024-01-02T03:04:05Z"
+
+
+def test_feeds_that_break_off(spark):
+    whole = entries_of(spark, RSS + "</channel></rss>")
+    assert entries_of(spark, RSS) == whole  # nothing is lost with the end
+    cut = RSS[: RSS.index("content:encoded>Whole")]
+    assert entries_of(spark, cut) == whole[:1]
+    assert entries_of(spark, RSS[: RSS.index("A & B")], "", "no feed", None) == []
+    feeds = [RSS, cut, RSS[: RSS.index("A & B")], "<rss><channel></channel></rss>", "<html><p>", "", None]
+    rows = spark.createDataFrame(list(enumerate(feeds)), "n int, xml string")
+    assert sorted(r.n for r in broken_feeds(rows).collect()) == [2, 4, 5, 6]
+
+
+def test_a_long_feed(spark):
+    body = "x" * 300_000 + " <![CDATA[" + "<&>" * 50_000 + "]]>"
+    rows = entries_of(spark, f"<rss>{f'<item><description>{body}</description></item>' * 5}\x00</rss>")
+    assert len(rows) == 5 and {len(r["summary"]) for r in rows} == {300_001 + 150_000}
+
+
 def test_aggregator_items(spark):
     story = {"type": "story", "title": "War of software", "url": "https://h.example", "time": 60}
     items = [
