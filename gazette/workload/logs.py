@@ -20,6 +20,7 @@ from gazette.schemas import (
 )
 from gazette.session import checkpoint_root
 from gazette.sources.normalize import gathered_sources, union_sources
+from gazette.sources.outbox import deliver_once, read_delivered, replay_once, to_log
 from gazette.sources.store import ensure_store, ingest_batch, prune_store, read_store
 from gazette.sources.topics import (
     parse_records,
@@ -137,6 +138,37 @@ def buffer_and_replay(spark, sf_dir):
     return per_topic(read_topics(spark, f"{root}/log"))
 
 
+@query(
+    sql(
+        f"""SELECT {SQL_TOPIC} AS topic, count(*) AS n, sum(seq)::BIGINT AS seq_sum
+            FROM articles GROUP BY 1""",
+        "articles",
+    )
+)
+def delivered_once(spark, sf_dir):
+    """Four batches: one arrives, one finds the sink away, one breaks off half-way, and one
+    is written but not noted; after two replays and a repetition each is there once."""
+    root = folder(spark, "outbox")
+    rows = as_log(articles(spark, sf_dir), route_section("section"))
+    batches = [rows.where(F.col("offset") % 4 == i) for i in range(4)]
+
+    def away(messages, batch):
+        raise ConnectionError("the sink is away")
+
+    def half(messages, batch):
+        to_log(root)(messages.where("offset % 8 < 4"), batch)
+        raise ConnectionError("the sink went away")
+
+    for number, send in enumerate((None, away, half)):
+        deliver_once(root, "run", send)(batches[number], number)
+    to_log(root)(batches[3], "run-3")
+    for _ in range(2):
+        replay_once(spark, root)
+        for number in (0, 3):
+            deliver_once(root, "run")(batches[number], number)
+    return per_topic(read_delivered(spark, root))
+
+
 @query(
     sql(
         """SELECT article_id, source_url, CAST(published_at AS DATE)::VARCHAR AS dt FROM (

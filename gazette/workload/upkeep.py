@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from gazette.operators.maintenance import backfill, expire, find_gaps, prune, stalled_topics
 from gazette.plans.backfill import backfill_messages, missed_articles
 from gazette.schemas import GUARDIAN_PAGE
+from gazette.sources.daylog import drop_expired, read_days, write_days
 from gazette.workload.base import ALL_SECTIONS, articles, pick, query, shown_time, sql, sql_time, table
 from gazette.workload.feeds import (
     DOCS,
@@ -16,6 +19,7 @@ from gazette.workload.feeds import (
     text_of,
     when_published,
 )
+from gazette.workload.logs import folder
 from gazette.workload.metrics import EVENTS_AS_OF, events
 
 PRUNE_AS_OF = "2024-02-10 06:00:00"
@@ -169,3 +173,27 @@ def expire_messages(spark, sf_dir):
     return kept.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    f"""SELECT event_type AS topic, count(*) AS n, count(DISTINCT ts::DATE) AS days,
+               count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-24 12:00:00') AS late FROM events
+        WHERE ts >= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 1 DAY * CASE event_type
+              WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'error' THEN 7 ELSE 10000 END
+        GROUP BY 1"""
+)
+def expire_days(spark, sf_dir):
+    """A log by topic and day after retention: messages within it, days still there, and the
+    messages of a reader that starts late."""
+    root = folder(spark, "days")
+    write_days(events_log(spark, sf_dir), root)
+    drop_expired(spark, root, dt.datetime.fromisoformat(EVENTS_AS_OF), RETENTION)
+    kept = expire(read_days(spark, root), EVENTS_AS_OF, RETENTION).groupBy("topic")
+    kept = kept.agg(F.count(F.lit(1)).alias("n"))
+    left = read_days(spark, root).groupBy("topic")
+    left = left.agg(F.countDistinct(F.to_date("timestamp")).alias("days"))
+    late = expire(read_days(spark, root, since=dt.datetime(2024, 1, 24, 12)), EVENTS_AS_OF, RETENTION)
+    late = late.groupBy("topic").agg(F.count(F.lit(1)).alias("late"))
+    return (
+        kept.join(left, "topic", "left")
+        .join(late, "topic", "left")
+        .select("topic", "n", "days", F.coalesce("late", F.lit(0)).alias("late"))
+    )
