@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 
 from gazette.llm.common import arrow_map, scratch, text_bytes
 
-POSITIVES = 2_000  # documents to learn from, at most
-UNLABELLED = 6_000
+POSITIVES = 2_000  # labelled documents to learn from, at most
+UNLABELLED = 6_000  # others, whose labels are not looked at
 FEATURES = 4_000
+HELD = 150_000  # features that a task counts before it hands them on
 PREFIXES = (4, 5, 6, 7)  # bytes
 LEAST_DOCUMENTS = 8
+LEAST_EXPECTED = 3  # toxic documents that have a feature, or would have it by chance
 LEAST_Z = 6.0
 LEAST_RATIO = 2.0  # of the shares of toxic and unlabelled documents that have a feature
 ROUNDS = 300
@@ -116,13 +118,32 @@ def held_out(column: str = "doc_id") -> Column:
     return number % 4 == 2
 
 
+def document_counts(texts: DataFrame, column: str = "text", held: int = HELD) -> DataFrame:
+    """(f, n): in how many of the texts each feature is, as partial counts.
+
+    A task hands its counts on whenever it holds ``held`` features, and at its end.
+    """
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter = Counter()
+        for frame in frames:
+            for text in frame[column]:
+                counts.update(features(text))
+                if len(counts) >= held:
+                    yield pd.DataFrame({"f": list(counts), "n": list(counts.values())})
+                    counts.clear()
+        yield pd.DataFrame({"f": list(counts), "n": list(counts.values())})
+
+    return texts.select(column).mapInPandas(count, "f binary, n long")
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED
 ) -> Classifier:
     """A classifier from ``labels`` (doc_id, toxic) outside the held-out ids.
 
-    The documents with the smallest hashed ids are learnt from: ``positives`` of those
-    labelled toxic and ``unlabelled`` of all, so that what is sent about is bounded.
+    The labelled documents with the smallest hashed ids are learnt from: ``positives`` of
+    those labelled toxic, and ``unlabelled`` of all, whatever their label.
     """
     known = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -132,37 +153,23 @@ def fit(
     prior = min(prior, 0.95)
     order = F.xxhash64(F.lit(3), "doc_id")
     toxic = known.where("toxic = 1").select("doc_id").orderBy(order).limit(positives)
-    plain = (
-        docs.select("doc_id")
-        .where(~held_out() & F.col("doc_id").isNotNull())
-        .distinct()
-        .orderBy(order)
-        .limit(unlabelled)
-    )
+    plain = known.select("doc_id").orderBy(order).limit(unlabelled)
     chosen = toxic.withColumn("positive", F.lit(True)).union(plain.withColumn("positive", F.lit(False)))
     texts = docs.select("doc_id", text_bytes().alias("text"))
     # at most positives + unlabelled ids, whatever the corpus
     sample = scratch(texts.join(F.broadcast(scratch(chosen)), "doc_id"))
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = {True: Counter(), False: Counter()}
-        for frame in frames:
-            for text, positive in zip(frame["text"], frame["positive"], strict=True):
-                held[positive].update(features(text))
-        names = list(held[True] | held[False])
-        yield pd.DataFrame(
-            {"f": names, "p": [held[True][x] for x in names], "u": [held[False][x] for x in names]}
-        )
-
-    sizes = dict(sample.groupBy("positive").count().collect())
-    n_p, n_u = max(sizes.get(True, 0), 1), max(sizes.get(False, 0), 1)
+    n_p, n_u = max(sample.where("positive").count(), 1), max(docs.count(), 1)
     share = (F.col("p") + F.col("u")) / (n_p + n_u)
     z = (F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(share * (1.0001 - share) * (1 / n_p + 1 / n_u))
+    none = F.lit(0).cast("long")
+    of_toxic = document_counts(sample.where("positive")).select("f", F.col("n").alias("p"), none.alias("u"))
+    of_all = document_counts(texts).select("f", none.alias("p"), F.col("n").alias("u"))
     picked = (
-        sample.mapInPandas(count, "f binary, p long, u long")
+        of_toxic.union(of_all)
         .groupBy("f")
         .agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
         .where(F.col("p") + F.col("u") >= LEAST_DOCUMENTS)
+        .where(F.greatest(F.col("p").cast("double"), F.col("u") * (n_p / n_u)) >= LEAST_EXPECTED)
         .withColumn("z", F.abs(z))
         .where(F.col("z") >= LEAST_Z)
         .where(F.abs(F.log((F.col("p") + 0.5) / n_p) - F.log((F.col("u") + 0.5) / n_u)) >= math.log(LEAST_RATIO))

@@ -363,3 +363,12 @@ def test_no_reply_of_a_model_ends_the_job(spark):
     assert [found[f"c{i}"].errors for i in range(len(replies))] == expected
     assert json.loads(found["c3"].json)["arguments"] == {"q": "\ud800"}
     assert json.loads(found["c1"].json)["arguments"] == replies[1]
+
+
+def test_features_are_counted_over_all_texts(spark):
+    texts = [b"some words, some more", b"Some", b"", b"sometimes words " * 50] * 3
+    rows = spark.createDataFrame([(t,) for t in texts], "text binary").repartition(2)
+    expected = Counter(f for t in texts for f in toxicity.features(t))
+    for held in (1, 7, 10_000):
+        counts = toxicity.document_counts(rows, held=held).groupBy("f").sum("n").collect()
+        assert {bytes(r.f): r["sum(n)"] for r in counts} == expected

@@ -4,6 +4,7 @@ import functools
 import hashlib
 import json
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -13,6 +14,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from gazette.llm import ORACLES, QUERIES, quality
 
@@ -519,3 +521,13 @@ def test_op13(spark, odd):
                 )
     found = result(spark, "op13_kronecker_negatives", odd)
     assert same_rows(found, expected)
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="test tables are not there")
+def test_op2_on_labels_it_has_not_seen(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    found = QUERIES["op2_toxicity"](spark, folder).where("held_out").join(labels, "doc_id")
+    counts = {(r.toxic, r.predicted): r["count"] for r in found.groupBy("toxic", "predicted").count().collect()}
+    caught, missed, wrong = counts[1, 1], counts.get((1, 0), 0), counts.get((0, 1), 0)
+    assert caught / (caught + missed) >= 0.75 and caught / (caught + wrong) >= 0.9
