@@ -24,6 +24,8 @@ from gazette.plans.tick import raw_messages, tick
 from gazette.schemas import EMBEDDING_DIM, GAP_HOURS, LOG, MIN_WORDS, PRUNE_DAYS, TOPIC_FAILED
 from gazette.session import cut_lineage, ensure_folder
 from gazette.sources.normalize import NORMALIZERS, gathered_sources
+from gazette.sources.daylog import drop_expired
+from gazette.sources.outbox import replay_once
 from gazette.sources.store import prune_store, read_store
 from gazette.sources.topics import read_topics, replay_buffer, write_topics
 from gazette.streaming import jobs
@@ -64,6 +66,8 @@ def arguments() -> argparse.Namespace:
     )
     job("backfill", "store", "archive", "raw").add_argument("--hours", type=int, default=GAP_HOURS)
     job("replay", "buffer", "log")
+    job("redeliver", "outbox")
+    job("expire", "log")
     job("report", "store").add_argument("--failed", required=True, nargs="+")
     job("check", "store", "log")
     ask = job("ask", "store", "question")
@@ -132,6 +136,10 @@ def main() -> None:
     elif args.job == "replay":
         waiting = replay_buffer(spark, args.buffer, LOG)
         write_topics(waiting.select(*LOG.fieldNames()), args.log)
+    elif args.job == "redeliver":
+        print(replay_once(spark, args.outbox))
+    elif args.job == "expire":
+        print(drop_expired(spark, args.log, now))
     elif args.job == "report":
         logs = [read_topics(spark, root, [TOPIC_FAILED]) for root in args.failed]
         failed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), logs)
