@@ -6,6 +6,8 @@ the same for batch, file streams and Kafka.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +27,10 @@ def read_topics(
     root: str | None = None,
     topics: list[str] | None = None,
     streaming: bool = False,
+    since: dt.datetime | None = None,
     **options: str,
 ) -> DataFrame:
-    """Messages of the given topics, from the earliest on.
+    """Messages of the given topics, from the earliest on, or those logged at or after ``since``.
 
     ``root`` is a parquet log partitioned by topic. Without it the topics are
     read from Kafka with the given connection options.
@@ -39,13 +42,10 @@ def read_topics(
             ensure_folder(spark, root)
             options = {"maxFilesPerTrigger": FILES_PER_BATCH, **options}
         log = reader.schema(LOG).options(**options).parquet(root)
-        return log.where(F.col("topic").isin(*topics)) if topics else log
-    kafka = reader.format("kafka").option("subscribe", ",".join(topics or []))
-    return (
-        kafka.option("startingOffsets", "earliest")
-        .options(**options)
-        .load()
-        .select(
+        log = log.where(F.col("topic").isin(*topics)) if topics else log
+    else:
+        kafka = reader.format("kafka").option("subscribe", ",".join(topics or []))
+        log = kafka.options(**_kafka_start(since)).options(**options).load().select(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
             "partition",
@@ -53,7 +53,18 @@ def read_topics(
             "timestamp",
             "topic",
         )
-    )
+    return log if since is None else read_topics_since(log, F.lit(since).cast("timestamp"))
+
+
+def _kafka_start(since: dt.datetime | None) -> dict[str, str]:
+    """The broker finds the offsets of a moment; partitions without later messages start at their end."""
+    if since is None:
+        return {"startingOffsets": "earliest"}
+    since = since if since.tzinfo else since.replace(tzinfo=dt.timezone.utc)
+    return {
+        "startingTimestamp": str(int(since.timestamp() * 1000)),
+        "startingOffsetsByTimestampStrategy": "latest",
+    }
 
 
 def read_topics_since(log: DataFrame, cutoff: Column) -> DataFrame:

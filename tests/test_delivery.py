@@ -21,6 +21,7 @@ from gazette.sources.outbox import (
     to_log,
     waiting,
 )
+from gazette.sources.topics import _kafka_start, read_topics, write_topics
 
 
 def logged(spark, *messages):
@@ -88,6 +89,16 @@ def test_a_late_reader_opens_its_days(spark, tmp_path):
     assert offsets(read_days(spark, root, since=AS_OF + dt.timedelta(days=9))) == []
 
 
+def test_topics_from_a_moment_on(spark, tmp_path):
+    root = str(tmp_path)
+    write_topics(logged(spark, *[(n, "raw-news", before(days=n)) for n in range(4)]), root)
+    assert offsets(read_topics(spark, root, ["raw-news"], since=before(days=2))) == [0, 1, 2]
+    assert offsets(read_topics(spark, root)) == [0, 1, 2, 3]
+    start = _kafka_start(dt.datetime(2024, 1, 2))
+    assert start["startingTimestamp"] == "1704153600000"
+    assert _kafka_start(None) == {"startingOffsets": "earliest"}
+
+
 def test_retention_beside_a_running_stream(spark, tmp_path):
     root, seen, points = (str(tmp_path / n) for n in ("log", "seen", "points"))
 
