@@ -245,6 +245,51 @@ def test_near_copies_are_found_however_they_were_made(spark):
         assert len(copies) > 80 and sum(i in left for i in copies) <= 0.03 * len(copies), how
 
 
+def test_wide_links_come_from_the_fingerprints(spark):
+    """All pairs within PARTS - 2 bits, however the bits lie; nearly all within the radius; none beyond."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(-(2**63), 2**63, (300, 4))
+
+    def flipped(row, bits):
+        out = row.copy().view(np.uint64)
+        for bit in bits:
+            out[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+        return out.view(np.int64)
+
+    spread = [[8 * k + int(rng.integers(8)) for k in rng.permutation(32)[:30]] for _ in base]
+    rim = [rng.permutation(256)[:52] for _ in base]
+    beyond = [rng.permutation(256)[:53] for _ in base]
+    rows = [(i, *b.tolist()) for i, b in enumerate(base)]
+    for at, bits in ((1000, spread), (2000, rim), (3000, beyond)):
+        rows += [(at + i, *flipped(b, x).tolist()) for i, (b, x) in enumerate(zip(base, bits, strict=True))]
+    prints = spark.createDataFrame(rows, "id long, w0 long, w1 long, w2 long, w3 long")
+    near = {(min(r), max(r)) for r in simhash.wide_links(prints, 52).collect()}
+    whole = np.array([r[1:] for r in rows]).view(np.uint64)
+    place = {r[0]: i for i, r in enumerate(rows)}
+    for a, b in near:
+        assert np.bitwise_count(whole[place[a]] ^ whole[place[b]]).sum() <= 52
+    found = Counter(b // 1000 for a, b in near if a < 1000 and b % 1000 == a)
+    assert found[1] == 300 and found[2] >= 0.9 * 300 and found[3] == 0
+
+
+def test_wide_links_in_dealt_buckets(spark, monkeypatch):
+    """A chain of fingerprints, each near the next, in buckets of many blocks is one component."""
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    rng = np.random.default_rng(10)
+    row, rows = rng.integers(0, 2, 256), []
+    for i in range(300):
+        rows.append((i, *np.packbits(row, bitorder="little").view("<i8").tolist()))
+        row = row ^ np.isin(np.arange(256), rng.integers(0, 256, 6))
+    prints = spark.createDataFrame(rows, "id long, w0 long, w1 long, w2 long, w3 long")
+    links = simhash.wide_links(prints, 6).collect()
+    root = list(range(300))
+    for a, b in [tuple(r) for r in links] * 9:
+        root[a] = root[b] = min(root[a], root[b])
+    for _ in range(300):
+        root = [root[x] for x in root]
+    assert set(root) == {0}
+
+
 def test_call_chains_and_cycles(spark):
     calls = [(1, f"c{i}", f"c{i - 1}" if i else None) for i in range(50)]
     calls += [(2, "a", "b"), (2, "b", "a"), (2, "d", "a"), (3, "x", "gone"), (3, "y", "x")]
