@@ -5,9 +5,10 @@ from __future__ import annotations
 import queue
 import threading
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,29 +102,32 @@ def _call(model, prompts: list[str]) -> list[dict]:
         return _call(model, prompts[:half]) + _call(model, prompts[half:])
 
 
-def _call_within(model, prompts: list[str], seconds: float, at_once: int) -> list[dict]:
+def _call_within(model, prompts: Iterable[str], seconds: float, at_once: int) -> list[dict]:
     """A call for each prompt, ``at_once`` at the same time, none waited for longer than ``seconds``.
 
     A call that is late is left to itself and its place is given to the next one. Once
     ``GIVE_UP`` times ``at_once`` calls hang, the model counts as gone and what is left fails at once.
+    A prompt is taken when it is its turn, and one that hangs holds no other.
     """
-    answers: list[dict | None] = [None] * len(prompts)
+    answers: list[dict | None] = []
     done: queue.SimpleQueue = queue.SimpleQueue()
-    waiting = iter(range(len(prompts)))
+    waiting = enumerate(prompts)
     running: dict[int, float] = {}
     late = 0
 
-    def call(at: int) -> None:
-        done.put((at, _call(model, [prompts[at]])[0]))
+    def call(at: int, prompt: str) -> None:
+        done.put((at, _call(model, [prompt])[0]))
 
     while True:
         gone = late >= GIVE_UP * at_once
-        while len(running) < at_once and (at := next(waiting, None)) is not None:
+        while len(running) < at_once and (taken := next(waiting, None)) is not None:
             if gone:
-                answers[at] = {"text": None, "error": "the model does not answer any more"}
+                answers.append({"text": None, "error": "the model does not answer any more"})
                 continue
+            at, prompt = taken
+            answers.append(None)
             running[at] = time.monotonic() + seconds
-            threading.Thread(target=call, args=(at,), daemon=True).start()
+            threading.Thread(target=call, args=(at, prompt), daemon=True).start()
         if not running:
             return answers
         try:
@@ -150,20 +154,21 @@ def infer(
     of it elsewhere and every prompt is sent once.
     """
 
-    def replies_to(model, flat: list[str]) -> list[dict]:
-        if not flat:
+    def replies_to(model, flat: pa.Array) -> list[dict]:
+        if not len(flat):
             return []
-        return _call(model, flat) if seconds is None else _call_within(model, flat, seconds, at_once)
+        if seconds is None:
+            return _call(model, flat.to_pylist())
+        return _call_within(model, (prompt.as_py() for prompt in flat), seconds, at_once)
 
     @F.arrow_udf(REPLIES)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = factory()
         for batch in batches:
-            rows = batch.to_pylist()
-            flat = [prompt for row in rows if row is not None for prompt in row]
-            replies = iter(replies_to(model, flat))
+            sizes = pc.list_value_length(batch).to_pylist()
+            replies = iter(replies_to(model, batch.flatten()))
             yield pa.array(
-                [None if row is None else [next(replies) for _ in row] for row in rows],
+                [None if n is None else [next(replies) for _ in range(n)] for n in sizes],
                 pa.list_(pa.struct([("text", pa.string()), ("error", pa.string())])),
             )
 

@@ -1,7 +1,10 @@
 """Prompts, replies, the model hook and the gate."""
 
+import gc
 import json
+import threading
 import time
+import weakref
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 
 from builders import AS_OF, SUMMARY, enriched, frame, plan_of, raw
 from gazette.functions.vectors import embed_text, hashing_embedder
+from gazette.operators import enrich as module
 from gazette.operators.enrich import (
     PROMPTS,
     build_context,
@@ -342,3 +346,44 @@ def test_a_model_that_is_gone_fails_at_once():
     answers = module._call_within(slow_model(), ["HANGS"] * 500, 0.1, 2)
     assert time.monotonic() - start < 10
     assert {a["error"] for a in answers} == {"no reply within 0.1 seconds", "the model does not answer any more"}
+
+
+def test_a_call_that_hangs_holds_its_own_prompt_only():
+    class Prompt(str):
+        pass
+
+    over = threading.Event()
+
+    def model(prompts):
+        if prompts[0] == "HANGS":
+            over.wait(60)
+        return [str(prompts[0]) for _ in prompts]
+
+    prompts = [Prompt(i) for i in range(50)] + [Prompt("HANGS"), None, Prompt("last")]
+    refs = [weakref.ref(p) for p in prompts if p is not None]
+    answers = module._call_within(model, prompts, 0.5, 4)
+    del prompts
+    time.sleep(0.2)  # threads that have answered end
+    gc.collect()
+    held = [str(r()) for r in refs if r() is not None]
+    over.set()
+    assert held == ["HANGS"]
+    assert [a["text"] for a in answers] == [*map(str, range(50)), None, "None", "last"]
+    assert answers[50]["error"] == "no reply within 0.5 seconds"
+
+
+def test_prompts_are_taken_when_it_is_their_turn():
+    answered, ahead = [], []
+
+    def prompts():
+        for i in range(200):
+            ahead.append(i - len(answered))
+            yield str(i)
+
+    def model(prompts):
+        answered.extend(prompts)
+        return list(prompts)
+
+    answers = module._call_within(model, prompts(), 30, 4)
+    assert [a["text"] for a in answers] == [str(i) for i in range(200)]
+    assert max(ahead) < 4
