@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,6 +42,30 @@ def text_digest(column: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
 
 
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, over the batches of a task; what it leaves free goes back to the system.
+
+    Spark keeps Python workers for later tasks, of other stages too, beside the executor's
+    growing heap, and allocators keep what was free when the last batch had gone.
+    """
+
+    def go(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return go
+
+
+def give_back() -> None:
+    """Return the free memory of Arrow and, where it is glibc's, of the C library to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def arrow_map(
     rows: DataFrame, run: Callable[[pa.RecordBatch], list[pa.Array]], added: str, drop: tuple = ()
 ) -> DataFrame:
@@ -59,7 +84,7 @@ def arrow_map(
             names = names or kept + [f.split()[0].strip("`") for f in _fields(added)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + new, names=names)
 
-    return rows.mapInArrow(go, schema)
+    return rows.mapInArrow(frugal(go), schema)
 
 
 def in_text(rows: DataFrame, column: str = "doc_id") -> DataFrame:
@@ -201,7 +226,7 @@ def in_cells(
             frame = frame[size > 1].reset_index(drop=True)
             yield function(frame, group_starts(frame, cell))
 
-    return rows.repartition(*cell).sortWithinPartitions(*cell).mapInPandas(run, schema)
+    return rows.repartition(*cell).sortWithinPartitions(*cell).mapInPandas(frugal(run), schema)
 
 
 def meet_here(frame: pd.DataFrame) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:

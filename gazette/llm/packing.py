@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import arrow_map, numbered, scratch, text_bytes
+from gazette.llm.common import arrow_map, frugal, numbered, scratch, text_bytes
 
 CAPACITY = 2048
-MEMO_BYTES = 80 << 20  # of words and their ids that a Python worker remembers, twice
+MEMO_BYTES = 80 << 20  # of words and their ids that a task remembers, twice
 
 _encoders: dict = {}
 _PIECE = ("piece", "start", "length", "ids_crc32", "ids")
@@ -108,6 +108,10 @@ class WordEncoder:
         self.size += 190 * (len(plain) + len(other) + len(pairs) + len(found))
         self.size += 8 * sum(map(len, words))
 
+    def forget(self) -> None:
+        """Free the words; the tokenizer stays."""
+        self.known, self.before, self.size = {}, {}, 0
+
     def ids(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         words = (text if b"<|" in text else text.lower()).split()
@@ -140,26 +144,29 @@ def pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(tokenizer)
         last = np.array([end], "<u4").tobytes()
-        for batch in batches:
-            rows, out = [], []
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                found = encode.ids(text) + last
-                for at in range(0, len(found), 4 * capacity):
-                    part = found[at : at + 4 * capacity]
-                    rows.append(row)
-                    out.append((at // 4 // capacity, at // 4, len(part) // 4, zlib.crc32(part), part))
-            # ids stay in Arrow: beside a null, pandas would make them doubles
-            made = {"doc_id": batch.column("doc_id").take(pa.array(rows, pa.int64()))}
-            for name, kind, values in zip(_PIECE, _KINDS, zip(*out, strict=True) if out else [[]] * 5, strict=True):
-                made[name] = pa.array(values, kind)
-            if not ids:
-                del made["ids"]
-            yield pa.RecordBatch.from_pydict(made)
+        try:
+            for batch in batches:
+                rows, out = [], []
+                for row, text in enumerate(batch.column("text").to_pylist()):
+                    found = encode.ids(text) + last
+                    for at in range(0, len(found), 4 * capacity):
+                        part = found[at : at + 4 * capacity]
+                        rows.append(row)
+                        out.append((at // 4 // capacity, at // 4, len(part) // 4, zlib.crc32(part), part))
+                # ids stay in Arrow: beside a null, pandas would make them doubles
+                made = {"doc_id": batch.column("doc_id").take(pa.array(rows, pa.int64()))}
+                for name, kind, values in zip(_PIECE, _KINDS, zip(*out, strict=True) if out else [[]] * 5, strict=True):
+                    made[name] = pa.array(values, kind)
+                if not ids:
+                    del made["ids"]
+                yield pa.RecordBatch.from_pydict(made)
+        finally:  # the worker goes on to other stages
+            encode.forget()
 
     key = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {key}, piece int, start long, length long, ids_crc32 long"
     rows = docs.select("doc_id", text_bytes().alias("text"))
-    return rows.mapInArrow(run, schema + ", ids binary" * ids)
+    return rows.mapInArrow(frugal(run), schema + ", ids binary" * ids)
 
 
 def _replace_smallest(pattern: list[int], left: np.ndarray, gap: int) -> list[int]:

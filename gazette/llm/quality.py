@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import scratch, text_bytes
+from gazette.llm.common import frugal, scratch, text_bytes
 
 PAD = b"\n\n\n"  # stands before every text
 FLUSH = 2_000_000  # distinct grams a task holds before it hands them on
@@ -64,7 +64,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
                     held = held[:, :0]
         yield pd.DataFrame({"gram": held[0], "n": held[1]})
 
-    return texts.mapInPandas(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.mapInPandas(frugal(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def in_batches(texts) -> Iterator[list[bytes]]:
@@ -261,7 +261,7 @@ def add_bits(docs: DataFrame, model: Model) -> DataFrame:
                 place = batch.schema.get_field_index("bits")
                 yield batch.set_column(place, "bits", bits)
 
-        scored = scored.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in scored.dtypes))
+        scored = scored.mapInArrow(frugal(run), ", ".join(f"`{c}` {t}" for c, t in scored.dtypes))
     return scored
 
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import WORD, arrow_map, scratch, text_digest
+from gazette.llm.common import WORD, arrow_map, frugal, scratch, text_digest
 
 MIN_WORDS = 24
 REACH = 8  # words to either side that a least hash is compared with
@@ -110,7 +110,7 @@ def hashed_units(docs: DataFrame, min_words: int = MIN_WORDS, reach: int = REACH
                     }
                 )
 
-    return rows.mapInArrow(run, f"doc_id {kind}, digest long, at int, words int, h long, g long")
+    return rows.mapInArrow(frugal(run), f"doc_id {kind}, digest long, at int, words int, h long, g long")
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, reach: int = REACH) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gazette.llm import alignment, counts, edits, lattice, negatives, packing, quality, simhash, tools, toxicity
+from gazette.llm import alignment, common, counts, edits, lattice, negatives, packing, quality, simhash, tools, toxicity
 from gazette.llm.graph import components
 
 
@@ -417,3 +417,52 @@ def test_features_are_counted_over_all_texts(spark):
     for held in (1, 7, 10_000):
         counts = toxicity.document_counts(rows, held=held).groupBy("f").sum("n").collect()
         assert {bytes(r.f): r["sum(n)"] for r in counts} == expected
+
+
+def test_workers_keep_no_words_of_packed_texts(spark):
+    import public_tokenizers
+
+    rows = [(i, f"alpha{i} beta gamma{i} delta") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    made = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert {r.doc_id for r in made} == set(range(400))
+
+    def held(batches):
+        import pyarrow as pa
+        from gazette.llm import packing
+
+        for _ in batches:
+            pass
+        encoders = list(packing._encoders.values())
+        words = sum(len(e.known) + len(e.before) for e in encoders)
+        yield pa.RecordBatch.from_pydict({"encoders": [len(encoders)], "words": [words]})
+
+    found = spark.range(16, numPartitions=16).mapInArrow(held, "encoders long, words long").collect()
+    assert any(r.encoders for r in found)  # the workers are those that packed
+    assert not any(r.words for r in found)
+
+
+@pytest.mark.parametrize("breaks", [False, True])
+def test_a_task_gives_its_memory_back_at_its_end(monkeypatch, breaks):
+    seen = []
+    monkeypatch.setattr(common, "give_back", lambda: seen.append("back"))
+
+    def run(batches):
+        try:
+            for x in batches:
+                yield x + 1
+                if breaks:
+                    raise ValueError
+        finally:
+            seen.append("over")
+
+    def drain():
+        for x in common.frugal(run)(iter([1, 2])):
+            seen.append(x)
+
+    if breaks:
+        with pytest.raises(ValueError):
+            drain()
+    else:
+        drain()
+    assert seen == [2, *([] if breaks else [3]), "over", "back"]
