@@ -212,9 +212,17 @@ def deal_blocks(rows: DataFrame, key: str, identity: str, block: int = 2048) ->
 
 
 def in_cells(
-    rows: DataFrame, key: str, function: Callable, schema: str, frame_rows: int = 65_536
+    rows: DataFrame,
+    key: str,
+    function: Callable,
+    schema: str,
+    frame_rows: int = 65_536,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Apply ``function`` to frames of whole cells of ``deal_blocks``."""
+    """Apply ``function`` to frames of whole cells of ``deal_blocks``.
+
+    The cells are dealt over ``tasks``; if not given, over as many as their size in bytes asks for.
+    """
     cell = [key, "low", "high"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -226,7 +234,8 @@ def in_cells(
             frame = frame[size > 1].reset_index(drop=True)
             yield function(frame, group_starts(frame, cell))
 
-    return rows.repartition(*cell).sortWithinPartitions(*cell).mapInPandas(frugal(run), schema)
+    dealt = rows.repartition(tasks, *cell) if tasks else rows.repartition(*cell)
+    return dealt.sortWithinPartitions(*cell).mapInPandas(frugal(run), schema)
 
 
 def meet_here(frame: pd.DataFrame) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:

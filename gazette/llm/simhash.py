@@ -13,12 +13,13 @@ A part with threshold ``t`` is probed by every pattern that leaves out ``t`` of
 bits: fingerprints that agree on the rest meet in one bucket and are verified
 there. Buckets hand on a spanning forest of their links rather than all pairs.
 
-The 256 bits of the near copies are too many, and their radius too wide, for such patterns:
-there two of 32 equal parts have to agree.
+The 256 bits of the near copies are too many, and their radius too wide, to move a row for each
+pattern. There every two blocks of rows meet in a tile, and the parts say which rows of it are compared.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 from math import comb
 
@@ -239,51 +240,208 @@ def near_components(prints: DataFrame, radius: int) -> DataFrame:
 
 WIDE = ("w0", "w1", "w2", "w3")
 WIDE_RADIUS = 52  # of 256 bits: an angle whose cosine is 0.8
-PARTS = 32  # of the 256 bits, eight each
+TILE = 262_144  # rows of a block at most; tiles are pairs of blocks
+BLOCKS = 12  # blocks of a smaller table, where they hold BLOCK rows or more
+VALUE_COST, PATTERN_COST, TEST_COST = 1.2e-4, 2e-7, 3.4e-9  # seconds for each, and for each pair
+LARGE = 256  # rows of a component that are no more compared with each other
+FIELDS, FIELD = 3, 256  # counts side by side in the 24 bits of a float, eight bits each
+A_ROWS, B_FIELDS = 256, 1024  # of a product, so that it stays in the cache
+PENDING = 65_536  # candidates that are looked at together
+
+
+def wide_parts(n: int, m: int, radius: int) -> list[tuple[int, int, int]]:
+    """(first bit, bits, threshold) of the parts that are used when ``m`` parts hold all bits.
+
+    Thresholds differ by one at most and sum up to ``radius - m + 1``, with -1 for parts not used.
+    """
+    edges = [n * i // m for i in range(m + 1)]
+    each, more = divmod(radius + 1, m)
+    found = [(edges[i], edges[i + 1] - edges[i], each + (i < more) - 1) for i in range(m)]
+    return [part for part in found if part[2] >= 0]
+
+
+def plan_parts(rows: int, others: int, radius: int) -> list[tuple[int, int, int]]:
+    """The parts by which ``rows`` meet all of ``others`` within ``radius`` at the least cost."""
+    # A part of no bits, in which all agree: all are compared with all.
+    best = rows * others * TEST_COST, [(0, 0, 0)]
+    for m in range(16, 33):
+        parts, cost = wide_parts(64 * len(WIDE), m, radius), 0.0
+        for _, width, t in parts:
+            patterns = sum(comb(width, i) for i in range(t + 1))
+            cost += min(rows, 2**width) * (VALUE_COST + patterns * PATTERN_COST)
+            cost += rows * others * patterns / 2**width * TEST_COST
+        if cost < best[0]:
+            best = cost, parts
+    return best[1]
+
+
+def _values(octets: np.ndarray, first: int, width: int) -> np.ndarray:
+    if not width:
+        return np.zeros(len(octets), np.int64)
+    low, high = first // 8, (first + width + 7) // 8
+    found = np.zeros(len(octets), np.int64)
+    for i in range(high - low):
+        found |= octets[:, low + i].astype(np.int64) << 8 * i
+    return found >> (first - 8 * low) & (1 << width) - 1
+
+
+def _tested(radius: int) -> int:
+    """How many bits a product counts, so that a field holds the count; none if it cannot."""
+    return min(143, FIELD // 2 + radius) if radius < FIELD // 2 else 0
+
+
+def side_by_side(octets: np.ndarray, radius: int) -> np.ndarray:
+    """``FIELDS`` fingerprints to a row, for products with rows of bits and a one.
+
+    A field of the product is 128 + ``radius`` less the bits in which the two differ, of those that are
+    tested, so its highest bit is set unless these are too many. All sums are whole and below 2^24.
+    """
+    k, n, most = _tested(radius), len(octets), FIELD // 2 + min(radius, FIELD // 2 - 1)
+    made = np.zeros((-(-n // FIELDS), k + 1), np.float32)
+    for at in range(0, n, FIELDS * 8192):
+        bits = np.unpackbits(octets[at : at + FIELDS * 8192], axis=1, count=k, bitorder="little")
+        for field in range(FIELDS):
+            own = bits[field::FIELDS]
+            rows = made[at // FIELDS : at // FIELDS + len(own)]
+            rows[:, :k] += (own * np.float32(2) - 1) * np.float32(FIELD**field)
+            rows[:, k] += (most - own.sum(1, dtype=np.float32)) * np.float32(FIELD**field)
+    return made
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers of some ranges, one after the other."""
+    size = np.maximum(ends - starts, 0)
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + size, size)
+
+
+def _join(forest: Forest, wide: list[np.ndarray], a: np.ndarray, b: np.ndarray, radius: int) -> None:
+    """Link those of the pairs (a, b) that are within ``radius``."""
+    apart = forest.root[a] != forest.root[b]
+    a, b = a[apart], b[apart]
+    near = bits_apart(wide, a, b) <= radius
+    if near.any():
+        ends = np.sort(forest.root[np.stack([a[near], b[near]])], axis=0)
+        forest.add(*np.unique(ends, axis=1))
+
+
+def _join_next(forest: Forest, octets: np.ndarray, wide: list[np.ndarray], radius: int) -> None:
+    """Link rows that are next to each other by some bits: this connects most of a large group."""
+    for first in range(0, 64 * len(WIDE), 16):
+        order = np.argsort(_values(octets, first, 16), kind="stable")
+        _join(forest, wide, order[:-1], order[1:], radius)
+
+
+class Products:
+    """Tells which rows of two sets may be within ``radius`` bits, a block of the two at a time."""
+
+    def __init__(self, octets: np.ndarray, others: np.ndarray, radius: int):
+        self.octets, self.k = octets, _tested(radius)
+        self.packed = side_by_side(octets[others], radius)
+        self.marks = np.array([FIELD // 2 * FIELD**i for i in range(FIELDS)], np.int32)
+        # Written again and again, as fresh memory costs more than the product.
+        self.bits = np.ones((A_ROWS, self.k + 1), np.float32)
+        self.there = np.empty((B_FIELDS, self.k + 1), np.float32)
+        self.counts = np.empty(A_ROWS * B_FIELDS, np.float32)
+        self.whole = np.empty(A_ROWS * B_FIELDS, np.int32)
+        self.marked = np.empty(A_ROWS * B_FIELDS, bool)
+
+    def candidates(self, rows: np.ndarray, places: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(number in ``rows``, number in ``others``), where ``places`` are rows of ``packed``."""
+        bits = self.bits[: len(rows)]
+        bits[:, : self.k] = np.unpackbits(self.octets[rows], axis=1, count=self.k, bitorder="little")
+        for part in range(0, len(places), B_FIELDS):
+            there = places[part : part + B_FIELDS]
+            n, size = len(there), len(rows) * len(there)
+            packed = np.take(self.packed, there, axis=0, out=self.there[:n], mode="clip")
+            counts, whole = self.counts[:size], self.whole[:size]
+            np.matmul(bits, packed.T, out=counts.reshape(-1, n))
+            np.copyto(whole, counts, casting="unsafe")
+            np.bitwise_and(whole, self.marks.sum(), out=whole)
+            hits = np.flatnonzero(np.not_equal(whole, 0, out=self.marked[:size]))
+            if len(hits):
+                hit, field = np.nonzero(whole[hits, None] & self.marks)
+                a, b = np.divmod(hits[hit], n)
+                yield a, FIELDS * there[b] + field
+
+
+def all_near(rows: np.ndarray, others: np.ndarray, wide: list[np.ndarray], radius: int) -> Forest:
+    """A forest that connects every two of ``rows`` and ``others`` within ``radius`` bits.
+
+    Both are positions in ``wide``, the same or none in common. The parts of ``plan_parts`` say which
+    values of a part may have such a pair; rows of these are compared by products of matrices.
+    Rows that are connected in large numbers already are not compared with each other.
+    """
+    octets = np.ascontiguousarray(np.stack(wide, 1), "<i8").view(np.uint8)
+    forest, same = Forest(len(octets)), rows is others
+    if not (len(rows) and len(others)):
+        return forest
+    _join_next(forest, octets, wide, radius)
+    for first, width, most in plan_parts(len(rows), len(others), radius):
+        large = np.flatnonzero(np.bincount(forest.root, minlength=len(octets)) >= LARGE)
+        label, labels = np.zeros(len(octets), np.int64), len(large) + 1
+        label[large] = np.arange(1, labels)
+        key = _values(octets, first, width) * labels + label[forest.root]
+        left = rows[np.argsort(key[rows], kind="stable")]
+        right = left if same else others[np.argsort(key[others], kind="stable")]
+        left_key, right_key = key[left], key[right]
+        edges = np.searchsorted(right_key, np.arange(2**width + 1) * labels)
+        patterns = [sum(1 << i for i in x) for t in range(most + 1) for x in combinations(range(width), t)]
+        patterns = np.array(patterns, np.int64)
+        products = Products(octets, right, radius)
+        pending, held = [], 0
+        cuts = np.flatnonzero(np.diff(left_key, prepend=-1, append=-1)).tolist()
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            value, group = divmod(int(left_key[start]), labels)
+            values = value ^ patterns
+            begins, stops = edges[values], edges[values + 1]
+            if group:  # not those of the same component
+                own = values * labels + group
+                begins = np.append(begins, np.searchsorted(right_key, own + 1))
+                stops = np.append(np.searchsorted(right_key, own), stops)
+            begins, stops = begins // FIELDS, np.where(stops > begins, -(-stops // FIELDS), 0)
+            for at in range(start, end, A_ROWS):
+                here = left[at : min(at + A_ROWS, end)]
+                # Of the same rows a pair is compared from the one that comes first.
+                places = _ranges(np.maximum(begins, at // FIELDS) if same else begins, stops)
+                for a, b in products.candidates(here, places):
+                    pending.append((here[a], right[b]))
+                    held += len(a)
+                if held >= PENDING or pending and end == len(left):
+                    _join(forest, wide, *map(np.concatenate, zip(*pending, strict=True)), radius)
+                    pending, held = [], 0
+    return forest
 
 
 def wide_links(prints: DataFrame, radius: int) -> DataFrame:
-    """Links (a, b) of ``prints`` (id, WIDE) within ``radius`` bits that agree in two parts.
+    """Links (a, b) of ``prints`` (id, WIDE) that connect all that ``radius`` bits connect.
 
-    By the pigeonhole principle that is every pair within ``PARTS - 2`` bits. Of pairs whose
-    differing bits lie anywhere, it is 99.9 % at 39 bits and 97 % at 52. A row is moved once
-    for each part; rows that agree in it are sorted by each later one where they meet.
+    Every row meets every other in a tile, a pair of blocks of rows, so a row is moved once for
+    each block. ``all_near`` misses no pair, whatever parts it chooses.
     """
     n = prints.count()
-    octets = [F.shiftrightunsigned(w, 8 * i).bitwiseAND(255) for w in WIDE for i in range(8)]
-    rows = prints.select("id", *WIDE, F.posexplode(F.array(*octets)).alias("_k", "_v"))
-    rows = rows.select((F.col("_k") * 256 + F.col("_v")).cast("int").alias("key"), "id", *WIDE)
+    side = min(TILE, max(BLOCK, -(-n // BLOCKS)))
+    blocks = max(-(-n // side), 1)
+    own = F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(blocks)).cast("int")
+    rows = prints.select("id", *WIDE, F.lit(0).alias("key"), own.alias("own"))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = rows.withColumns({"low": F.least("own", "_other"), "high": F.greatest("own", "_other")})
 
     def link(frame: pd.DataFrame, start: np.ndarray) -> pd.DataFrame:
-        ids, meet, part = frame["id"].to_numpy(), meet_here(frame), frame["key"].to_numpy() >> 8
-        wide = [frame[w].to_numpy() for w in WIDE]
-        octets = np.stack(wide, 1).astype("<i8").view(np.uint8)
-        forest = Forest(len(frame))
-        for later in range(1, PARTS):
-            rows = np.flatnonzero(part < later)
-            both = start[rows] * 256 + octets[rows, later]
-            order = np.argsort(both, kind="stable")
-            rows, both = rows[order], both[order]
-            firsts = np.flatnonzero(np.diff(both, prepend=-1))
-            if not len(firsts):
-                continue
-            root, size = forest.root[rows], np.diff(firsts, append=len(rows))
-            # Nothing is left to find where all rows are connected already.
-            several = np.minimum.reduceat(root, firsts) < np.maximum.reduceat(root, firsts)
-            rows, both = rows[np.repeat(several, size)], both[np.repeat(several, size)]
-            for a, b in pairs_by_shift(both):
-                a, b = rows[a], rows[b]
-                apart = forest.root[a] != forest.root[b]
-                a, b = a[apart], b[apart]
-                near = meet(a, b) & (bits_apart(wide, a, b) <= radius)
-                if near.any():
-                    forest.add(a[near], b[near])
-        a, b = forest.links()
-        return pd.DataFrame({"a": ids[a], "b": ids[b]})
-
-    # A bucket of average size, whatever their number, stays whole.
-    cells = deal_blocks(rows, "key", "id", max(BLOCK, n // 128))
-    return in_cells(cells, "key", link, "a long, b long", frame_rows=16_384)
+        found = []
+        for first in np.unique(start):
+            tile = frame[start == first]
+            own, low, high = (tile[c].to_numpy() for c in ("own", "low", "high"))
+            rows = np.flatnonzero(own == low)
+            others = rows if low[0] == high[0] else np.flatnonzero(own == high)
+            a, b = all_near(rows, others, [tile[w].to_numpy() for w in WIDE], radius).links()
+            ids = tile["id"].to_numpy()
+            found.append(pd.DataFrame({"a": ids[a], "b": ids[b]}))
+        return pd.concat(found)
+
+    tiles = blocks * (blocks + 1) // 2
+    # One row is enough for a frame: no more than a tile and what came with its end.
+    return in_cells(rows.drop("_other"), "key", link, "a long, b long", frame_rows=1, tasks=tiles)
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, wide_radius: int = WIDE_RADIUS) -> DataFrame:
@@ -291,8 +449,8 @@ def drop_near_copies(docs: DataFrame, words: int = 5, wide_radius: int = WIDE_RA
 
     Two texts are near copies if the cosine of their sets of five-word shingles, as
     256 bits of SimHash estimate it, is 0.8 or more; a Jaccard similarity of 0.8 has a
-    cosine of 0.89, which is 39 differing bits on average. Candidates come from the same bits,
-    by ``wide_links``, so what is found depends on the shingles alone, not on whether words
+    cosine of 0.89, which is 39 differing bits on average. All pairs within ``wide_radius`` bits
+    are found, by ``wide_links``, so it depends on the shingles alone, not on whether words
     were added, cut or changed.
     Of rows with equal id and text one stays. Texts without words are copies of
     each other. Rows without an id come after all others.

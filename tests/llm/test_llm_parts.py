@@ -290,6 +290,105 @@ def test_wide_links_in_dealt_buckets(spark, monkeypatch):
     assert set(root) == {0}
 
 
+def flipped(rng, rows, bits):
+    """Copies of fingerprints, each of which differs in some of the bits that ``bits`` gives."""
+    out = np.unpackbits(rows.view(np.uint8), axis=1, bitorder="little")
+    for row in out:
+        row[bits(rng)] ^= 1
+    return np.packbits(out, axis=1, bitorder="little").view("<i8")
+
+
+def in_every_octet(rng):
+    """52 bits, so spread that no octet or only one is free of them."""
+    octets = rng.permutation(32)[: 31 + rng.integers(2)]
+    first = 8 * octets + rng.integers(0, 8, len(octets))
+    rest = np.setdiff1d(np.concatenate([8 * octets + i for i in range(8)]), first)
+    return np.concatenate([first, rng.choice(rest, 52 - len(first), replace=False)])
+
+
+def apart(rows):
+    bits = np.unpackbits(np.ascontiguousarray(rows).view(np.uint8), axis=1).astype(int)
+    return (bits[:, None] != bits[None]).sum(2)
+
+
+def test_wide_links_miss_none_within_the_radius(spark):
+    """Pairs at the very radius, whose differing bits leave hardly an octet alone."""
+    rng = np.random.default_rng(11)
+    base = rng.integers(-(2**63), 2**63, (200, 4))
+    rows = np.concatenate([base, flipped(rng, base, in_every_octet)])
+    prints = spark.createDataFrame(
+        [(i, *r) for i, r in enumerate(rows.tolist())], "id long, w0 long, w1 long, w2 long, w3 long"
+    )
+    links = {(min(r), max(r)) for r in simhash.wide_links(prints, 52).collect()}
+    a, b = np.nonzero(np.triu(apart(rows) <= 52, 1))
+    assert len(a) >= 200 and links == set(zip(a.tolist(), b.tolist(), strict=True))
+
+
+def test_near_copies_against_brute_force(spark):
+    """What stays is the least of each component of all pairs within the radius."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(5_000)]
+    texts = []
+    for _ in range(500):
+        text = [rng.choice(words) for _ in range(rng.randint(60, 120))]
+        copy = list(text)
+        for at in rng.sample(range(len(text)), round(0.045 * len(text))):
+            copy[at] = rng.choice(words)
+        texts += [" ".join(text), " ".join(copy)]
+    prints = np.array([simhash.majority(simhash.wide_hashes(t.encode(), 5)) for t in texts], np.uint64)
+    distance, root = apart(prints), list(range(len(texts)))
+    assert (distance[0::2, 1::2].diagonal() <= 52).sum() > 100
+    for a, b in zip(*np.nonzero(np.triu(distance <= 52, 1)), strict=True):
+        x, y = root[a], root[b]
+        root = [min(x, y) if r in (x, y) else r for r in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r.doc_id for r in simhash.drop_near_copies(docs).collect()}
+    assert left == set(root)
+
+
+@pytest.mark.parametrize("by_parts", [False, True])
+@pytest.mark.parametrize("radius", [0, 6, 52, 127, 140])
+def test_all_near_by_any_parts(monkeypatch, by_parts, radius):
+    """Components of rows, of two sets of rows, of a large group among them, whatever is compared how."""
+    for name, value in {"A_ROWS": 16, "B_FIELDS": 16, "PENDING": 50, "LARGE": 20}.items():
+        monkeypatch.setattr(simhash, name, value)
+    parts = simhash.wide_parts(256, 19, radius) if by_parts else [(0, 0, 0)]
+    assert sum(t + 1 for _, _, t in simhash.wide_parts(256, 19, radius)) == radius + 1
+    monkeypatch.setattr(simhash, "plan_parts", lambda *_: parts)
+    rng = np.random.default_rng(13)
+    base = rng.integers(-(2**63), 2**63, (70, 4))
+    some = min(radius, 52)
+    copies = flipped(rng, base[:50], in_every_octet if radius >= 52 else lambda r: r.permutation(256)[:radius])
+    group = flipped(rng, base[[60] * 70], lambda r: r.permutation(256)[: r.integers(some // 2 + 1)])
+    rim = flipped(rng, group[:5], lambda r: r.permutation(256)[: some - some // 2])
+    rows = rng.permutation(np.concatenate([base, copies, group, rim]))
+    near = apart(rows) <= radius
+    wide = list(np.ascontiguousarray(rows.T))
+
+    def components(links):
+        reach = links | np.eye(len(links), dtype=bool)
+        for _ in range(8):
+            reach = (reach.astype(int) @ reach.astype(int)) > 0
+        return reach.argmax(1)
+
+    every = np.arange(len(rows))
+    assert (simhash.all_near(every, every, wide, radius).root == components(near)).all()
+    first, second = every[::2], every[1::2]
+    root = simhash.all_near(first, second, wide, radius).root
+    a, b = np.nonzero(near)
+    across = a % 2 != b % 2
+    assert (root[a[across]] == root[b[across]]).all()
+    assert (components(near)[root] == components(near)).all()
+
+
+def test_plan_compares_all_or_by_parts():
+    assert simhash.plan_parts(1_000, 1_000, 52) == [(0, 0, 0)]
+    parts = simhash.plan_parts(simhash.TILE, simhash.TILE, 52)
+    assert len(parts) > 1 and sum(t + 1 for _, _, t in parts) == 53
+    bits = sorted(b for first, width, _ in parts for b in range(first, first + width))
+    assert bits == list(range(256))
+
+
 def test_call_chains_and_cycles(spark):
     calls = [(1, f"c{i}", f"c{i - 1}" if i else None) for i in range(50)]
     calls += [(2, "a", "b"), (2, "b", "a"), (2, "d", "a"), (3, "x", "gone"), (3, "y", "x")]
