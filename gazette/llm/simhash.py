@@ -242,7 +242,8 @@ WIDE = ("w0", "w1", "w2", "w3")
 WIDE_RADIUS = 52  # of 256 bits: an angle whose cosine is 0.8
 TILE = 262_144  # rows of a block at most; tiles are pairs of blocks
 BLOCKS = 12  # blocks of a smaller table, where they hold BLOCK rows or more
-VALUE_COST, PATTERN_COST, TEST_COST = 1.2e-4, 2e-7, 3.4e-9  # seconds for each, and for each pair
+# Seconds for a row in a part, a value of it, a pattern of that, and a pair; few rows of a value cost more.
+SORT_COST, VALUE_COST, PATTERN_COST, TEST_COST, FEW = 1.5e-6, 1.2e-4, 2e-7, 3.4e-9, 40
 LARGE = 256  # rows of a component that are no more compared with each other
 FIELDS, FIELD = 3, 256  # counts side by side in the 24 bits of a float, eight bits each
 A_ROWS, B_FIELDS = 256, 1024  # of a product, so that it stays in the cache
@@ -268,8 +269,9 @@ def plan_parts(rows: int, others: int, radius: int) -> list[tuple[int, int, int]
         parts, cost = wide_parts(64 * len(WIDE), m, radius), 0.0
         for _, width, t in parts:
             patterns = sum(comb(width, i) for i in range(t + 1))
+            cost += (rows + others) * SORT_COST
             cost += min(rows, 2**width) * (VALUE_COST + patterns * PATTERN_COST)
-            cost += rows * others * patterns / 2**width * TEST_COST
+            cost += (rows + FEW * 2**width) * others * patterns / 2**width * TEST_COST
         if cost < best[0]:
             best = cost, parts
     return best[1]
@@ -388,7 +390,8 @@ def all_near(rows: np.ndarray, others: np.ndarray, wide: list[np.ndarray], radiu
         edges = np.searchsorted(right_key, np.arange(2**width + 1) * labels)
         patterns = [sum(1 << i for i in x) for t in range(most + 1) for x in combinations(range(width), t)]
         patterns = np.array(patterns, np.int64)
-        products = Products(octets, right, radius)
+        # The bits of the part are like in all that meet: others are tested first.
+        products = Products(np.roll(octets, -((first + width + 7) // 8), axis=1), right, radius)
         pending, held = [], 0
         cuts = np.flatnonzero(np.diff(left_key, prepend=-1, append=-1)).tolist()
         for start, end in zip(cuts, cuts[1:], strict=False):
